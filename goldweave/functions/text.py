@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,11 @@ WS = r"[\s\x1c-\x1f]"
 
 @F.arrow_udf(T.StringType())
 def _nfkc(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFKC")
+    # not pyarrow's own utf8_normalize: it damages texts whose length changes
+    if values.null_count == len(values):
+        return values
+    forms = (None if v is None else unicodedata.normalize("NFKC", v) for v in values.to_pylist())
+    return pa.array(forms, pa.string())
 
 
 def nfkc(text: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,37 +51,37 @@ def pick_json(table: DataFrame) -> DataFrame:
     parsed = table.select(
         "candidate_id", "record_ord", "payload", untyped.parse(F.col("payload")).alias("document")
     )
-    picked = parsed.select(
-        "candidate_id",
-        "record_ord",
-        F.col("payload").isNotNull().alias("given"),
+    # one attribute text per known name, then the first usable one: in steps, so
+    # that no expression is repeated in the code generated for the next
+    keys = [k for known in ATS_ALIASES.values() for k in known]
+    read = parsed.select(
+        "candidate_id", "record_ord", F.col("payload").isNotNull().alias("given"),
         F.to_json("document").alias("whole"),
-        *[untyped.first_usable(F.col("document"), keys).alias(n) for n, keys in ATS_ALIASES.items()],
+        *[untyped.json_text(F.col("document"), k).alias(f"j_{k}") for k in keys],
+    )
+    usable = read.select(
+        "candidate_id", "record_ord", "given", "whole",
+        untyped.usable(F.col("whole")).alias("filled"),
+        *[F.when(untyped.usable(F.col(f"j_{k}")), F.col(f"j_{k}")).alias(k) for k in keys],
     )
-    names = list(ATS_ALIASES)
-    not_text = reduce(
-        lambda found, n: F.when(found.isNotNull(), found).when(
-            ~untyped.is_text(F.col(n)), F.lit(f"{n} is not a text")
-        ),
-        names,
-        F.lit(None).cast("string"),
+    picked = usable.select(
+        "candidate_id", "record_ord", "given", "whole", "filled",
+        *[F.coalesce(*known).alias(n) for n, known in ATS_ALIASES.items()],
     )
-    reason = (
-        F.when(F.col("given") & F.col("whole").isNull(), "malformed json")
-        .when(untyped.usable(F.col("whole")) & ~F.col("whole").startswith("{"), "not an object")
-        .otherwise(not_text)
+    reason = F.when(F.col("given") & F.col("whole").isNull(), "malformed json").when(
+        F.col("filled") & ~F.col("whole").startswith("{"), "not an object"
     )
+    for n in ATS_ALIASES:
+        reason = reason.when(~untyped.is_text(F.col(n)), f"{n} is not a text")
     return picked.select(
         "candidate_id",
         "record_ord",
-        *[F.when(untyped.is_text(F.col(n)), untyped.text_of(F.col(n))).alias(n) for n in names],
+        *[F.when(untyped.is_text(F.col(n)), untyped.text_of(F.col(n))).alias(n) for n in ATS_ALIASES],
         reason.alias("reason"),
     )
 
 
-def ats_facts(
-    picked: DataFrame, source_ord: int = 1, blocked: Column | None = None
-) -> DataFrame:
+def ats_facts(picked: DataFrame, source_ord: int = 1) -> DataFrame:
     """Facts of picked attributes. A phone is not read from this source."""
     extra = ["blocked"] if "blocked" in picked.columns else []
     clean = picked.select(
@@ -100,10 +98,9 @@ def ats_facts(
         ATS,
         source_ord,
         [
-            Reading("full_name", "direct", prior("full_name", ATS), F.col("name")),
-            Reading("emails", "direct", prior("emails", ATS), F.col("email")),
-            Reading("experience", "direct", prior("experience", ATS),
-                    company=F.col("company"), title=F.col("title")),
+            Reading("full_name", "direct", prior("full_name", ATS), ("name",)),
+            Reading("emails", "direct", prior("emails", ATS), ("email",)),
+            Reading("experience", "direct", prior("experience", ATS), ("company", "title")),
         ],
-        F.col("blocked") if extra else None,
+        "blocked" if extra else None,
     )

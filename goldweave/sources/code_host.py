@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -52,41 +52,53 @@ def pick_json(table: DataFrame) -> tuple[DataFrame, DataFrame]:
         untyped.parse(F.col("profile")).alias("p"),
         untyped.parse(F.col("repos")).alias("r"),
     )
-    whole = F.to_json("p")
-    list_text = F.to_json("r")
-    # elements of a list that is no list of objects, or with an odd language
-    items = F.try_variant_get(F.col("r"), "$", "array<variant>")
-    language = lambda v: F.to_json(F.try_variant_get(v, "$.language", "variant"))
-    odd_item = F.exists(items, lambda v: ~F.to_json(v).startswith("{"))
-    odd_language = F.exists(
-        items, lambda v: F.coalesce(untyped.usable(language(v)) & ~untyped.is_text(language(v)), F.lit(False))
+    # in steps, so that no expression is repeated in the code of the next
+    read = parsed.select(
+        "candidate_id", "record_ord", "given", "repos_given",
+        F.to_json("p").alias("whole"),
+        F.to_json("r").alias("list"),
+        F.try_variant_get(F.col("r"), "$", "array<variant>").alias("items"),
+        *[untyped.json_text(F.col("p"), k).alias(f"j_{k}") for k in ("login", "name", "bio")],
     )
-    has_profile = untyped.usable(whole)
-    has_repos = untyped.usable(list_text)
-    attribute = {k: untyped.first_usable(F.col("p"), [k]) for k in ("login", "name", "bio")}
-    reason = (
-        F.when(F.col("given") & whole.isNull(), "malformed json")
-        .when(F.col("repos_given") & list_text.isNull(), "malformed repositories")
-        .when(has_profile & ~whole.startswith("{"), "not an object")
-        .when(~untyped.is_text(attribute["name"]), "name is not a text")
-        .when(~untyped.is_text(attribute["bio"]), "bio is not a text")
-        .when(has_profile & has_repos & ~list_text.startswith("["), "repositories are not a list")
-        .when(has_profile & odd_item, "repository is not an object")
-        .when(has_profile & odd_language, "language is not a text")
+
+    def odd_language(item: Column) -> Column:
+        language = F.to_json(F.try_variant_get(item, "$.language", "variant"))
+        return F.coalesce(untyped.usable(language) & ~untyped.is_text(language), F.lit(False))
+
+    checked = read.select(
+        "candidate_id", "record_ord", "given", "repos_given", "whole", "list",
+        untyped.usable(F.col("whole")).alias("filled"),
+        untyped.usable(F.col("list")).alias("has_repos"),
+        F.exists("items", lambda v: ~F.to_json(v).startswith("{")).alias("odd_item"),
+        F.exists("items", odd_language).alias("odd_language"),
+        *[F.when(untyped.usable(F.col(f"j_{k}")), F.col(f"j_{k}")).alias(k) for k in ("login", "name", "bio")],
     )
-    login = F.when(untyped.is_text(attribute["login"]), untyped.text_of(attribute["login"])).otherwise(
-        attribute["login"]
+    filled, listed = F.col("filled"), F.col("filled") & F.col("has_repos")
+    reason = (
+        F.when(F.col("given") & F.col("whole").isNull(), "malformed json")
+        .when(F.col("repos_given") & F.col("list").isNull(), "malformed repositories")
+        .when(filled & ~F.col("whole").startswith("{"), "not an object")
+        .when(~untyped.is_text(F.col("name")), "name is not a text")
+        .when(~untyped.is_text(F.col("bio")), "bio is not a text")
+        .when(listed & ~F.col("list").startswith("["), "repositories are not a list")
+        .when(listed & F.col("odd_item"), "repository is not an object")
+        .when(listed & F.col("odd_language"), "language is not a text")
     )
-    profiles = parsed.filter(has_profile | F.col("given")).select(
+
+    def text(name: str) -> Column:
+        return F.when(untyped.is_text(F.col(name)), untyped.text_of(F.col(name)))
+
+    profiles = checked.select(
         "candidate_id",
         "record_ord",
-        login.alias("login"),
-        untyped.text_of(F.when(untyped.is_text(attribute["name"]), attribute["name"])).alias("name"),
-        untyped.text_of(F.when(untyped.is_text(attribute["bio"]), attribute["bio"])).alias("bio"),
-        has_profile.alias("filled"),
+        # any usable login is written into the link, a number too
+        F.coalesce(text("login"), F.col("login")).alias("login"),
+        text("name").alias("name"),
+        text("bio").alias("bio"),
+        filled.alias("filled"),
         reason.alias("reason"),
     )
-    repos = parsed.select("candidate_id", F.posexplode(items).alias("repo_pos", "repo")).select(
+    repos = read.select("candidate_id", F.posexplode("items").alias("repo_pos", "repo")).select(
         "candidate_id",
         F.col("repo_pos").cast("bigint").alias("repo_pos"),
         F.try_variant_get("repo", "$.name", "string").alias("name"),
@@ -110,11 +122,11 @@ def profile_facts(profiles: DataFrame, source_ord: int = 2) -> DataFrame:
         CODE_HOST,
         source_ord,
         [
-            Reading("full_name", "direct", prior("full_name", CODE_HOST), F.col("name")),
-            Reading("headline", "direct", prior("headline", CODE_HOST), F.col("bio")),
-            Reading("links", "direct", prior("links", CODE_HOST), F.col("link")),
+            Reading("full_name", "direct", prior("full_name", CODE_HOST), ("name",)),
+            Reading("headline", "direct", prior("headline", CODE_HOST), ("bio",)),
+            Reading("links", "direct", prior("links", CODE_HOST), ("link",)),
         ],
-        F.col("blocked") if extra else None,
+        "blocked" if extra else None,
     )
 
 

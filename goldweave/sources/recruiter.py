@@ -122,13 +122,12 @@ def recruiter_facts(table: DataFrame, source_ord: int = 0) -> DataFrame:
         RECRUITER,
         source_ord,
         [
-            Reading("full_name", "direct", prior("full_name", RECRUITER), F.col("name")),
-            Reading("emails", "direct", prior("emails", RECRUITER), F.col("email")),
-            Reading("phones", "normalized", prior("phones", RECRUITER), F.col("phone")),
+            Reading("full_name", "direct", prior("full_name", RECRUITER), ("name",)),
+            Reading("emails", "direct", prior("emails", RECRUITER), ("email",)),
+            Reading("phones", "normalized", prior("phones", RECRUITER), ("phone",)),
             Reading(
-                "experience", "direct",
-                prior("experience", RECRUITER) - RECRUITER_EXPERIENCE_DISCOUNT,
-                company=F.col("company"), title=F.col("title"),
+                "experience", "direct", prior("experience", RECRUITER) - RECRUITER_EXPERIENCE_DISCOUNT,
+                ("company", "title"),
             ),
         ],
     )

@@ -4,77 +4,69 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EXPERIENCE_TYPE, FACT_COLUMNS
-from ..functions import present
+from ..functions.lookup import sql_literal
 
 
 @dataclass(frozen=True)
 class Reading:
-    """One fact a source record may yield; empty values yield none."""
+    """One fact a source record may yield; an empty column yields none.
+
+    ``columns`` is the column of the value, or company and title of a job.
+    """
 
     field: str
     method: str
     confidence_milli: int
-    value: Column | None = None
-    company: Column | None = None
-    title: Column | None = None
+    columns: tuple[str, ...]
 
-    def usable(self) -> Column:
-        if self.value is not None:
-            return present(self.value)
-        return present(self.company) & present(self.title)
+    def usable(self) -> str:
+        return "(" + " AND ".join(f"coalesce({c} <> '', false)" for c in self.columns) + ")"
 
 
 def facts_of(
-    records: DataFrame,
-    source: str,
-    source_ord: int,
-    readings: list[Reading],
-    blocked: Column | None = None,
+    records: DataFrame, source: str, source_ord: int, readings: list[Reading], blocked: str | None = None
 ) -> DataFrame:
     """Unpivot records to facts; a record with no fact leaves one marker row.
 
     The marker (field is null) keeps the person on the list of candidates, so
-    no separate list has to be shuffled and joined later. ``blocked`` records
-    count as having no fact. The fixed-length array stays inside generated
-    code: one Generate and one Filter per source.
+    no separate list has to be shuffled and joined later. Records whose
+    ``blocked`` column is true count as having no fact. The array has a fixed
+    length and stays inside generated code: one Generate and one Filter.
     """
-    no_text = F.lit(None).cast("string")
-    no_exp = F.lit(None).cast(EXPERIENCE_TYPE)
-    allowed = F.lit(True) if blocked is None else ~F.coalesce(blocked, F.lit(False))
-
-    def slot(keep, field, value, exp, method, milli, emit_ord):
-        return F.struct(
-            keep.alias("keep"), field.alias("field"), value.alias("value"), exp.alias("exp"),
-            method.alias("method"), milli.alias("confidence_milli"), emit_ord.alias("emit_ord"),
-        )
-
+    allowed = f"NOT {blocked} AND " if blocked else ""
     slots = []
     for i, r in enumerate(readings):
-        if r.value is not None:
-            value, exp = r.value, no_exp
+        if len(r.columns) == 1:
+            value, exp = r.columns[0], f"CAST(NULL AS {EXPERIENCE_TYPE})"
         else:
-            value = no_text
-            exp = F.struct(
-                r.company.alias("company"), r.title.alias("title"),
-                no_text.alias("start"), no_text.alias("end"), F.lit("").alias("summary"),
-            ).cast(EXPERIENCE_TYPE)
-        slots.append(slot(allowed & r.usable(), F.lit(r.field), value, exp, F.lit(r.method),
-                          F.lit(r.confidence_milli), F.lit(i)))
-    any_usable = allowed & F.expr("false")
-    for r in readings:
-        any_usable = any_usable | (allowed & r.usable())
-    slots.append(slot(~any_usable, no_text, no_text, no_exp, no_text,
-                      F.lit(None).cast("int"), F.lit(None).cast("int")))
+            company, title = r.columns
+            value = "CAST(NULL AS STRING)"
+            exp = (
+                f"CAST(named_struct('company', {company}, 'title', {title}, 'start', NULL, 'end', NULL, "
+                f"'summary', '') AS {EXPERIENCE_TYPE})"
+            )
+        slots.append(
+            f"named_struct('keep', {allowed}{r.usable()}, 'field', {sql_literal(r.field)}, 'value', {value}, "
+            f"'exp', {exp}, 'method', {sql_literal(r.method)}, 'confidence_milli', {r.confidence_milli}, 'emit_ord', {i})"
+        )
+    any_usable = f"{allowed}({' OR '.join(r.usable() for r in readings)})"
+    slots.append(
+        f"named_struct('keep', NOT ({any_usable}), 'field', NULL, 'value', NULL, 'exp', NULL, 'method', NULL, "
+        "'confidence_milli', NULL, 'emit_ord', NULL)"
+    )
     return (
-        records.select("candidate_id", "record_ord", F.inline(F.array(*slots)))
+        records.selectExpr("candidate_id", "record_ord", f"inline(array({', '.join(slots)}))")
         .filter("keep")
-        .withColumn("source", F.lit(source))
-        .withColumn("source_ord", F.lit(source_ord))
-        .select(*FACT_COLUMNS)
+        .selectExpr(*[
+            f"{sql_literal(source)} AS source" if c == "source"
+            else f"{source_ord} AS source_ord" if c == "source_ord"
+            else c
+            for c in FACT_COLUMNS
+        ])
     )
 
 

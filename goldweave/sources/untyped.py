@@ -21,9 +21,8 @@ def is_text(json: Column) -> Column:
 
 def usable(json: Column) -> Column:
     """Neither absent nor null, false, zero, nor an empty text or container."""
-    empty = json.isin("null", "false", '""', "[]", "{}")
-    zero = F.coalesce(json.try_cast("double") == 0, F.lit(False))
-    return F.coalesce(~(empty | zero), F.lit(False))
+    # a zero may be written in many ways: 0, -0, 0.00
+    return F.coalesce(~json.rlike(r'^(null|false|""|\[\]|\{\}|-?0(\.0+)?([eE].*)?)$'), F.lit(False))
 
 
 def first_usable(document: Column, keys: list[str]) -> Column:

@@ -465,7 +465,7 @@ def sorted_object(j: str) -> str:
 
 
 def doc_rule(no: int, rule: str, where: str, message: str, source: str = "documents_in", order: str = "0") -> str:
-    return (f"SELECT row_id, {no} AS step, {order} AS at, '{rule}' AS rule, {message} AS message "
+    return (f"SELECT row_id, {no} AS step, {order} AS place, '{rule}' AS rule, {message} AS message "
             f"FROM {source} WHERE {where}")
 
 
@@ -705,7 +705,7 @@ def statements() -> dict[str, str]:
             f"SELECT candidate_id, full_name, {first_phone} AS phone, headline AS link, phone_list[2] AS second "
             "FROM profiles WHERE full_name IS NOT NULL AND phones <> '' AND headline IS NOT NULL", full),
         "validate_default": with_parts(
-            "SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY step, at) AS INTEGER) AS error_no, "
+            "SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY step, place) AS INTEGER) AS error_no, "
             "rule, message FROM document_faults", "document_faults"),
         "validate_counts": with_parts(
             "SELECT rule, count(*) AS n_errors FROM document_faults GROUP BY rule", "document_faults"),

@@ -7,11 +7,12 @@ variants by key only vary the content of a row; no row is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import EXPERIENCE_TYPE, FACT_COLUMNS
 from ..functions import prior_of, skill_name
+from ..functions.lookup import sql_literal
 from ..plans import Sources
 
 # --- fixed values of the derivation, repeated in the SQL ------------------------
@@ -23,299 +24,263 @@ HISTORY_SOURCES = ["linkedin", "resume", "github"]
 HEADLINE_SOURCES = ["linkedin", "resume", "job_board"]
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
+_OPEN: dict[tuple[str, str], DataFrame] = {}
 
-def by_case(number: Column, cases: dict[int, Column | str | None], otherwise: Column | str | None) -> Column:
-    def lit(x):
-        return x if isinstance(x, Column) else F.lit(x)
 
-    out = None
-    for n, value in cases.items():
-        out = F.when(number == n, lit(value)) if out is None else out.when(number == n, lit(value))
-    return out.otherwise(lit(otherwise)).cast("string")
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A test table; its schema is read once per application."""
+    key = (spark.sparkContext.applicationId, f"{folder}/{name}.parquet")
+    if key not in _OPEN:
+        _OPEN[key] = spark.read.parquet(key[1])
+    return _OPEN[key]
 
 
-def one_of(values: list[str | None], place: Column) -> Column:
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), place.cast("int"))
+def by_case(number: str, cases: dict[int, str], otherwise: str = "NULL") -> str:
+    whens = " ".join(f"WHEN {n} THEN {value}" for n, value in cases.items())
+    return f"CASE {number} {whens} ELSE {otherwise} END"
 
 
-def text(c: Column) -> Column:
-    return c.cast("string")
+def one_of(values: list[str | None], place: str) -> str:
+    items = ", ".join(f"CAST({sql_literal(v)} AS STRING)" for v in values)
+    return f"get(array({items}), CAST({place} AS INT))"
 
 
 def recruiter(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as recruiter rows; every fifth one is a second row of the
     candidate before it."""
-    k, name = F.col("c_custkey"), F.col("c_name")
-    address = F.replace(name, F.lit("#"), F.lit("."))
+    address = "replace(c_name, '#', '.')"
     customers = table(spark, folder, "customer").join(
-        table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+        table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
     )
-    return customers.select(
-        text(F.when(k % 5 == 4, k - 1).otherwise(k)).alias("candidate_id"),
-        k.alias("record_ord"),
-        by_case(k % 17, {3: "", 5: "  ", 7: F.replace(name, F.lit("#"), F.lit("   ")), 9: None}, name).alias("name"),
-        by_case(
-            k % 11,
-            {
-                0: F.concat(address, F.lit(".example.com")),
-                1: F.concat(F.lit("  "), address, F.lit("@Mail.Example.COM ")),
-                2: None,
-                3: "",
-                4: F.concat(address, F.lit("@a@example.com")),
-            },
-            F.concat(address, F.lit("@example.com")),
-        ).alias("email"),
-        by_case(
-            k % 7,
-            {
-                0: F.concat(F.lit("0"), text(k + 9000000000)),
-                1: F.concat(F.lit("+1 415 "), text(k)),
-                2: "123",
-                3: F.concat(F.lit("98765 "), F.lpad(text(k), 5, "0")),
-                4: F.concat(F.lit("0091-"), text(k + 9100000000)),
-                5: None,
-            },
-            F.concat(F.lit("(987) "), text(k + 6500000)),
-        ).alias("phone"),
-        F.when(k % 19 != 0, F.col("c_mktsegment")).alias("current_company"),
-        F.when(k % 13 == 0, "").otherwise(F.col("n_name")).alias("title"),
+    return customers.selectExpr(
+        "CAST(CASE WHEN c_custkey % 5 = 4 THEN c_custkey - 1 ELSE c_custkey END AS STRING) AS candidate_id",
+        "c_custkey AS record_ord",
+        by_case("c_custkey % 17", {3: "''", 5: "'  '", 7: "replace(c_name, '#', '   ')", 9: "NULL"}, "c_name")
+        + " AS name",
+        by_case("c_custkey % 11", {
+            0: f"{address} || '.example.com'",
+            1: f"'  ' || {address} || '@Mail.Example.COM '",
+            2: "NULL",
+            3: "''",
+            4: f"{address} || '@a@example.com'",
+        }, f"{address} || '@example.com'") + " AS email",
+        by_case("c_custkey % 7", {
+            0: "'0' || (c_custkey + 9000000000)",
+            1: "'+1 415 ' || c_custkey",
+            2: "'123'",
+            3: "'98765 ' || lpad(CAST(c_custkey AS STRING), 5, '0')",
+            4: "'0091-' || (c_custkey + 9100000000)",
+            5: "NULL",
+        }, "'(987) ' || (c_custkey + 6500000)") + " AS phone",
+        "CASE WHEN c_custkey % 19 <> 0 THEN c_mktsegment END AS current_company",
+        "CASE WHEN c_custkey % 13 = 0 THEN '' ELSE n_name END AS title",
     )
 
 
 def ats(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as applicant-tracking records under changing attribute names."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    segment = one_of(SEGMENTS, c % 5)
-    return table(spark, folder, "orders").select(
-        text(c).alias("candidate_id"),
-        k.alias("record_ord"),
-        by_case(k % 4, {0: F.concat(F.lit("Customer  "), text(c)), 1: "", 2: None}, "   ").alias("candidateName"),
-        by_case(k % 4, {1: F.concat(F.lit("CUSTOMER "), text(c), F.lit(" ")), 2: ""}, "unused").alias("full_name"),
-        F.concat(F.lit("customer "), text(c), F.lit(" jr")).alias("name"),
-        by_case(k % 3, {0: F.concat(F.lit("C"), text(c), F.lit("@Work.Example.com"))}, "").alias("contactEmail"),
-        by_case(
-            k % 31, {0: "bad at example"},
-            F.concat(F.lit("alt"), text(k % 4), F.lit("."), text(c), F.lit("@example.org")),
-        ).alias("email"),
-        by_case(k % 4, {0: F.lower(segment), 2: segment}, None).alias("employer"),
-        F.concat(F.lit("  "), segment).alias("current_company"),
-        by_case(k % 5, {0: ""}, F.col("o_orderpriority")).alias("currentTitle"),
-        F.concat(F.lit("nation_"), text(c % 25)).alias("title"),
+    segment = one_of(SEGMENTS, "o_custkey % 5")
+    return table(spark, folder, "orders").selectExpr(
+        "CAST(o_custkey AS STRING) AS candidate_id",
+        "o_orderkey AS record_ord",
+        by_case("o_orderkey % 4", {0: "'Customer  ' || o_custkey", 1: "''", 2: "NULL"}, "'   '") + " AS candidateName",
+        by_case("o_orderkey % 4", {1: "'CUSTOMER ' || o_custkey || ' '", 2: "''"}, "'unused'") + " AS full_name",
+        "'customer ' || o_custkey || ' jr' AS name",
+        by_case("o_orderkey % 3", {0: "'C' || o_custkey || '@Work.Example.com'"}, "''") + " AS contactEmail",
+        by_case("o_orderkey % 31", {0: "'bad at example'"},
+                "'alt' || (o_orderkey % 4) || '.' || o_custkey || '@example.org'") + " AS email",
+        by_case("o_orderkey % 4", {0: f"lower({segment})", 2: segment}) + " AS employer",
+        f"'  ' || {segment} AS current_company",
+        "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS currentTitle",
+        "'nation_' || (o_custkey % 25) AS title",
     )
 
 
 def ats_json(spark: SparkSession, folder: str) -> DataFrame:
     """The same records as JSON text, some of them broken in different ways."""
     typed = ats(spark, folder)
-    body = F.to_json(F.struct(*[c for c in typed.columns if c not in ("candidate_id", "record_ord")]))
-    return typed.select(
-        "candidate_id",
-        "record_ord",
-        by_case(
-            F.col("record_ord") % 97,
-            {0: "[1,2]", 1: '{"candidateName": 5}', 2: '{"candidateName": ', 3: "{}", 4: '{"name": 0, "title": []}'},
-            body,
-        ).alias("payload"),
-    )
+    names = ", ".join(c for c in typed.columns if c not in ("candidate_id", "record_ord"))
+    payload = by_case("record_ord % 97", {
+        0: "'[1,2]'",
+        1: """'{"candidateName": 5}'""",
+        2: """'{"candidateName": '""",
+        3: "'{}'",
+        4: """'{"name": 0, "title": []}'""",
+    }, f"to_json(struct({names}))")
+    return typed.selectExpr("candidate_id", "record_ord", f"{payload} AS payload")
 
 
 def profile(spark: SparkSession, folder: str) -> DataFrame:
-    """First sign-up event of a user as the code-host profile."""
-    u, e = F.col("user_id"), F.col("event_id")
+    """First sign-up event of a user as the code-host profile; every 23rd one
+    is an empty object."""
     first = (
         table(spark, folder, "events")
-        .filter(F.col("event_type") == "signup")
+        .filter("event_type = 'signup'")
         .groupBy("user_id")
-        .agg(F.min(F.struct("ts", "event_id"))["event_id"].alias("event_id"))
+        .agg(F.expr("min(struct(ts, event_id)).event_id AS event_id"))
     )
-    # every 23rd profile is an empty object
-    filled = u % 23 != 5
-    bio = F.concat(F.lit("Signed up as event "), text(e), F.lit(" \t since 2024 "))
-    return first.select(
-        text(u).alias("candidate_id"),
-        e.alias("record_ord"),
-        F.when(filled, by_case(u % 10, {4: None}, F.concat(F.lit("user-"), text(u)))).alias("login"),
-        F.when(filled, by_case(u % 7, {2: ""}, F.concat(F.lit("User  "), text(u)))).alias("name"),
-        F.when(filled, by_case(u % 5, {1: ""}, bio)).alias("bio"),
+    filled = "CASE WHEN user_id % 23 <> 5 THEN"
+    empty, login, name = "''", "'user-' || user_id", "'User  ' || user_id"
+    bio = "'Signed up as event ' || event_id || ' ' || char(9) || ' since 2024 '"
+    return first.selectExpr(
+        "CAST(user_id AS STRING) AS candidate_id",
+        "event_id AS record_ord",
+        f"{filled} {by_case('user_id % 10', {4: 'NULL'}, login)} END AS login",
+        f"{filled} {by_case('user_id % 7', {2: empty}, name)} END AS name",
+        f"{filled} {by_case('user_id % 5', {1: empty}, bio)} END AS bio",
     )
 
 
 def repos(spark: SparkSession, folder: str) -> DataFrame:
     """All other events of a user as repositories."""
-    number = F.get_json_object("props", "$.k").cast("int")
-    return (
-        table(spark, folder, "events")
-        .filter(F.col("event_type") != "signup")
-        .select(
-            text(F.col("user_id")).alias("candidate_id"),
-            F.col("event_id").alias("repo_pos"),
-            F.concat(F.lit("repo-"), text(F.col("event_id"))).alias("name"),
-            one_of(LANGUAGES, number % len(LANGUAGES)).alias("language"),
-        )
+    language = one_of(LANGUAGES, f"CAST(get_json_object(props, '$.k') AS INT) % {len(LANGUAGES)}")
+    return table(spark, folder, "events").filter("event_type <> 'signup'").selectExpr(
+        "CAST(user_id AS STRING) AS candidate_id",
+        "event_id AS repo_pos",
+        "'repo-' || event_id AS name",
+        f"{language} AS language",
     )
 
 
-def _fact(candidate: Column, name: str, value: Column, exp: Column, source: Column, record: Column, emit: int):
-    return [
-        text(candidate).alias("candidate_id"),
-        F.lit(name).alias("field"),
-        value.cast("string").alias("value"),
-        exp.cast(EXPERIENCE_TYPE).alias("exp"),
-        source.alias("source"),
-        F.lit("direct").alias("method"),
-        prior_of(F.lit(name), source).alias("confidence_milli"),
-        F.lit(3).alias("source_ord"),
-        record.alias("record_ord"),
-        F.lit(emit).alias("emit_ord"),
-    ]
+def _facts(df: DataFrame, candidate: str, name: str, value: str, source: str, record: str, emit: int,
+           exp: str = "NULL") -> DataFrame:
+    return df.selectExpr(
+        f"CAST({candidate} AS STRING) AS candidate_id",
+        f"'{name}' AS field",
+        f"CAST({value} AS STRING) AS value",
+        f"CAST({exp} AS {EXPERIENCE_TYPE}) AS exp",
+        f"{source} AS source",
+        "'direct' AS method",
+        "3 AS source_ord",
+        f"{record} AS record_ord",
+        f"{emit} AS emit_ord",
+    ).withColumn("confidence_milli", prior_of(F.col("field"), F.col("source"))).select(*FACT_COLUMNS)
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as work history of differing richness."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    segment = one_of(SEGMENTS, k % 2)
-    exp = F.struct(
-        F.when(k % 4 == 0, F.lower(segment)).otherwise(segment).alias("company"),
-        F.col("o_orderpriority").alias("title"),
-        F.when(k % 9 == 0, F.date_format("o_orderdate", "yyyy/MM"))
-        .when(k % 3 == 0, F.date_format("o_orderdate", "yyyy-MM")).alias("start"),
-        F.lit(None).cast("string").alias("end"),
-        F.when(k % 5 == 0, F.concat(F.lit("order "), text(k))).otherwise("").alias("summary"),
-    )
-    return table(spark, folder, "orders").select(
-        *_fact(c, "experience", F.lit(None), exp, one_of(HISTORY_SOURCES, k % 3), k, 0)
-    )
+    """Orders as work history of differing richness, with some wrong dates."""
+    segment = one_of(SEGMENTS, "o_orderkey % 2")
+    exp = f"""named_struct(
+      'company', CASE WHEN o_orderkey % 4 = 0 THEN lower({segment}) ELSE {segment} END,
+      'title', o_orderpriority,
+      'start', CASE WHEN o_orderkey % 9 = 0 THEN date_format(o_orderdate, 'yyyy/MM')
+                    WHEN o_orderkey % 3 = 0 THEN date_format(o_orderdate, 'yyyy-MM') END,
+      'end', CAST(NULL AS STRING),
+      'summary', CASE WHEN o_orderkey % 5 = 0 THEN 'order ' || o_orderkey ELSE '' END)"""
+    return _facts(table(spark, folder, "orders"), "o_custkey", "experience", "NULL",
+                  one_of(HISTORY_SOURCES, "o_orderkey % 3"), "o_orderkey", 0, exp)
 
 
 def declared_skills(spark: SparkSession, folder: str) -> DataFrame:
     """One declared skill per order, in three kinds of sources."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    raw = F.coalesce(one_of(LANGUAGES, (k + c) % 6), F.lit("py"))
-    return table(spark, folder, "orders").select(
-        *_fact(c, "skills", skill_name(raw), F.lit(None), one_of(SKILL_SOURCES, k % 3), k, 1)
-    )
+    raw = f"coalesce({one_of(LANGUAGES, '(o_orderkey + o_custkey) % 6')}, 'py')"
+    rows = _facts(table(spark, folder, "orders"), "o_custkey", "skills", raw,
+                  one_of(SKILL_SOURCES, "o_orderkey % 3"), "o_orderkey", 1)
+    return rows.withColumn("value", skill_name(F.col("value")))
 
 
 def headlines(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, folder, "customer").select(
-        *_fact(k, "headline", F.concat(F.col("c_mktsegment"), F.lit(" lead")), F.lit(None),
-               one_of(HEADLINE_SOURCES, k % 3), k, 0)
-    )
+    return _facts(table(spark, folder, "customer"), "c_custkey", "headline", "c_mktsegment || ' lead'",
+                  one_of(HEADLINE_SOURCES, "c_custkey % 3"), "c_custkey", 0)
 
 
 def places(spark: SparkSession, folder: str) -> DataFrame:
     """Facts of a field without a merge rule."""
-    k = F.col("c_custkey")
-    return table(spark, folder, "customer").select(
-        *_fact(k, "location", text(F.col("c_nationkey")), F.lit(None), one_of(HISTORY_SOURCES, k % 3), k, 1)
-    )
+    return _facts(table(spark, folder, "customer"), "c_custkey", "location", "c_nationkey",
+                  one_of(HISTORY_SOURCES, "c_custkey % 3"), "c_custkey", 1)
 
 
 def page_links(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as links of candidates, six to a candidate, on changing hosts."""
-    p = F.col("page_id")
-    candidate = F.floor(p / 6)
-    url = by_case(
-        p % 5,
-        {
-            0: F.concat(F.lit("https://github.com/user-"), text(candidate)),
-            1: F.concat(F.lit("https://www.linkedin.com/in/u"), text(F.floor(p / 2))),
-            2: F.col("url"),
-            3: F.concat(F.lit("https://github.com/x?via=linkedin.com&n="), text(p % 2)),
-        },
-        F.concat(F.lit("https://www.linkedin.com/in/u"), text(candidate)),
-    )
-    source = F.when(p % 2 == 0, "linkedin").otherwise("recruiter_csv")
-    return table(spark, folder, "pages").select(*_fact(candidate, "links", url, F.lit(None), source, p, 0))
+    url = by_case("page_id % 5", {
+        0: "'https://github.com/user-' || (page_id div 6)",
+        1: "'https://www.linkedin.com/in/u' || (page_id div 2)",
+        2: "url",
+        3: "'https://github.com/x?via=linkedin.com&n=' || (page_id % 2)",
+    }, "'https://www.linkedin.com/in/u' || (page_id div 6)")
+    source = "CASE WHEN page_id % 2 = 0 THEN 'linkedin' ELSE 'recruiter_csv' END"
+    return _facts(table(spark, folder, "pages"), "page_id div 6", "links", url, source, "page_id", 0)
 
 
 def extra_facts(spark: SparkSession, folder: str) -> list[DataFrame]:
-    makers = (history, declared_skills, headlines, places, page_links)
-    return [m(spark, folder).select(*FACT_COLUMNS) for m in makers]
+    return [make(spark, folder) for make in (history, declared_skills, headlines, places, page_links)]
 
 
 def date_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Order dates in many writings, some of them no dates."""
-    k, day = F.col("o_orderkey"), F.col("o_orderdate")
-    return table(spark, folder, "orders").select(
-        k.alias("record_ord"),
-        by_case(
-            k % 10,
-            {
-                0: F.date_format(day, "yyyy-MM-dd"),
-                1: F.concat(F.lit("  "), F.date_format(day, "MMM yyyy")),
-                2: F.date_format(day, "MMMM yyyy"),
-                3: F.date_format(day, "yyyy"),
-                4: F.concat(F.date_format(day, "yyyy"), F.lit("-99T")),
-                5: "not a date",
-                6: None,
-                7: "",
-                8: F.concat(F.date_format(day, "MMM"), F.lit(".  "), F.date_format(day, "yyyy"), F.lit(" ")),
-            },
-            F.concat(F.lit("Xyz "), F.date_format(day, "yyyy")),
-        ).alias("raw"),
-    )
+    year, month = "date_format(o_orderdate, 'yyyy')", "date_format(o_orderdate, 'MMM')"
+    raw = by_case("o_orderkey % 10", {
+        0: "date_format(o_orderdate, 'yyyy-MM-dd')",
+        1: f"'  ' || {month} || ' ' || {year}",
+        2: f"date_format(o_orderdate, 'MMMM') || ' ' || {year}",
+        3: year,
+        4: f"{year} || '-99T'",
+        5: "'not a date'",
+        6: "NULL",
+        7: "''",
+        8: f"{month} || '.  ' || {year} || ' '",
+    }, f"'Xyz ' || {year}")
+    return table(spark, folder, "orders").selectExpr("o_orderkey AS record_ord", f"{raw} AS raw")
 
 
 def wide_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts with the vowels replaced by their full-width forms."""
     return table(spark, folder, "documents").select(
-        "doc_id", F.translate("text", "aeiou", "\uff41\uff45\uff49\uff4f\uff55").alias("text")
+        "doc_id", F.translate("text", "aeiou", "ａｅｉｏｕ").alias("text")
     )
 
 
 def foreign_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as JSON profiles of unknown origin, with faults of many kinds."""
-    k, nation = F.col("c_custkey"), F.col("n_name")
-    code = F.substring(nation, 1, 2)
-    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    quoted = "'\"' || {} || '\"'".format
+    code = "CASE WHEN c_custkey % 2 = 0 THEN left(n_name, 2) ELSE lower(left(n_name, 2)) END"
+    text = sql_literal
     parts = {
-        "candidate_id": by_case(k % 29, {0: '""', 1: "7", 2: None}, quoted(text(k))),
-        "full_name": by_case(k % 7, {1: "12", 2: "null"}, quoted(F.col("c_name"))),
-        "emails": by_case(k % 6, {1: '["a@b.co",5,null]', 2: '"a@b.co"', 3: "null"}, '["a@b.co"]'),
-        "phones": by_case(k % 5, {1: '["98765",""]', 2: '["+9198",7]', 3: None}, '["+919876543210"]'),
+        "candidate_id": by_case("c_custkey % 29", {0: text('""'), 1: "'7'", 2: "NULL"}, quoted("c_custkey")),
+        "full_name": by_case("c_custkey % 7", {1: "'12'", 2: "'null'"}, quoted("c_name")),
+        "emails": by_case("c_custkey % 6", {1: text('["a@b.co",5,null]'), 2: text('"a@b.co"'), 3: "'null'"},
+                          text('["a@b.co"]')),
+        "phones": by_case("c_custkey % 5", {1: text('["98765",""]'), 2: text('["+9198",7]'), 3: "NULL"},
+                          text('["+919876543210"]')),
         "location": by_case(
-            k % 8,
-            {1: '"home"', 2: "null", 3: '{"city":"X","zip":"1"}', 4: '{"country":5}'},
-            F.concat(F.lit('{"city":"X","country":"'), F.when(k % 2 == 0, code).otherwise(F.lower(code)), F.lit('"}')),
+            "c_custkey % 8",
+            {1: text('"home"'), 2: "'null'", 3: text('{"city":"X","zip":"1"}'), 4: text('{"country":5}')},
+            text('{"city":"X","country":"') + f" || {code} || " + text('"}'),
         ),
         "links": by_case(
-            k % 9, {1: "[]", 2: '{"github":"g","blog":"b"}', 3: '{"other":"x"}', 4: "null", 5: '{"other":null}'},
-            '{"linkedin":null,"other":[]}',
+            "c_custkey % 9",
+            {1: "'[]'", 2: text('{"github":"g","blog":"b"}'), 3: text('{"other":"x"}'), 4: "'null'",
+             5: text('{"other":null}')},
+            text('{"linkedin":null,"other":[]}'),
         ),
-        "headline": by_case(k % 4, {1: "true", 2: None}, '"lead"'),
-        "years_experience": by_case(k % 10, {1: '"4"', 2: "null", 3: "true"}, "4.5"),
+        "headline": by_case("c_custkey % 4", {1: "'true'", 2: "NULL"}, text('"lead"')),
+        "years_experience": by_case("c_custkey % 10", {1: text('"4"'), 2: "'null'", 3: "'true'"}, "'4.5'"),
         "skills": by_case(
-            k % 11,
-            {1: '["x"]', 2: '[{"confidence":1}]', 3: '[{"name":5,"confidence":"a","sources":{}}]', 4: "{}"},
-            '[{"name":"Go","confidence":0.5,"sources":["a"]}]',
+            "c_custkey % 11",
+            {1: text('["x"]'), 2: text('[{"confidence":1}]'),
+             3: text('[{"name":5,"confidence":"a","sources":{}}]'), 4: "'{}'"},
+            text('[{"name":"Go","confidence":0.5,"sources":["a"]}]'),
         ),
         "experience": by_case(
-            k % 12,
+            "c_custkey % 12",
             {
-                1: '[{"company":"C","title":"T","start":"2022/01","end":null,"summary":""}]',
-                2: '[{"company":"C","start":"2022-01","end":202202}]',
-                3: '["x",null]',
-                4: "5",
+                1: text('[{"company":"C","title":"T","start":"2022/01","end":null,"summary":""}]'),
+                2: text('[{"company":"C","start":"2022-01","end":202202}]'),
+                3: text('["x",null]'),
+                4: "'5'",
             },
-            '[{"company":"C","title":"T","start":"2022-01","end":"2023-02","summary":""}]',
+            text('[{"company":"C","title":"T","start":"2022-01","end":"2023-02","summary":""}]'),
         ),
-        "education": by_case(k % 3, {1: '[{"institution":"I","degree":null}]', 2: "[1.5]"}, "[]"),
-        "provenance": by_case(k % 13, {1: '[{"field":"f"}]', 2: '["p"]'}, '[{"field":"f","source":"s","method":"m"}]'),
-        "overall_confidence": by_case(k % 15, {1: "1.5", 2: "null", 3: "-0.25", 4: "true"}, "0.75"),
+        "education": by_case("c_custkey % 3", {1: text('[{"institution":"I","degree":null}]'), 2: "'[1.5]'"}, "'[]'"),
+        "provenance": by_case("c_custkey % 13", {1: text('[{"field":"f"}]'), 2: text('["p"]')},
+                              text('[{"field":"f","source":"s","method":"m"}]')),
+        "overall_confidence": by_case("c_custkey % 15", {1: "'1.5'", 2: "'null'", 3: "'-0.25'", 4: "'true'"}, "'0.75'"),
     }
-    fields = [
-        F.when(v.isNotNull(), F.concat(F.lit(f'"{name}":'), v)) for name, v in parts.items()
-    ]
-    body = F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*fields)), ","), F.lit("}"))
+    entries = ", ".join(text(f'"{name}":') + f" || {value}" for name, value in parts.items())
     return (
         table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(k.alias("row_id"), body.alias("document"))
+        .join(table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr("c_custkey AS row_id", f"'{{' || concat_ws(',', {entries}) || '}}' AS document")
     )
 
 
