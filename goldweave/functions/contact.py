@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import COUNTRY_PREFIX
-from .text import strip
+from .text import WS_CHARS, strip
+
+PART = f"[^@{WS_CHARS}]"
 
 
 def phone_e164(raw: Column) -> Column:
@@ -26,4 +28,4 @@ def phone_e164(raw: Column) -> Column:
 def email_address(raw: Column) -> Column:
     """Trimmed lower-case address, null unless it reads name@host.tld."""
     address = F.lower(strip(raw))
-    return F.when(address.rlike(r"(?U)^[^@\s\x1c-\x1f]+@[^@\s\x1c-\x1f]+\.[^@\s\x1c-\x1f]+$"), address)
+    return F.when(address.rlike(rf"^{PART}+@{PART}+\.{PART}+$"), address)

@@ -6,7 +6,7 @@ columns: no section is merged on its own, nothing is unioned or joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -29,97 +29,65 @@ LEDGER_COLUMNS = [
 ]
 
 
-def is_single() -> Column:
-    return F.col("section_ord").isin(SINGLE_NOS)
+# conditions and keys of the rules, as SQL text
+SINGLE = f"section_ord IN ({', '.join(map(str, SINGLE_NOS))})"
+CODE_HOST_HIT = f"coalesce(section_ord = {LINKS} AND contains(value, '{CODE_HOST_DOMAIN}'), false)"
+NETWORK_HIT = f"coalesce(section_ord = {LINKS} AND contains(value, '{NETWORK_DOMAIN}'), false)"
+# most trusted value, then the source first in priority, then arrival
+WINNER = f"min(CASE WHEN {SINGLE} THEN struct(-confidence_milli, priority, r) END)"
+# rank of the first code-host link, and of the first network link but that one
+FIRST_CODE_HOST = f"min(CASE WHEN {CODE_HOST_HIT} THEN r END)"
+FIRST_NETWORK = f"min(CASE WHEN {NETWORK_HIT} AND NOT is_code_host THEN r END)"
+# entry with the most filled attributes, the earliest of equals
+BEST_EXP = "max_by(exp, struct(richness, -r))"
+# place of a link; for other sections the merge key
+SLOT = f"""CASE WHEN section_ord <> {LINKS} THEN item WHEN is_code_host THEN 'github'
+  WHEN r = network_r THEN 'linkedin' WHEN section_ord = {LINKS} THEN 'other:' || item END"""
+SEQ = f"CASE WHEN {SINGLE} THEN CASE WHEN r = win_r THEN 1 WHEN r < win_r THEN r + 1 ELSE r END ELSE r END"
+PROV_METHOD = f"""CASE WHEN section_ord IS NULL THEN NULL
+  WHEN {SINGLE} AND r <> win_r THEN 'discarded:' || method
+  WHEN section_ord IN ({EMAILS}, {PHONES}) AND NOT is_first THEN NULL
+  WHEN section_ord = {EXPERIENCE} AND NOT is_first THEN 'merged-duplicate:' || method
+  ELSE method END"""
+# only decisions that won a place count for the confidence
+WON = """CASE WHEN NOT startswith(prov_method, 'discarded') AND NOT startswith(prov_method, 'merged-duplicate')
+  THEN confidence_milli END"""
+# arrival order, with the content last so that equal positions sort alike in
+# every run
+SORT_KEYS = ["trust", "source_ord", "record_ord", "emit_ord", "source", "method", "item"]
 
 
 def in_sections(facts: DataFrame) -> DataFrame:
     """Section number and sort keys of every fact. Facts of a field that has no
     merge rule keep no section, like the markers of candidates without facts."""
-    exp = F.col("exp")
-    filled = [exp[k] for k in ("company", "title", "start", "end", "summary")]
-    richness = sum((F.when(x != "", 1).otherwise(0) for x in filled[1:]), F.when(filled[0] != "", 1).otherwise(0))
-    company = F.lower(F.coalesce(exp["company"], F.lit("")))
-    title = F.lower(F.coalesce(exp["title"], F.lit("")))
-    section = F.try_element_at(literal_map(SECTION_NO), F.coalesce(F.col("field"), F.lit("")))
-    return (
-        facts.withColumn("section_ord", section)
-        .withColumn("priority", priority_of(F.coalesce(F.col("source"), F.lit(""))))
-        .withColumn("richness", richness)
-        # single values: order of arrival; lists: most trusted first, then arrival
-        .withColumn("trust", F.when(is_single(), 0).otherwise(-F.col("confidence_milli")))
-        .withColumn(
-            "item",
-            F.when(is_single(), F.lit(""))
-            # the length keeps company and title apart in the joint key
-            .when(F.col("section_ord") == EXPERIENCE,
-                  F.concat(F.length(company).cast("string"), F.lit(":"), company, title))
-            .otherwise(F.col("value")),
-        )
+    filled = " + ".join(
+        f"CASE WHEN exp.{c} <> '' THEN 1 ELSE 0 END" for c in ("company", "title", "start", "`end`", "summary")
     )
-
-
-def sort_keys() -> list[Column]:
-    """Arrival order, with the content last so that equal positions sort alike
-    in every run."""
-    names = ["trust", "source_ord", "record_ord", "emit_ord", "source", "method", "item"]
-    return [F.col(n) for n in names]
-
-
-def _winner() -> Column:
-    """Most trusted value, then the source first in priority, then arrival."""
-    return F.min(
-        F.when(is_single(), F.struct(-F.col("confidence_milli"), F.col("priority"), F.col("r")))
-    )
-
-
-def _is_link(domain: str) -> Column:
-    return (F.col("section_ord") == LINKS) & F.col("value").contains(domain)
-
-
-def _code_host_link() -> Column:
-    """Rank of code-host links: the first of a candidate takes the place."""
-    return F.when(_is_link(CODE_HOST_DOMAIN), F.col("r"))
-
-
-def _network_link() -> Column:
-    """Rank of network links, but for the one that is the code-host link."""
-    return F.when(_is_link(NETWORK_DOMAIN) & ~F.col("is_code_host"), F.col("r"))
-
-
-def _slot() -> Column:
-    """Place of a link by its rank; for other sections the merge key."""
-    links = F.col("section_ord") == LINKS
     return (
-        F.when(links & F.col("is_code_host"), "github")
-        .when(links & (F.col("r") == F.col("network_r")), "linkedin")
-        .when(links, F.concat(F.lit("other:"), F.col("item")))
-        .otherwise(F.col("item"))
+        facts.withColumns({
+            "section_ord": F.try_element_at(literal_map(SECTION_NO), F.coalesce("field", F.lit(""))),
+            "priority": priority_of(F.coalesce("source", F.lit(""))),
+            "richness": F.expr(filled),
+            "_company": F.expr("lower(coalesce(exp.company, ''))"),
+            "_title": F.expr("lower(coalesce(exp.title, ''))"),
+        })
+        .withColumns({
+            # single values: order of arrival; lists: most trusted first
+            "trust": F.expr(f"CASE WHEN {SINGLE} THEN 0 ELSE -confidence_milli END"),
+            # the length keeps company and title apart in the joint key
+            "item": F.expr(
+                f"CASE WHEN {SINGLE} THEN '' WHEN section_ord = {EXPERIENCE} "
+                "THEN concat(length(_company), ':', _company, _title) ELSE value END"
+            ),
+        })
+        .drop("_company", "_title")
     )
 
 
-def _best_exp() -> Column:
-    """Entry with the most filled attributes, the earliest of equals."""
-    return F.max_by("exp", F.struct(F.col("richness"), -F.col("r")))
-
-
 def _finish(df: DataFrame) -> DataFrame:
-    win = F.col("win_r")
-    seq = F.when(
-        is_single(),
-        F.when(F.col("r") == win, 1).when(F.col("r") < win, F.col("r") + 1).otherwise(F.col("r")),
-    ).otherwise(F.col("r"))
-    prov_method = (
-        F.when(F.col("section_ord").isNull(), F.lit(None))
-        .when(is_single() & (F.col("r") != win), F.concat(F.lit("discarded:"), F.col("method")))
-        .when(F.col("section_ord").isin(EMAILS, PHONES) & ~F.col("is_first"), F.lit(None))
-        .when((F.col("section_ord") == EXPERIENCE) & ~F.col("is_first"),
-              F.concat(F.lit("merged-duplicate:"), F.col("method")))
-        .otherwise(F.col("method"))
-    )
-    return df.withColumn("seq", seq.cast("bigint")).withColumn("prov_method", prov_method).select(
-        *LEDGER_COLUMNS
-    )
+    return df.withColumns({
+        "seq": F.expr(f"CAST({SEQ} AS BIGINT)"), "prov_method": F.expr(PROV_METHOD)
+    }).select(*LEDGER_COLUMNS)
 
 
 def ledger_in_place(facts: DataFrame) -> DataFrame:
@@ -127,22 +95,19 @@ def ledger_in_place(facts: DataFrame) -> DataFrame:
     that all reuse it."""
     placed = in_sections(facts).repartition("candidate_id")
     group = Window.partitionBy(*GROUP)
-    in_order = group.orderBy(*sort_keys())
-    item = Window.partitionBy(*GROUP, "slot")
+    in_order = group.orderBy(*SORT_KEYS)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    code_host = F.coalesce(_is_link(CODE_HOST_DOMAIN), F.lit(False))
+    item = Window.partitionBy(*GROUP, "slot")
     return _finish(
-        placed.withColumn("_code_host", code_host)
-        .withColumns({
+        placed.withColumns({
             "r": F.row_number().over(in_order),
-            "_nth": F.count(F.when(F.col("_code_host"), 1)).over(so_far),
+            "_nth": F.expr(f"count_if({CODE_HOST_HIT})").over(so_far),
         })
-        .withColumn("is_code_host", F.col("_code_host") & (F.col("_nth") == 1))
-        .withColumns({"_win": _winner().over(group), "network_r": F.min(_network_link()).over(group)})
-        .withColumns({"win_r": F.col("_win.r"), "slot": _slot()})
-        .withColumns({"item_r": F.min("r").over(item), "_best": _best_exp().over(item)})
-        .withColumn("is_first", F.col("r") == F.col("item_r"))
-        .withColumn("best_exp", F.when(F.col("is_first"), F.col("_best")))
+        .withColumn("is_code_host", F.expr(f"{CODE_HOST_HIT} AND _nth = 1"))
+        .withColumns({"_win": F.expr(WINNER).over(group), "network_r": F.expr(FIRST_NETWORK).over(group)})
+        .withColumns({"win_r": F.col("_win.r"), "slot": F.expr(SLOT)})
+        .withColumns({"item_r": F.min("r").over(item), "_best": F.expr(BEST_EXP).over(item)})
+        .withColumns({"is_first": F.expr("r = item_r"), "best_exp": F.expr("CASE WHEN r = item_r THEN _best END")})
     )
 
 
@@ -151,27 +116,25 @@ def ledger_across(hot: DataFrame, few: bool) -> DataFrame:
     and aggregates that combine before their shuffle. Results per group return
     by a join on rank, which is unique, so that no join key is hot either."""
     facts = in_sections(hot).filter(F.col("section_ord").isNotNull())
-    rows = ranked(facts, GROUP, sort_keys(), "r", few)
+    rows = ranked(facts, GROUP, SORT_KEYS, "r", few)
     heads = rows.groupBy(*GROUP).agg(
-        _winner()["r"].alias("win_r"), F.min(_code_host_link()).alias("code_host_r")
-    )
-    rows = rows.join(small(heads, few), GROUP).withColumn(
-        "is_code_host", F.coalesce(F.col("r") == F.col("code_host_r"), F.lit(False))
+        F.expr(f"{WINNER}.r").alias("win_r"), F.expr(FIRST_CODE_HOST).alias("code_host_r")
     )
+    rows = rows.join(small(heads, few), GROUP).withColumn("is_code_host", F.expr("coalesce(r = code_host_r, false)"))
     network = (
-        rows.filter(F.col("section_ord") == LINKS)
-        .groupBy("candidate_id")
-        .agg(F.min(_network_link()).alias("network_r"))
+        rows.filter(f"section_ord = {LINKS}").groupBy("candidate_id").agg(F.expr(FIRST_NETWORK).alias("network_r"))
+    )
+    rows = rows.join(small(network, few), "candidate_id", "left").withColumn("slot", F.expr(SLOT))
+    firsts = (
+        rows.groupBy(*GROUP, "slot")
+        .agg(F.min("r").alias("r"), F.expr(BEST_EXP).alias("best_exp"), F.lit(True).alias("_first"))
+        .drop("slot")
+    )
+    return _finish(
+        rows.join(firsts, [*GROUP, "r"], "left").withColumns({
+            "is_first": F.coalesce("_first", F.lit(False)), "item_r": F.lit(None).cast("bigint")
+        })
     )
-    rows = rows.join(small(network, few), "candidate_id", "left").withColumn("slot", _slot())
-    firsts = rows.groupBy(*GROUP, "slot").agg(
-        F.min("r").alias("r"), _best_exp().alias("best_exp"), F.lit(True).alias("_first")
-    ).drop("slot")
-    rows = rows.join(firsts, [*GROUP, "r"], "left").withColumns({
-        "is_first": F.coalesce("_first", F.lit(False)),
-        "item_r": F.lit(None).cast("bigint"),
-    })
-    return _finish(rows)
 
 
 def ledger(facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None) -> DataFrame:
@@ -191,12 +154,6 @@ def provenance(ledger_rows: DataFrame) -> DataFrame:
     )
 
 
-def counts_for_confidence() -> Column:
-    """Only decisions that won a place count."""
-    method = F.col("prov_method")
-    return method.isNotNull() & ~method.startswith("discarded") & ~method.startswith("merged-duplicate")
-
-
 def unmerged(facts: DataFrame) -> DataFrame:
     """Facts of fields that have no merge rule, counted for the run report."""
     known = list(SECTION_NO)

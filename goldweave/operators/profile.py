@@ -19,7 +19,7 @@ from .ledger import (
     LINKS,
     PHONES,
     SKILLS,
-    counts_for_confidence,
+    WON,
     ledger_across,
     ledger_in_place,
 )
@@ -33,71 +33,55 @@ PROFILE_COLUMNS = [
 ]
 
 
-def _list_of(section: int, *columns: Column, also: Column | None = None) -> Column:
+def _rows_of(section: int, columns: str, also: str = "true") -> Column:
     """Rows of a section in rank order."""
-    here = F.col("section_ord") == section
-    if also is not None:
-        here = here & also
-    return F.array_sort(F.collect_list(F.when(here, F.struct(F.col("seq"), *columns))))
+    return F.expr(
+        f"array_sort(collect_list(CASE WHEN section_ord = {section} AND {also} THEN struct(seq, {columns}) END))"
+    )
+
+
+def _value_of(where: str) -> Column:
+    return F.expr(f"max(CASE WHEN {where} THEN value END)")
 
 
 def _pages(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One aggregate per candidate (and page); rows carry in ``item_seq`` the
     rank of the first row of their item, and in ``trust`` its confidence."""
-    value, first = F.col("value"), F.col("is_first")
-    winner = F.col("seq") == 1
-    links = F.col("section_ord") == LINKS
-    won = F.when(counts_for_confidence(), F.col("confidence_milli"))
-    decided = F.when(
-        F.col("prov_method").isNotNull(),
-        F.struct(
-            "section_ord", "seq", "field", "source",
-            F.col("prov_method").alias("method"), "confidence_milli",
-        ),
-    )
-    skill = F.struct("item_seq", "seq", "value", "trust", "source")
+    link = f"section_ord = {LINKS}"
     collected = rows.groupBy(*keys).agg(
-        F.max(F.when((F.col("section_ord") == SECTION_NO["full_name"]) & winner, value)).alias("full_name"),
-        F.max(F.when((F.col("section_ord") == SECTION_NO["headline"]) & winner, value)).alias("headline"),
-        _list_of(EMAILS, value, also=first).alias("emails"),
-        _list_of(PHONES, value, also=first).alias("phones"),
-        F.max(F.when(links & (F.col("slot") == "linkedin"), value)).alias("linkedin"),
-        F.max(F.when(links & (F.col("slot") == "github"), value)).alias("github"),
-        _list_of(LINKS, value, also=first & F.col("slot").startswith("other:")).alias("other"),
-        F.array_sort(F.collect_list(F.when(F.col("section_ord") == SKILLS, skill))).alias("skills"),
-        _list_of(EXPERIENCE, F.col("best_exp"), also=first).alias("experience"),
-        F.array_sort(F.collect_list(decided)).alias("provenance"),
-        F.sum(won).alias("won_sum"),
-        F.count(won).alias("won_n"),
+        _value_of(f"section_ord = {SECTION_NO['full_name']} AND seq = 1").alias("full_name"),
+        _value_of(f"section_ord = {SECTION_NO['headline']} AND seq = 1").alias("headline"),
+        _value_of(f"{link} AND slot = 'linkedin'").alias("linkedin"),
+        _value_of(f"{link} AND slot = 'github'").alias("github"),
+        _rows_of(EMAILS, "value", "is_first").alias("emails"),
+        _rows_of(PHONES, "value", "is_first").alias("phones"),
+        _rows_of(LINKS, "value", "is_first AND startswith(slot, 'other:')").alias("other"),
+        _rows_of(EXPERIENCE, "best_exp", "is_first").alias("experience"),
+        F.expr(
+            f"array_sort(collect_list(CASE WHEN section_ord = {SKILLS} "
+            "THEN struct(item_seq, seq, value, trust, source) END))"
+        ).alias("skills"),
+        F.expr(
+            "array_sort(collect_list(CASE WHEN prov_method IS NOT NULL "
+            "THEN struct(section_ord, seq, field, source, prov_method, confidence_milli) END))"
+        ).alias("provenance"),
+        F.expr(f"sum({WON})").alias("won_sum"),
+        F.expr(f"count({WON})").alias("won_n"),
     )
     # skill rows are sorted by skill: every skill is one run of the list
-    heads = F.filter(
-        F.transform("skills", lambda s, i: F.struct(s.alias("s"), i.alias("at"))),
-        lambda h: h["s"]["seq"] == h["s"]["item_seq"],
-    )
-
-    def skill_entry(head: Column, i: Column) -> Column:
-        end = F.coalesce(F.get("_heads", i + 1)["at"], F.size("skills"))
-        run = F.slice("skills", head["at"] + 1, end - head["at"])
-        return F.struct(
-            head["s"]["value"].alias("name"),
-            as_ratio(head["s"]["trust"]).alias("confidence"),
-            F.transform(run, lambda s: s["source"]).alias("sources"),
-        )
-
-    def values(name: str) -> Column:
-        return F.transform(name, lambda x: x["value"])
-
-    return collected.withColumn("_heads", heads).withColumns({
-        "emails": values("emails"),
-        "phones": values("phones"),
-        "other": values("other"),
-        "skills": F.transform("_heads", skill_entry),
-        "experience": F.transform("experience", lambda x: x["best_exp"]),
-        "provenance": F.transform("provenance", lambda d: F.struct(
-            d["field"].alias("field"), d["source"].alias("source"), d["method"].alias("method"),
-            as_ratio(d["confidence_milli"]).alias("confidence"),
-        )),
+    heads = "filter(transform(skills, (s, i) -> struct(s, i AS at)), h -> h.s.seq = h.s.item_seq)"
+    skill = """transform(_heads, (h, i) -> struct(
+      h.s.value AS name, h.s.trust / 1000D AS confidence,
+      transform(slice(skills, h.at + 1, coalesce(get(_heads, i + 1).at, size(skills)) - h.at), s -> s.source) AS sources))"""
+    decision = """transform(provenance, d -> struct(
+      d.field AS field, d.source AS source, d.prov_method AS method, d.confidence_milli / 1000D AS confidence))"""
+    return collected.withColumn("_heads", F.expr(heads)).withColumns({
+        "emails": F.expr("emails.value"),
+        "phones": F.expr("phones.value"),
+        "other": F.expr("other.value"),
+        "experience": F.expr("experience.best_exp"),
+        "skills": F.expr(skill),
+        "provenance": F.expr(decision),
     }).drop("_heads")
 
 
@@ -140,8 +124,7 @@ def profiles_across(split: Split, page_rows: int = HOT_LIMIT) -> DataFrame:
         "page", F.floor((F.col("seq") - 1) / page_rows).cast("bigint")
     )
     totals = rows.groupBy("candidate_id").agg(
-        F.sum(F.when(counts_for_confidence(), F.col("confidence_milli"))).alias("won_sum"),
-        F.count(F.when(counts_for_confidence(), F.lit(1))).alias("won_n"),
+        F.expr(f"sum({WON})").alias("won_sum"), F.expr(f"count({WON})").alias("won_n")
     )
     # a skill that goes on in further pages keeps the confidence of its first row
     skill = ["candidate_id", "section_ord", "slot"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import settle
@@ -83,7 +83,7 @@ def small(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
-def ranked(df: DataFrame, groups: list[str], order: list[Column], name: str, few: bool) -> DataFrame:
+def ranked(df: DataFrame, groups: list[str], order: list[str], name: str, few: bool) -> DataFrame:
     """Number the rows of every group, without gathering a group in one task.
 
     The rows are range-partitioned by group and order, so that a large group
@@ -91,10 +91,10 @@ def ranked(df: DataFrame, groups: list[str], order: list[Column], name: str, few
     place in its partition plus the sizes of the parts of its group before it.
     There are at most as many parts as groups and partitions together.
     """
-    keys = [F.col(g) for g in groups]
+    keys = [F.col(c) for c in [*groups, *order]]
     placed = settle(
-        df.repartitionByRange(*keys, *order)
-        .sortWithinPartitions(*keys, *order)
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_row", PARTITION_BITS))
     )

@@ -211,7 +211,7 @@ def norm_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def winner_single(spark: SparkSession, folder: str) -> DataFrame:
     rows = _ledger(spark, folder)
-    return rows.filter(led.is_single() & (F.col("seq") == 1)).select(
+    return rows.filter(f"{led.SINGLE} AND seq = 1").select(
         "candidate_id", "field", "value", "source", "method", "confidence_milli"
     )
 
@@ -222,7 +222,7 @@ def _decisions(rows: DataFrame) -> DataFrame:
 
 @query
 def prov_single(spark: SparkSession, folder: str) -> DataFrame:
-    return _decisions(_ledger(spark, folder).filter(led.is_single()))
+    return _decisions(_ledger(spark, folder).filter(led.SINGLE))
 
 
 @query
@@ -237,11 +237,10 @@ def provenance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def overall_conf(spark: SparkSession, folder: str) -> DataFrame:
-    won = F.when(led.counts_for_confidence(), F.col("confidence_milli"))
     return (
         _ledger(spark, folder)
         .groupBy("candidate_id")
-        .agg(F.coalesce(F.sum(won), F.lit(0)).alias("won_sum"), F.count(won).alias("won_n"))
+        .agg(F.expr(f"coalesce(sum({led.WON}), 0) AS won_sum"), F.expr(f"count({led.WON}) AS won_n"))
         .withColumn("overall_milli", mean_milli(F.col("won_sum"), F.col("won_n")))
     )
 

@@ -142,23 +142,25 @@ def repos(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _facts(df: DataFrame, candidate: str, name: str, value: str, source: str, record: str, emit: int,
-           exp: str = "NULL") -> DataFrame:
-    return df.selectExpr(
-        f"CAST({candidate} AS STRING) AS candidate_id",
-        f"'{name}' AS field",
-        f"CAST({value} AS STRING) AS value",
-        f"CAST({exp} AS {EXPERIENCE_TYPE}) AS exp",
-        f"{source} AS source",
-        "'direct' AS method",
-        "3 AS source_ord",
-        f"{record} AS record_ord",
-        f"{emit} AS emit_ord",
-    ).withColumn("confidence_milli", prior_of(F.col("field"), F.col("source"))).select(*FACT_COLUMNS)
-
-
-def history(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as work history of differing richness, with some wrong dates."""
+def _slot(name: str, value: str, source: str, emit: int, exp: str = "NULL") -> str:
+    return (
+        f"named_struct('field', '{name}', 'value', CAST({value} AS STRING), 'exp', CAST({exp} AS {EXPERIENCE_TYPE}), "
+        f"'source', {source}, 'emit_ord', {emit})"
+    )
+
+
+def _facts(df: DataFrame, candidate: str, record: str, *slots: str) -> DataFrame:
+    """One fact per slot and row, with the prior of its field and source."""
+    rows = df.selectExpr(
+        f"CAST({candidate} AS STRING) AS candidate_id", f"{record} AS record_ord", "'direct' AS method",
+        "3 AS source_ord", f"inline(array({', '.join(slots)}))",
+    )
+    return rows.withColumn("confidence_milli", prior_of(F.col("field"), F.col("source"))).select(*FACT_COLUMNS)
+
+
+def order_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as work history of differing richness, with some wrong dates, and
+    one declared skill per order in three kinds of sources."""
     segment = one_of(SEGMENTS, "o_orderkey % 2")
     exp = f"""named_struct(
       'company', CASE WHEN o_orderkey % 4 = 0 THEN lower({segment}) ELSE {segment} END,
@@ -167,27 +169,22 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
                     WHEN o_orderkey % 3 = 0 THEN date_format(o_orderdate, 'yyyy-MM') END,
       'end', CAST(NULL AS STRING),
       'summary', CASE WHEN o_orderkey % 5 = 0 THEN 'order ' || o_orderkey ELSE '' END)"""
-    return _facts(table(spark, folder, "orders"), "o_custkey", "experience", "NULL",
-                  one_of(HISTORY_SOURCES, "o_orderkey % 3"), "o_orderkey", 0, exp)
-
-
-def declared_skills(spark: SparkSession, folder: str) -> DataFrame:
-    """One declared skill per order, in three kinds of sources."""
     raw = f"coalesce({one_of(LANGUAGES, '(o_orderkey + o_custkey) % 6')}, 'py')"
-    rows = _facts(table(spark, folder, "orders"), "o_custkey", "skills", raw,
-                  one_of(SKILL_SOURCES, "o_orderkey % 3"), "o_orderkey", 1)
-    return rows.withColumn("value", skill_name(F.col("value")))
-
-
-def headlines(spark: SparkSession, folder: str) -> DataFrame:
-    return _facts(table(spark, folder, "customer"), "c_custkey", "headline", "c_mktsegment || ' lead'",
-                  one_of(HEADLINE_SOURCES, "c_custkey % 3"), "c_custkey", 0)
+    orders = table(spark, folder, "orders").withColumn("skill", skill_name(F.expr(raw)))
+    return _facts(
+        orders, "o_custkey", "o_orderkey",
+        _slot("experience", "NULL", one_of(HISTORY_SOURCES, "o_orderkey % 3"), 0, exp),
+        _slot("skills", "skill", one_of(SKILL_SOURCES, "o_orderkey % 3"), 1),
+    )
 
 
-def places(spark: SparkSession, folder: str) -> DataFrame:
-    """Facts of a field without a merge rule."""
-    return _facts(table(spark, folder, "customer"), "c_custkey", "location", "c_nationkey",
-                  one_of(HISTORY_SOURCES, "c_custkey % 3"), "c_custkey", 1)
+def customer_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Headlines, and facts of a field without a merge rule."""
+    return _facts(
+        table(spark, folder, "customer"), "c_custkey", "c_custkey",
+        _slot("headline", "c_mktsegment || ' lead'", one_of(HEADLINE_SOURCES, "c_custkey % 3"), 0),
+        _slot("location", "c_nationkey", one_of(HISTORY_SOURCES, "c_custkey % 3"), 1),
+    )
 
 
 def page_links(spark: SparkSession, folder: str) -> DataFrame:
@@ -199,11 +196,11 @@ def page_links(spark: SparkSession, folder: str) -> DataFrame:
         3: "'https://github.com/x?via=linkedin.com&n=' || (page_id % 2)",
     }, "'https://www.linkedin.com/in/u' || (page_id div 6)")
     source = "CASE WHEN page_id % 2 = 0 THEN 'linkedin' ELSE 'recruiter_csv' END"
-    return _facts(table(spark, folder, "pages"), "page_id div 6", "links", url, source, "page_id", 0)
+    return _facts(table(spark, folder, "pages"), "page_id div 6", "page_id", _slot("links", url, source, 0))
 
 
 def extra_facts(spark: SparkSession, folder: str) -> list[DataFrame]:
-    return [make(spark, folder) for make in (history, declared_skills, headlines, places, page_links)]
+    return [make(spark, folder) for make in (order_facts, customer_facts, page_links)]
 
 
 def date_texts(spark: SparkSession, folder: str) -> DataFrame:
