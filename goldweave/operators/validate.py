@@ -7,7 +7,7 @@ are checked for types too. The messages are fixed values.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,10 +150,14 @@ def _part(item: Column, key: str) -> Column:
     return F.to_json(F.try_variant_get(item, f"$.{key}", "variant"))
 
 
-def _list_rules(name: str, check: Callable[[Column], Column], rule: str) -> Column:
-    """A list (or nothing), and a check of every element of it."""
+def _list_rules(name: str, check: Callable[[Column], Column], rule: str, keys: Sequence[str] = ()) -> Column:
+    """A list (or nothing), and a check of every element of it. The JSON texts
+    of the element and of its attributes are made once, before the checks."""
     json = F.col(f"j_{name}")
-    items = F.try_variant_get(F.col("_document"), f"$.{name}", "array<variant>")
+    items = F.transform(
+        F.try_variant_get(F.col("_document"), f"$.{name}", "array<variant>"),
+        lambda v: F.struct(F.to_json(v).alias("whole"), *[_part(v, k).alias(k) for k in keys]),
+    )
     return F.when(
         json.isNotNull() & ~_is_list(json), _fault(rule, F.lit(True), F.lit(MSG_LIST.format(name)))
     ).otherwise(_each(items, check))
@@ -161,33 +165,32 @@ def _list_rules(name: str, check: Callable[[Column], Column], rule: str) -> Colu
 
 def _record_rules(name: str, required: list[str], rule: str, more: Callable[[Column], list[Column]] | None = None) -> Column:
     def check(item: Column) -> Column:
-        whole = F.to_json(item)
+        whole = item["whole"]
         lacking = [
-            _fault(rule, _part(item, k).isNull(), _message(MSG_ENTRY_KEY, name, k, whole)) for k in required
+            _fault(rule, item[k].isNull(), _message(MSG_ENTRY_KEY, name, k, whole)) for k in required
         ]
         return F.when(
             ~_is_object(whole), _fault(rule, F.lit(True), _message(MSG_ENTRY, name, _shown(whole)))
         ).otherwise(_gather(lacking + (more(item) if more else [])))
 
-    return _list_rules(name, check, rule)
+    return _list_rules(name, check, rule, required)
 
 
 def _email(item: Column) -> Column:
-    json = F.to_json(item)
+    json = item["whole"]
     return _fault("V3", ~untyped.is_text(json), _message(MSG_EMAIL, _shown(json)))
 
 
 def _phone(item: Column) -> Column:
-    json = F.to_json(item)
-    text = untyped.text_of(json)
+    json = item["whole"]
+    bad_form = (json != '""') & ~json.startswith('"+')
     return F.when(
         ~untyped.is_text(json), _fault("V4", F.lit(True), _message(MSG_PHONE, _shown(json)))
-    ).otherwise(_fault("V4", (text != "") & ~text.startswith("+"), _message(MSG_PHONE_FORM, text)))
+    ).otherwise(_fault("V4", bad_form, _message(MSG_PHONE_FORM, _shown(json))))
 
 
 def _skill(item: Column) -> Column:
-    whole = F.to_json(item)
-    name, confidence, sources = (_part(item, k) for k in ("name", "confidence", "sources"))
+    whole, name, confidence, sources = (item[k] for k in ("whole", "name", "confidence", "sources"))
     return F.when(
         ~_is_object(whole) | name.isNull(), _fault("V9", F.lit(True), _message(MSG_SKILL, _shown(whole)))
     ).otherwise(_gather([
@@ -200,8 +203,8 @@ def _skill(item: Column) -> Column:
 def _dates(item: Column) -> list[Column]:
     found = []
     for key in ("start", "end"):
-        json = _part(item, key)
-        bad = ~_is_null(json) & (~untyped.is_text(json) | ~untyped.text_of(json).rlike(YEAR_MONTH))
+        json = item[key]
+        bad = ~_is_null(json) & (~untyped.is_text(json) | ~_shown(json).rlike(YEAR_MONTH))
         found.append(_fault("V11", bad, _message(MSG_DATE, key, _shown(json))))
     return found
 
@@ -249,7 +252,7 @@ def document_faults() -> Column:
         ]),
         text_or_null("headline", MSG_HEADLINE),
         _fault("V8", ~_is_null(j["years_experience"]) & ~_is_number(j["years_experience"]), F.lit(MSG_YEARS)),
-        _list_rules("skills", _skill, "V9"),
+        _list_rules("skills", _skill, "V9", ["name", "confidence", "sources"]),
         _record_rules("experience", EXPERIENCE_KEYS, "V10", _dates),
         _record_rules("education", EDUCATION_KEYS, "V12"),
         _record_rules("provenance", PROVENANCE_KEYS, "V13"),

@@ -51,32 +51,26 @@ def pick_json(table: DataFrame) -> DataFrame:
     parsed = table.select(
         "candidate_id", "record_ord", "payload", untyped.parse(F.col("payload")).alias("document")
     )
-    # one attribute text per known name, then the first usable one: in steps, so
-    # that no expression is repeated in the code generated for the next
-    keys = [k for known in ATS_ALIASES.values() for k in known]
+    # in steps, so that no expression is repeated in the code of the next
+    names = list(ATS_ALIASES)
     read = parsed.select(
-        "candidate_id", "record_ord", F.col("payload").isNotNull().alias("given"),
-        F.to_json("document").alias("whole"),
-        *[untyped.json_text(F.col("document"), k).alias(f"j_{k}") for k in keys],
+        "candidate_id", "record_ord", F.col("document").isNull().alias("broken"),
+        untyped.whole(F.col("payload")).alias("whole"),
+        *[untyped.attribute(F.col("document"), k).alias(k) for known in ATS_ALIASES.values() for k in known],
     )
-    usable = read.select(
-        "candidate_id", "record_ord", "given", "whole",
-        untyped.usable(F.col("whole")).alias("filled"),
-        *[F.when(untyped.usable(F.col(f"j_{k}")), F.col(f"j_{k}")).alias(k) for k in keys],
-    )
-    picked = usable.select(
-        "candidate_id", "record_ord", "given", "whole", "filled",
+    picked = read.select(
+        "candidate_id", "record_ord", "broken", "whole",
         *[F.coalesce(*known).alias(n) for n, known in ATS_ALIASES.items()],
     )
-    reason = F.when(F.col("given") & F.col("whole").isNull(), "malformed json").when(
-        F.col("filled") & ~F.col("whole").startswith("{"), "not an object"
+    reason = F.when(F.col("whole").isNotNull() & F.col("broken"), "malformed json").when(
+        untyped.usable(F.col("whole")) & ~F.col("whole").startswith("{"), "not an object"
     )
-    for n in ATS_ALIASES:
-        reason = reason.when(~untyped.is_text(F.col(n)), f"{n} is not a text")
+    for n in names:
+        reason = reason.when(~F.col(n)["text"], f"{n} is not a text")
     return picked.select(
         "candidate_id",
         "record_ord",
-        *[F.when(untyped.is_text(F.col(n)), untyped.text_of(F.col(n))).alias(n) for n in ATS_ALIASES],
+        *[F.when(F.col(n)["text"], F.col(n)["chars"]).alias(n) for n in names],
         reason.alias("reason"),
     )
 

@@ -51,50 +51,49 @@ def pick_json(table: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("repos").isNotNull().alias("repos_given"),
         untyped.parse(F.col("profile")).alias("p"),
         untyped.parse(F.col("repos")).alias("r"),
+        untyped.whole(F.col("profile")).alias("whole"),
+        untyped.whole(F.col("repos")).alias("list"),
     )
     # in steps, so that no expression is repeated in the code of the next
+    keys = ("login", "name", "bio")
     read = parsed.select(
-        "candidate_id", "record_ord", "given", "repos_given",
-        F.to_json("p").alias("whole"),
-        F.to_json("r").alias("list"),
+        "candidate_id", "record_ord",
+        (F.col("given") & F.col("p").isNull()).alias("broken"),
+        (F.col("repos_given") & F.col("r").isNull()).alias("repos_broken"),
+        "whole", "list",
         F.try_variant_get(F.col("r"), "$", "array<variant>").alias("items"),
-        *[untyped.json_text(F.col("p"), k).alias(f"j_{k}") for k in ("login", "name", "bio")],
+        *[untyped.attribute(F.col("p"), k).alias(k) for k in keys],
     )
 
     def odd_language(item: Column) -> Column:
-        language = F.to_json(F.try_variant_get(item, "$.language", "variant"))
-        return F.coalesce(untyped.usable(language) & ~untyped.is_text(language), F.lit(False))
+        return ~F.coalesce(untyped.attribute(item, "language")["text"], F.lit(True))
 
     checked = read.select(
-        "candidate_id", "record_ord", "given", "repos_given", "whole", "list",
+        "candidate_id", "record_ord", "broken", "repos_broken", "whole", "list",
         untyped.usable(F.col("whole")).alias("filled"),
         untyped.usable(F.col("list")).alias("has_repos"),
-        F.exists("items", lambda v: ~F.to_json(v).startswith("{")).alias("odd_item"),
+        F.exists("items", lambda v: ~F.schema_of_variant(v).startswith("OBJECT")).alias("odd_item"),
         F.exists("items", odd_language).alias("odd_language"),
-        *[F.when(untyped.usable(F.col(f"j_{k}")), F.col(f"j_{k}")).alias(k) for k in ("login", "name", "bio")],
+        *keys,
     )
     filled, listed = F.col("filled"), F.col("filled") & F.col("has_repos")
     reason = (
-        F.when(F.col("given") & F.col("whole").isNull(), "malformed json")
-        .when(F.col("repos_given") & F.col("list").isNull(), "malformed repositories")
+        F.when(F.col("broken"), "malformed json")
+        .when(F.col("repos_broken"), "malformed repositories")
         .when(filled & ~F.col("whole").startswith("{"), "not an object")
-        .when(~untyped.is_text(F.col("name")), "name is not a text")
-        .when(~untyped.is_text(F.col("bio")), "bio is not a text")
+        .when(~F.col("name")["text"], "name is not a text")
+        .when(~F.col("bio")["text"], "bio is not a text")
         .when(listed & ~F.col("list").startswith("["), "repositories are not a list")
         .when(listed & F.col("odd_item"), "repository is not an object")
         .when(listed & F.col("odd_language"), "language is not a text")
     )
-
-    def text(name: str) -> Column:
-        return F.when(untyped.is_text(F.col(name)), untyped.text_of(F.col(name)))
-
     profiles = checked.select(
         "candidate_id",
         "record_ord",
         # any usable login is written into the link, a number too
-        F.coalesce(text("login"), F.col("login")).alias("login"),
-        text("name").alias("name"),
-        text("bio").alias("bio"),
+        F.col("login")["chars"].alias("login"),
+        F.when(F.col("name")["text"], F.col("name")["chars"]).alias("name"),
+        F.when(F.col("bio")["text"], F.col("bio")["chars"]).alias("bio"),
         filled.alias("filled"),
         reason.alias("reason"),
     )

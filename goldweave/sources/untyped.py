@@ -5,29 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# JSON texts that count as nothing given; a zero may be written in many ways
+EMPTY_VALUE = r'^(null|false|""|\[\s*\]|\{\s*\}|-?0(\.0+)?([eE].*)?)$'
+BLANKS = " \t\n\r"
+
 
 def parse(payload: Column) -> Column:
     return F.try_parse_json(payload)
 
 
-def json_text(document: Column, key: str) -> Column:
-    """JSON text of one attribute; null when absent, 'null' for a JSON null."""
-    return F.to_json(F.variant_get(document, f"$.{key}", "variant"))
-
-
 def is_text(json: Column) -> Column:
     return json.startswith('"')
 
 
 def usable(json: Column) -> Column:
     """Neither absent nor null, false, zero, nor an empty text or container."""
-    # a zero may be written in many ways: 0, -0, 0.00
-    return F.coalesce(~json.rlike(r'^(null|false|""|\[\]|\{\}|-?0(\.0+)?([eE].*)?)$'), F.lit(False))
+    return F.coalesce(~json.rlike(EMPTY_VALUE), F.lit(False))
+
+
+def whole(payload: Column) -> Column:
+    """The document as it was written, without outer blanks."""
+    return F.btrim(payload, F.lit(BLANKS))
 
 
-def first_usable(document: Column, keys: list[str]) -> Column:
-    """JSON text of the first usable attribute, null if there is none."""
-    return F.coalesce(*[F.when(usable(json_text(document, k)), json_text(document, k)) for k in keys])
+def attribute(document: Column, key: str) -> Column:
+    """Characters of one attribute and whether it is a text. Null when there
+    is nothing usable: no attribute, null, false, zero, empty."""
+    chars = F.try_variant_get(document, f"$.{key}", "string")
+    kind = F.schema_of_variant(F.try_variant_get(document, f"$.{key}", "variant"))
+    read = F.struct(chars.alias("chars"), (kind == "STRING").alias("text"))
+    return F.transform(F.array(read), lambda a: F.when(
+        a["text"] & (a["chars"] != "") | ~a["text"] & ~a["chars"].rlike(EMPTY_VALUE), a
+    ))[0]
 
 
 def text_of(json: Column) -> Column:
