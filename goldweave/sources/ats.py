@@ -17,9 +17,8 @@ def read_ats_json(spark: SparkSession, paths: str | list[str], multi_line: bool
 
     With ``multi_line`` every file is one document.
     """
-    reader = spark.read.option("wholetext", multi_line)
     document = untyped.parse(F.col("value"))
-    return reader.text(paths).select(
+    return spark.read.text(paths, wholetext=multi_line).select(
         F.coalesce(
             F.try_variant_get(document, "$.candidate_id", "string"), F.col("_metadata.file_path")
         ).alias("candidate_id"),
