@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from ..functions import present
 
 
-def reject_report(table: DataFrame, raw: Column, clean: Column, field: str, source: str) -> DataFrame:
+def reject_report(table: DataFrame, source: str, fields: dict[str, tuple[Column, Column]]) -> DataFrame:
     """(field, source, n_in, n_null, n_rejected): how many values came in, were
-    empty, and were dropped by the normalization. One partial aggregate."""
-    return table.agg(
-        F.count(F.lit(1)).alias("n_in"),
-        F.count(F.when(~F.coalesce(present(raw), F.lit(False)), 1)).alias("n_null"),
-        F.count(F.when(present(raw) & ~F.coalesce(present(clean), F.lit(False)), 1)).alias("n_rejected"),
-    ).select(F.lit(field).alias("field"), F.lit(source).alias("source"), "n_in", "n_null", "n_rejected")
+    empty, and were dropped by the normalization. ``fields`` maps a field to its
+    raw and its normalized column; one pass over the table counts them all."""
+    counts, lines = [], []
+    for i, (field, (raw, clean)) in enumerate(fields.items()):
+        given = F.coalesce(present(raw), F.lit(False))
+        counts += [
+            F.count_if(~given).alias(f"null_{i}"),
+            F.count_if(given & ~F.coalesce(present(clean), F.lit(False))).alias(f"rejected_{i}"),
+        ]
+        lines.append(
+            f"named_struct('field', '{field}', 'source', '{source}', 'n_in', n_in, "
+            f"'n_null', null_{i}, 'n_rejected', rejected_{i})"
+        )
+    return table.agg(F.count("*").alias("n_in"), *counts).selectExpr(f"inline(array({', '.join(lines)}))")

@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import EXPERIENCE_TYPE, FACT_COLUMNS, FACT_SCHEMA, RECRUITER_COLUMNS
+from ..constants import ATS, CODE_HOST, EXPERIENCE_TYPE, FACT_COLUMNS, FACT_SCHEMA, RECRUITER_COLUMNS
 from ..operators.profile import PROFILE_COLUMNS, profiles
 from ..operators.project import accepted, project, rejected
 from ..operators.quarantine import isolate, quarantine, without_broken
 from ..operators.skew import HOT_LIMIT, Split, split_hot, weigh
 from ..operators.validate import ERRORS, fault_counts, validate_custom, validate_profiles
-from ..constants import ATS, CODE_HOST
 from ..sources import ats, code_host, recruiter
+from ..sources.sinks import write_table
 
 
 @dataclass
@@ -57,8 +57,16 @@ def markers(candidates: DataFrame) -> DataFrame:
     )
 
 
-def gather(sources: Sources) -> Gathered:
-    """Facts of all sources in their fixed order of arrival, with markers."""
+def gather(sources: Sources, staging: str | None = None) -> Gathered:
+    """Facts of all sources in their fixed order of arrival, with markers.
+
+    JSON sources are read by the quarantine and by the extraction; with a
+    ``staging`` folder their parsed records are written there once and read
+    back, so that no payload is parsed twice.
+    """
+    def stage(table: DataFrame, name: str) -> DataFrame:
+        return write_table(table, f"{staging.rstrip('/')}/{name}") if staging else table
+
     parts: list[DataFrame] = []
     sizes: list[tuple[DataFrame, int]] = []
     broken: list[DataFrame] = []
@@ -70,10 +78,10 @@ def gather(sources: Sources) -> Gathered:
         parts.append(ats.ats_facts(ats.pick_columns(sources.ats)))
         sizes.append((sources.ats, 3))
     if sources.ats_json is not None:
-        picked = ats.pick_json(sources.ats_json)
+        picked = stage(ats.pick_json(sources.ats_json), "ats")
         broken.append(quarantine(picked, ATS))
         parts.append(ats.ats_facts(isolate(picked)))
-        sizes.append((sources.ats_json, 3))
+        sizes.append((picked, 3))
     if sources.profiles is not None:
         parts.append(code_host.profile_facts(sources.profiles))
         sizes.append((sources.profiles, 3))
@@ -82,11 +90,12 @@ def gather(sources: Sources) -> Gathered:
             sizes.append((sources.repos, 1))
     if sources.code_host_json is not None:
         typed, repos = code_host.pick_json(sources.code_host_json)
+        typed, repos = stage(typed, "code_host"), stage(repos, "repositories")
         broken.append(quarantine(typed, CODE_HOST))
         parts.append(code_host.profile_facts(isolate(typed)))
         gated = code_host.repos_with_profile(without_broken(repos, typed), typed)
         parts.append(code_host.repo_facts(gated))
-        sizes.append((sources.code_host_json, 3))
+        sizes.append((typed, 3))
         sizes.append((repos, 1))
     for table in sources.facts:
         parts.append(table.select(*FACT_COLUMNS))

@@ -27,7 +27,7 @@ def run_to_folder(
     the merge runs once, every shape reads its file."""
     at = {name: f"{folder.rstrip('/')}/{name}" for name in
           ("profiles", "documents", "provenance", "validation", "quarantine")}
-    gathered = gather(sources)
+    gathered = gather(sources, f"{folder.rstrip('/')}/staging")
     merged = profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS, "page")
     table = write_table(merged, at["profiles"])
     checked = validate_profiles(table)

@@ -198,11 +198,11 @@ def norm_report(spark: SparkSession, folder: str) -> DataFrame:
     dates = roles.date_texts(spark, folder)
     phone, email, raw, text = (F.col(c) for c in ("phone", "email", "raw", "text"))
     return (
-        reject_report(rows, phone, phone_e164(phone), "phones", "recruiter_csv")
-        .unionByName(reject_report(rows, email, email_address(email), "emails", "recruiter_csv"))
-        .unionByName(reject_report(dates, raw, year_month(raw), "dates", "orders"))
-        .unionByName(reject_report(docs, text, phone_e164(text), "phones", "documents"))
-        .unionByName(reject_report(docs, text, email_address(text), "emails", "documents"))
+        reject_report(rows, "recruiter_csv", {
+            "phones": (phone, phone_e164(phone)), "emails": (email, email_address(email))})
+        .unionByName(reject_report(dates, "orders", {"dates": (raw, year_month(raw))}))
+        .unionByName(reject_report(docs, "documents", {
+            "phones": (text, phone_e164(text)), "emails": (text, email_address(text))}))
     )
 
 
