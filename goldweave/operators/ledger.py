@@ -92,8 +92,9 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def ledger_in_place(facts: DataFrame) -> DataFrame:
     """Ledger of ordinary candidates: one shuffle by candidate, then windows
-    that all reuse it."""
-    placed = in_sections(facts).repartition("candidate_id")
+    that all reuse it. Keys are made after the shuffle, which carries the bare
+    facts only."""
+    placed = in_sections(facts.repartition("candidate_id"))
     group = Window.partitionBy(*GROUP)
     in_order = group.orderBy(*SORT_KEYS)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

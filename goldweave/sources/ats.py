@@ -66,12 +66,12 @@ def pick_json(table: DataFrame) -> DataFrame:
     )
     for n in names:
         reason = reason.when(~F.col(n)["text"], f"{n} is not a text")
-    return picked.select(
+    return untyped.computed_once(picked.select(
         "candidate_id",
         "record_ord",
         *[F.when(F.col(n)["text"], F.col(n)["chars"]).alias(n) for n in names],
         reason.alias("reason"),
-    )
+    ))
 
 
 def ats_facts(picked: DataFrame, source_ord: int = 1) -> DataFrame:

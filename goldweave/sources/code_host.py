@@ -103,7 +103,7 @@ def pick_json(table: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.try_variant_get("repo", "$.name", "string").alias("name"),
         F.try_variant_get("repo", "$.language", "string").alias("language"),
     )
-    return profiles, repos
+    return untyped.computed_once(profiles), repos
 
 
 def profile_facts(profiles: DataFrame, source_ord: int = 2) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # JSON texts that count as nothing given; a zero may be written in many ways
@@ -10,6 +10,13 @@ EMPTY_VALUE = r'^(null|false|""|\[\s*\]|\{\s*\}|-?0(\.0+)?([eE].*)?)$'
 BLANKS = " \t\n\r"
 
 
+def computed_once(table: DataFrame) -> DataFrame:
+    """The same rows behind a generator. A later filter on a computed column
+    would otherwise move below and parse the payload again for every part of
+    its condition."""
+    return table.select(F.inline(F.array(F.struct(*table.columns))))
+
+
 def parse(payload: Column) -> Column:
     return F.try_parse_json(payload)
 

@@ -20,7 +20,7 @@ def table(spark, facts):
     rows = []
     for i, (c, field, value, source, method, milli) in enumerate(facts):
         exp = tuple(value[k] for k in JOB) if isinstance(value, dict) else None
-        rows.append((c, field, None if exp else value, exp, source, method, milli, i % 3 and 1 or 1, i, 0))
+        rows.append((c, field, None if exp else value, exp, source, method, milli, 0, i, 0))
     return spark.createDataFrame(rows, FACT_SCHEMA)
 
 
