@@ -260,3 +260,24 @@ def test_another_source_is_a_fact_table(spark, merged):
         [("a", "headline", "Lead", None, "linkedin", "direct", 900, 5, 0, 0)], FACT_SCHEMA)
     (row,) = consolidated(Sources(facts=[extra])).collect()
     assert (row.headline, row.overall_confidence) == ("Lead", 0.9)
+
+
+def test_one_person_from_all_sources(spark):
+    recruiter = spark.createDataFrame(
+        [("p", 0, "Mira Rao", "mira@x.io", "09876543210", "Inno", "Engineer")],
+        "candidate_id string, record_ord bigint, name string, email string, phone string, current_company string, title string")
+    ats = spark.createDataFrame([("p", 0, json.dumps({"candidateName": "Mira  Rao", "contactEmail": "m@work.io",
+                                                      "employer": "Inno Ltd", "currentTitle": "Sr. Engineer"}))],
+                                "candidate_id string, record_ord bigint, payload string")
+    host = spark.createDataFrame([("p", 0, json.dumps({"login": "mira", "name": "Mira Rao", "bio": "Engineer."}),
+                                   json.dumps([{"language": "Python"}, {"language": "Go"}, {"language": "JavaScript"}]))],
+                                 "candidate_id string, record_ord bigint, profile string, repos string")
+    (row,) = consolidated(Sources(recruiter=recruiter, ats_json=ats, code_host_json=host)).collect()
+    # 13 decisions, 11 of them kept: (850+600+900+850+900+3*700+600+400+900) / 11
+    assert row.overall_confidence == 0.736
+    assert [(p.field, p.method) for p in row.provenance] == [
+        ("full_name", "direct"), ("full_name", "discarded:direct"), ("full_name", "discarded:direct"),
+        ("headline", "direct"), ("emails", "direct"), ("emails", "direct"), ("phones", "normalized"),
+        ("skills", "inferred-from-repos"), ("skills", "inferred-from-repos"), ("skills", "inferred-from-repos"),
+        ("experience", "direct"), ("experience", "direct"), ("links", "direct"),
+    ]
