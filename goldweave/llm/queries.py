@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality_rules
+from . import chat, minhash, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -32,6 +32,12 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns))
 
 
+@query
+def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, folder, "documents"))
