@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, mixing, quality_rules
+from . import chat, minhash, mixing, quality_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -38,6 +38,11 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, folder, "documents"))
+
+
 @query
 def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, folder, "documents"))

@@ -8,21 +8,24 @@ Sorting all suffixes of a corpus would move every byte many times. Instead a
 cover of the suffixes is sampled, ranked, and used to settle long ties, and the
 suffixes themselves are sorted bucket by bucket:
 
-1. Cover sample. A start is in the cover if its 16-byte prefix has the least
+1. Cover sample. A start is in the cover if its 24-byte prefix has the least
    hash in some window of `length` bytes that holds it. Like an arithmetic
    difference cover this promises that two equal windows have a cover start at
-   the same offset, with 2 of 86 starts instead of 9 of 73; see the README for
+   the same offset, with 2 of 78 starts instead of 9 of 73; see the README for
    why residues were not used.
 2. Ranks. Each cover start gets the hash of its prefix (its bucket) and of all
-   bytes within reach of a window through it, from 84 before to 100 after (its
+   bytes within reach of a window through it, from 76 before to 100 after (its
    class). Starts of one class tie in every window through them. Only the first
    start of a class needs sorting; all others are covered whole. A task settles
    its own classes before anything is shuffled, so a passage in a third of all
    documents sends one row per task.
 3. Buckets. Where a bucket holds several classes, their first starts are joined
-   with their texts, and the windows through them are sorted, one offset at a
-   time, by window hash and position; equal neighbours are compared byte by
-   byte. Members of a large bucket are dealt to tasks by window hash.
+   with their texts. A window through a start holds the 58 bytes from it on or
+   the 58 bytes up to the end of its prefix; by these the bucket is split in two
+   finer ones, whose windows are sorted, one offset at a time, by window hash
+   and position; equal neighbours are compared byte by byte. A bucket of more
+   than 20,000 classes is sorted in parts, and the first of each window of the
+   parts are sorted once more, each window by itself.
 4. The removed spans of each document are united and cut out.
 
 Defined results: null and empty texts have 0 bytes, no spans and the digest of
@@ -39,14 +42,17 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.storage import settle
+from ..operators.storage import written
 from .text import whole
 
 LENGTH = 100
-GRAM = 16
+GRAM = 24
+# Classes of a bucket that one task sorts together.
+BUCKET = 20_000
 # Bytes of text that one numpy pass works on.
 CHUNK = 1 << 21
 _U = np.uint64
@@ -85,7 +91,7 @@ def cover_starts(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     eight = _words_at_every_byte(data)
     grams = n - GRAM + 1
-    h = _mix(eight[:grams] * _ODD ^ _mix(eight[8:8 + grams])) | _U(1)
+    h = _mix(eight[:grams] * _ODD ^ _mix(eight[8:8 + grams] * _ODD ^ _mix(eight[16:16 + grams]))) | _U(1)
     width = length - GRAM + 1
     least = _slide(h, width, np.minimum)
     # a start is taken if it is the least of a window that it lies in
@@ -218,3 +224,229 @@ def cover_rows(docs: DataFrame, length: int) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long"), (F.xxhash64(text) % (1 << 40)).alias("tag"), text.cast("binary").alias("text"),
     ).mapInArrow(run, "bucket bigint, cls bigint, id bigint, tag bigint, at bigint, spans array<bigint>")
+
+
+def ranked_starts(docs: DataFrame, length: int) -> DataFrame:
+    """What is repeated: `spans` that are settled already, starts that are not
+    the first of their class (kind 1), and first starts of buckets with several
+    classes (kind 2, with the number of classes)."""
+    rows = cover_rows(docs, length).withColumn("bucket_", F.coalesce("bucket", F.xxhash64("id", "tag")))
+    rows = rows.repartition("bucket_")
+    in_class = Window.partitionBy("bucket_", "bucket", "cls").orderBy(F.col("id").asc_nulls_first(), "at")
+    in_bucket = Window.partitionBy("bucket_", "bucket")
+    head = F.first(F.struct("id", "at")).over(in_class)
+    later = ~(F.col("id").eqNullSafe(F.col("head.id")) & (F.col("at") == F.col("head.at")))
+    rows = rows.withColumn("head", head).withColumn("kind", F.when(F.col("bucket").isNull(), 0).when(later, 1).otherwise(2))
+    rows = rows.withColumn("n", F.sum((F.col("kind") == 2).cast("int")).over(in_bucket))
+    several = (F.col("kind") < 2) | (F.min("cls").over(in_bucket) != F.max("cls").over(in_bucket))
+    rows = rows.withColumn("several", several).filter("several")
+    return written(rows.select("kind", "bucket", "id", "tag", "at", "spans", "n"), "suffix-ranks")
+
+
+_ROWS = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("side", pa.int32()),
+                   ("id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64()), ("before", pa.int32()),
+                   ("after", pa.int32()), ("context", pa.binary())])
+_FOUND = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()),
+                    ("at", pa.int64()), ("spans", pa.list_(pa.int64()))])
+
+
+def _middle(length: int) -> int:
+    return (length - GRAM) // 2 + GRAM
+
+
+def bucket_rows(docs: DataFrame, starts: DataFrame, length: int) -> DataFrame:
+    """Two rows per start, with the text around it: for windows that begin close
+    before it (side 0) and for the others (side 1)."""
+    wanted = starts.groupBy("id", "tag").agg(F.collect_list(F.struct("bucket", "at", "n")).alias("starts"))
+    text = whole(F.col("text"))
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("_id"), (F.xxhash64(text) % (1 << 40)).alias("_tag"),
+        text.cast("binary").alias("text"))
+    joined = keyed.join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half = _middle(length)
+        near = half - GRAM
+        for batch in batches:
+            for doc_id, tag, text, of in zip(*(c.to_pylist() for c in batch.columns)):
+                padded = bytes(length) + text + bytes(length)
+                for lo in range(0, len(of), 2000):
+                    out = {name: [] for name in _ROWS.names}
+                    for s in of[lo:lo + 2000]:
+                        at, parts = s["at"], 1 + s["n"] // BUCKET
+                        before, after = min(at, length - GRAM), min(len(text) - at, length)
+                        p = at + length
+                        right, left = padded[p:p + half], padded[p + GRAM - half:p + GRAM]
+                        part = hash((doc_id, at)) % parts
+                        for side, key, a, b in ((0, right, p - near, p + length),
+                                                (1, left, p + GRAM - length, p + half - 1)):
+                            out["key"].append(int.from_bytes(
+                                sha256(key + side.to_bytes(1, "little")).digest()[:8], "little", signed=True))
+                            out["part"].append(part)
+                            out["parts"].append(parts)
+                            out["side"].append(side)
+                            out["id"].append(doc_id)
+                            out["tag"].append(tag)
+                            out["at"].append(at)
+                            out["before"].append(before)
+                            out["after"].append(after)
+                            out["context"].append(padded[a:b])
+                    yield pa.RecordBatch.from_pydict(out, schema=_ROWS)
+
+    return joined.select("id", "tag", "text", "starts").mapInArrow(
+        run, "key bigint, part int, parts int, side int, id bigint, tag bigint, at bigint, before int, after int, "
+             "context binary")
+
+
+def _sort_windows(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
+    """Sort the windows of whole buckets; yields the spans found, and the first
+    of each window for buckets that came in parts."""
+    half = _middle(length)
+    near = half - GRAM
+    factor = _U(0x2545F4914F6CDD1D)
+    inverse = _U(pow(int(factor), -1, 1 << 64))
+    codes = np.random.default_rng(7).integers(0, 1 << 63, (2, 256), np.uint64)
+    for side in (0, 1):
+        t = rows.filter(pc.equal(rows["side"], side)).combine_chunks()
+        n = t.num_rows
+        if n < 2:
+            continue
+        col = lambda name: t[name].to_numpy()
+        has = ~np.asarray(t["id"].is_null())
+        ids = t["id"].fill_null(0).to_numpy()
+        key, at, before, after, parts, tags = (col(c) for c in ("key", "at", "before", "after", "parts", "tag"))
+        context = np.frombuffer(b"".join(t["context"].to_pylist()), np.uint8).reshape(n, -1)
+        offsets = range(0, near + 1) if side == 0 else range(near + 1, length - GRAM + 1)
+        base = near if side == 0 else length - GRAM  # place of the start in its context
+        sums = []
+        for code in codes:
+            power = np.cumprod(np.full(context.shape[1], factor, np.uint64))
+            total = np.zeros((n, context.shape[1] + 1), np.uint64)
+            np.cumsum(code[context] * power[None, :], axis=1, out=total[:, 1:])
+            sums.append(total)
+        undo = np.cumprod(np.full(context.shape[1] + 1, inverse, np.uint64))
+        low, high = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        firsts = []
+        for o in offsets:
+            w = base - o
+            ok = np.flatnonzero((o <= before) & (length - o <= after))
+            if len(ok) < 1:
+                continue
+            shift = undo[w]
+            one = (sums[0][ok, w + length] - sums[0][ok, w]) * shift
+            one = _mix(one ^ _mix(key[ok].astype(np.uint64)))
+            order = np.lexsort((at[ok], ids[ok], has[ok], one))
+            r = ok[order]
+            same = one[order][1:] == one[order][:-1]
+            same[same] = (context[r[1:][same], w:w + length] == context[r[:-1][same], w:w + length]).all(axis=1)
+            new = np.concatenate([[True], ~same])
+            head = r[np.flatnonzero(new)][np.cumsum(new) - 1]
+            later = (ids[r] != ids[head]) | (has[r] != has[head]) | (at[r] != at[head])
+            hit, begin = r[later], at[r[later]] - o
+            # the removed windows of a start: runs of offsets, kept as one span
+            # while they touch
+            fresh = low[hit] < 0
+            touch = ~fresh & (begin + length >= low[hit])
+            for k in np.flatnonzero(~fresh & ~touch):
+                firsts.append((None, None, hit[k], None, [int(low[hit[k]]), int(high[hit[k]])]))
+            high[hit] = np.where(touch, high[hit], begin + length)
+            low[hit] = begin
+            many = r[~later][parts[r[~later]] > 1]
+            if len(many):
+                two = (sums[1][many, w + length] - sums[1][many, w]) * shift
+                first = (sums[0][many, w + length] - sums[0][many, w]) * shift
+                firsts += [(int(a), int(b), k, int(at[k] - o), None)
+                           for a, b, k in zip(first.view(np.int64), two.view(np.int64), many)]
+        firsts += [(None, None, k, None, [int(low[k]), int(high[k])]) for k in np.flatnonzero(low >= 0)]
+        if firsts:
+            yield pa.RecordBatch.from_pydict({
+                "w1": [f[0] for f in firsts], "w2": [f[1] for f in firsts],
+                "id": [int(ids[f[2]]) if has[f[2]] else None for f in firsts],
+                "tag": [int(tags[f[2]]) for f in firsts], "at": [f[3] for f in firsts],
+                "spans": [f[4] for f in firsts]}, schema=_FOUND)
+
+
+def sorted_buckets(rows: DataFrame, length: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            start = 0
+            if size + batch.num_rows > BUCKET:
+                # close at the last change of bucket in this batch
+                k = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+                change = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
+                if len(change):
+                    start = int(change[-1])
+                    yield from _sort_windows(pa.Table.from_batches([*held, batch.slice(0, start)]), length)
+                    held, size = [], 0
+            held.append(batch.slice(start))
+            size += batch.num_rows - start
+        if held:
+            yield from _sort_windows(pa.Table.from_batches(held), length)
+
+    return rows.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(
+        run, "w1 bigint, w2 bigint, id bigint, tag bigint, at bigint, spans array<bigint>")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(id, tag, spans): starts and ends of removed bytes, not yet united; one
+    row per document that has any."""
+    starts = ranked_starts(docs, length)
+    found = written(sorted_buckets(bucket_rows(docs, starts.filter("kind = 2"), length), length), "suffix-sorted")
+    by_window = Window.partitionBy("w1", "w2").orderBy(F.col("id").asc_nulls_first(), "at")
+    head = F.first(F.struct("id", "at")).over(by_window)
+    across = found.filter("w1 is not null").withColumn("head", head).filter(
+        ~(F.col("id").eqNullSafe(F.col("head.id")) & (F.col("at") == F.col("head.at"))))
+    span = lambda a, b: F.array(a.cast("long"), b.cast("long"))
+    parts = [
+        starts.filter("kind = 0").select("id", "tag", "spans"),
+        starts.filter("kind = 1").select("id", "tag", span(
+            F.greatest(F.col("at") - (length - GRAM), F.lit(0)), F.col("at") + length).alias("spans")),
+        found.filter("w1 is null").select("id", "tag", "spans"),
+        across.select("id", "tag", span(F.col("at"), F.col("at") + length).alias("spans")),
+    ]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionAll(part)
+    return every.groupBy("id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with `kept_bytes` (what is left), `removed` (spans as starts
+    and ends in bytes of the original) and `n_bytes`."""
+    text = whole(F.col("text"))
+    tagged = docs.withColumn("_tag", F.xxhash64(text) % (1 << 40))
+    spans = repeated_spans(docs, length)
+    joined = tagged.join(
+        spans, F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")), "left",
+    ).drop("_tag", "id", "tag").withColumn("text", whole(F.col("text")))
+    names = [c for c in joined.columns if c not in ("spans", "text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, removed, sizes = [], [], []
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
+            for text, flat in zip(texts, batch.column(batch.schema.get_field_index("spans")).to_pylist()):
+                n, cuts = len(text), []
+                if flat:
+                    cuts = [(a, min(b, n)) for a, b in _spans_of(list(zip(flat[::2], flat[1::2])))]
+                    edges = [0, *(x for c in cuts for x in c), n]
+                    text = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                kept.append(text)
+                removed.append([x for c in cuts for x in c])
+                sizes.append(n)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(sizes, pa.int64()),
+                 pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pa.int64()))],
+                names=[*names, "n_bytes", "kept_bytes", "removed"])
+
+    kinds = ", ".join(f"`{c}` {joined.schema[c].dataType.simpleString()}" for c in names)
+    return joined.mapInArrow(run, f"{kinds}, n_bytes bigint, kept_bytes binary, removed array<bigint>")
+
+
+def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    out = without_repeats(docs.select("doc_id", "text"), length)
+    return out.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept_bytes")).cast("long").alias("n_removed"),
+        (F.size("removed") / 2).cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
