@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldweave.llm import mixing, quality_rules
+from goldweave.llm import line_dedup, minhash, mixing, quality_rules, tiling
 from goldweave.operators.storage import new_folder
 
 
@@ -17,6 +17,21 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return minhash.keep_one(docs)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Long lines that an earlier document holds are cut out of the later ones."""
+    return line_dedup.cut_text(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item go."""
+    return tiling.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per copy that the mix takes, in training order."""
     return mixing.training_order(docs)
@@ -24,6 +39,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality rules", rules_stage),
+    ("MinHash near-dedup", near_dedup_stage),
+    ("substring dedup", substring_stage),
+    ("benchmark decontamination", decontamination_stage),
     ("mixing", mixing_stage),
 ]
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, mixing, quality_rules, suffix_dedup
+from . import chat, line_dedup, minhash, mixing, quality_rules, suffix_dedup, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -43,6 +43,17 @@ def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, folder, "documents"))
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digests(table(spark, folder, "documents"))
+
+
+@query
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = tiling.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
 @query
 def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, folder, "documents"))
