@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, minhash, mixing, quality_rules, suffix_dedup, tiling
+from ..operators.storage import new_folder
+from . import chat, line_dedup, minhash, mixing, quality_model, quality_rules, suffix_dedup, tiling, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -43,6 +44,23 @@ def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, folder, "documents"))
 
 
+@query
+def op4_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
+    pages, archives = table(spark, folder, "pages"), new_folder(spark, "archives")
+    warc.write_archives(pages, archives)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    read = warc.read_pages(spark, archives)
+    return read.select(
+        warc.page_of(F.col("record_id"), kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to"), kind).alias("refers_to"), "fault")
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.quality_scores(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), quality_model.remainder(3, 1))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(table(spark, folder, "documents"))
