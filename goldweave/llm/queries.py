@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.storage import new_folder
-from . import chat, line_dedup, minhash, mixing, quality_model, quality_rules, suffix_dedup, tiling, warc
+from . import chat, line_dedup, minhash, mixing, quality_model, quality_rules, suffix_dedup, tiling, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -79,6 +79,12 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
                        F.round(F.get("copies", F.lit(0))["position"], 6).alias("position"))
 
 
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), quality_model.remainder(5, 0))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"))
