@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.storage import written
-from .text import whole
+from .text import packed, unpacked, whole
 
 
 @dataclass(frozen=True)
@@ -102,16 +102,18 @@ def removed_units(docs: DataFrame, units: Units = Units()) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, units: Units = Units()) -> DataFrame:
-    """The documents with their text cut, and `removed`, the spans taken out."""
+    """row (the other columns of the document), its text cut, and `removed`, the
+    numbers and spans of the units taken out."""
     text = F.col("text")
     gone = removed_units(docs, units)
-    joined = docs.withColumn("_tag", F.xxhash64(whole(text))).join(
-        gone, F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
+    joined = docs.select(packed(docs), text, F.col("doc_id").cast("long").alias("_id"),
+                         F.xxhash64(whole(text)).alias("_tag")).join(
+        gone, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
     numbers = F.transform("gone", lambda g: g["n"])
     kept = F.filter(F.split(text, _literal(units.separator)), lambda _, n: ~F.array_contains(numbers, n))
-    out = joined.withColumn("text", F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, units.separator)))
-    return out.withColumn("removed", F.coalesce("gone", F.array().cast(gone.schema["gone"].dataType))).drop(
-        "_tag", "id", "tag", "gone")
+    return joined.select(
+        "row", F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, units.separator)).alias("text"),
+        F.coalesce("gone", F.array().cast(gone.schema["gone"].dataType)).alias("removed"))
 
 
 def _literal(separator: str) -> str:
@@ -120,11 +122,7 @@ def _literal(separator: str) -> str:
 
 def cut_text(docs: DataFrame, units: Units = Units()) -> DataFrame:
     """The documents in the columns they came with, repeated units cut."""
-    names = docs.columns
-    out = without_repeats(docs, units)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*names)
+    return without_repeats(docs, units).select(*unpacked(docs, text=F.col("text")))
 
 
 def digests(docs: DataFrame, units: Units = Units()) -> DataFrame:
@@ -133,6 +131,7 @@ def digests(docs: DataFrame, units: Units = Units()) -> DataFrame:
     text = whole(F.col("text"))
     # a run is counted at its first unit
     starts = F.filter("removed", lambda g, k: (k == 0) | (F.get(F.col("removed"), k - 1)["n"] != g["n"] - 1))
+    out = out.select("row.*", "text", "removed")
     return out.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length(text)).cast("long").alias("n_removed"),
         F.size(starts).cast("long").alias("n_spans"), F.size("removed").cast("long").alias("n_units"),

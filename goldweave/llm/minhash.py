@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ..operators.storage import settle
 from .components import components
-from .text import whole
+from .text import packed, unpacked, whole
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
@@ -282,8 +282,10 @@ def keep_one(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     one stays."""
     gone = near_duplicates(docs, banding).filter(~F.col("kept")).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    text_hash = F.xxhash64(whole(F.col("text")))
-    left = docs.join(
-        gone, (text_hash == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    repeated = docs.groupBy("doc_id", text_hash.alias("h")).count().filter("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    rows = docs.select(packed(docs, without=()), "doc_id", F.xxhash64(whole(F.col("text"))).alias("text_hash"))
+    left = rows.join(
+        gone, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    repeated = rows.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    if not repeated.isEmpty():
+        left = left.dropDuplicates(["doc_id", "text_hash"])
+    return left.select(*unpacked(docs))

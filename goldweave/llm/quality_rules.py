@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.storage import settle
-from .text import SPACES, let, plain_lines, whole, words
+from .text import SPACES, let, packed, plain_lines, unpacked, whole, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -108,8 +108,8 @@ def frequent_lines(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The documents with all rule columns, the boilerplate left out of
-    `clean_text`, and the verdict `kept`."""
+    """row (the other columns of the document), doc_id, all rule columns, the
+    text without boilerplate as `clean_text`, and the verdict `kept`."""
     frequent = settle(
         frequent_lines(docs, rules).groupBy(F.col("host").alias("_host"))
         .agg(F.sort_array(F.collect_list("line")).alias("_frequent"))
@@ -117,7 +117,8 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     total = frequent.agg(F.sum(F.size("_frequent"))).first()[0] or 0
     side = F.broadcast(frequent) if total <= BROADCAST_LINES else frequent
     text = F.col("text")
-    joined = docs.join(side, F.col(rules.host).eqNullSafe(F.col("_host")), "left")
+    slim = docs.select(packed(docs), "doc_id", "text", F.col(rules.host).alias("host"))
+    joined = slim.join(side, F.col("host").eqNullSafe(F.col("_host")), "left")
     known = F.coalesce(F.col("_frequent"), F.array().cast("array<bigint>"))
     marked = joined.withColumn("_lines", F.when(
         F.size(known) == 0, F.lit(None)
@@ -142,15 +143,11 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         out.withColumn("base_failed", failed)
         .withColumn("depleted", depleted)
         .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
-        .drop("_host", "_frequent", "_lines")
+        .drop("_host", "_frequent", "_lines", "host", "text")
     )
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, without their boilerplate lines, in the columns
     they came with."""
-    names = docs.columns
-    cleaned = judge(docs, rules).filter("kept").withColumn("text", F.col("clean_text"))
-    if "n_chars" in names:
-        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*names)
+    return judge(docs, rules).filter("kept").select(*unpacked(docs, text=F.col("clean_text")))

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.storage import written
-from .text import whole
+from .text import packed, whole
 
 LENGTH = 100
 GRAM = 24
@@ -413,15 +413,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents with `kept_bytes` (what is left), `removed` (spans as starts
-    and ends in bytes of the original) and `n_bytes`."""
+    """row (the other columns of the document), `kept_bytes` (what is left),
+    `removed` (spans as starts and ends in bytes of the original), `n_bytes`."""
     text = whole(F.col("text"))
-    tagged = docs.withColumn("_tag", F.xxhash64(text) % (1 << 40))
-    spans = repeated_spans(docs, length)
+    tagged = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_id"),
+                         (F.xxhash64(text) % (1 << 40)).alias("_tag"), text.alias("text"))
     joined = tagged.join(
-        spans, F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")), "left",
-    ).drop("_tag", "id", "tag").withColumn("text", whole(F.col("text")))
-    names = [c for c in joined.columns if c not in ("spans", "text")]
+        repeated_spans(docs, length), F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")), "left",
+    ).select("row", "text", "spans")
+    names = ["row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -441,12 +441,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                  pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pa.int64()))],
                 names=[*names, "n_bytes", "kept_bytes", "removed"])
 
-    kinds = ", ".join(f"`{c}` {joined.schema[c].dataType.simpleString()}" for c in names)
-    return joined.mapInArrow(run, f"{kinds}, n_bytes bigint, kept_bytes binary, removed array<bigint>")
+    kind = joined.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(run, f"row {kind}, n_bytes bigint, kept_bytes binary, removed array<bigint>")
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     out = without_repeats(docs.select("doc_id", "text"), length)
     return out.select(
-        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept_bytes")).cast("long").alias("n_removed"),
+        "row.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept_bytes")).cast("long").alias("n_removed"),
         (F.size("removed") / 2).cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))

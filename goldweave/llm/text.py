@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\f\r"
@@ -21,6 +21,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def packed(docs: DataFrame, without: tuple[str, ...] = ("text",)) -> Column:
+    """A row's columns as one struct named `row`, so that columns of any name
+    pass through an operator without meeting its own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without]).alias("row")
+
+
+def unpacked(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of a table in their order out of `row`, some of them new; a
+    text that changed has its length in n_chars again."""
+    if "text" in new and "n_chars" in docs.columns:
+        new["n_chars"] = F.length(new["text"]).cast(docs.schema["n_chars"].dataType)
+    return [new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns]
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
