@@ -17,6 +17,7 @@ from ..constants import (
 )
 from ..functions import literal_map, priority_of
 from .skew import HOT_LIMIT, Split, ranked, small, split_hot
+from .storage import settle
 
 SINGLE_NOS = [SECTION_NO[s] for s in SINGLE_SECTIONS]
 EMAILS, PHONES = SECTION_NO["emails"], SECTION_NO["phones"]
@@ -54,7 +55,7 @@ WON = """CASE WHEN NOT startswith(prov_method, 'discarded') AND NOT startswith(p
   THEN confidence_milli END"""
 # arrival order, with the content last so that equal positions sort alike in
 # every run
-SORT_KEYS = ["trust", "source_ord", "record_ord", "emit_ord", "source", "method", "item"]
+SORT_KEYS = ["trust", "source_ord", "record_ord", "emit_ord", "source", "method", "item", "value", "exp"]
 
 
 def in_sections(facts: DataFrame) -> DataFrame:
@@ -115,27 +116,27 @@ def ledger_in_place(facts: DataFrame) -> DataFrame:
 def ledger_across(hot: DataFrame, few: bool) -> DataFrame:
     """Ledger of hot candidates: the same columns from a distributed ranking
     and aggregates that combine before their shuffle. Results per group return
-    by a join on rank, which is unique, so that no join key is hot either."""
+    by a join on rank, which is unique, so that no join key is hot either. The
+    ranked rows, the small tables and the ledger are each settled: nothing is
+    ranked twice."""
     facts = in_sections(hot).filter(F.col("section_ord").isNotNull())
-    rows = ranked(facts, GROUP, SORT_KEYS, "r", few)
-    heads = rows.groupBy(*GROUP).agg(
-        F.expr(f"{WINNER}.r").alias("win_r"), F.expr(FIRST_CODE_HOST).alias("code_host_r")
-    )
-    rows = rows.join(small(heads, few), GROUP).withColumn("is_code_host", F.expr("coalesce(r = code_host_r, false)"))
-    network = (
-        rows.filter(f"section_ord = {LINKS}").groupBy("candidate_id").agg(F.expr(FIRST_NETWORK).alias("network_r"))
-    )
-    rows = rows.join(small(network, few), "candidate_id", "left").withColumn("slot", F.expr(SLOT))
+    rows = settle(ranked(facts, GROUP, SORT_KEYS, "r", few))
+    heads = settle(rows.groupBy(*GROUP).agg(
+        F.expr(f"{WINNER}.r").alias("win_r"), F.expr(FIRST_CODE_HOST).alias("code_host_r")))
+    marked = rows.join(small(heads, few), GROUP).withColumn("is_code_host", F.expr("coalesce(r = code_host_r, false)"))
+    network = settle(
+        marked.filter(f"section_ord = {LINKS}").groupBy("candidate_id").agg(F.expr(FIRST_NETWORK).alias("network_r")))
+    placed = marked.join(small(network, few), "candidate_id", "left").withColumn("slot", F.expr(SLOT))
     firsts = (
-        rows.groupBy(*GROUP, "slot")
+        placed.groupBy(*GROUP, "slot")
         .agg(F.min("r").alias("r"), F.expr(BEST_EXP).alias("best_exp"), F.lit(True).alias("_first"))
         .drop("slot")
     )
-    return _finish(
-        rows.join(firsts, [*GROUP, "r"], "left").withColumns({
+    return settle(_finish(
+        placed.join(firsts, [*GROUP, "r"], "left").withColumns({
             "is_first": F.coalesce("_first", F.lit(False)), "item_r": F.lit(None).cast("bigint")
         })
-    )
+    ))
 
 
 def ledger(facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None) -> DataFrame:

@@ -1,14 +1,15 @@
-"""Profiles out of the ledger.
+"""Profiles out of the ledger: one row per candidate, however many facts it has.
 
-A profile is one row per candidate and page. An ordinary candidate has one
-page, number 0. A candidate with more ledger rows in a section than a page
-holds goes on in further pages: lists continue there, scalars stand on page 0
-only, and no row grows without bound.
+An ordinary candidate is ranked and collected behind one shuffle. A candidate
+with very many facts is ranked across partitions; its lists are collected in
+part by every task before they meet in its row, in the same order. A row that
+passes what one row can hold (2 GB) fails the job; the ledger itself has no
+such bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EXPERIENCE_TYPE, SECTION_NO
@@ -23,7 +24,7 @@ from .ledger import (
     ledger_across,
     ledger_in_place,
 )
-from .skew import HOT_LIMIT, Split, small, split_hot
+from .skew import HOT_LIMIT, Split, split_hot
 
 LOCATION_TYPE = "struct<city:string,region:string,country:string>"
 EDUCATION_TYPE = "array<struct<institution:string,degree:string,field:string,end_year:int>>"
@@ -44,11 +45,15 @@ def _value_of(where: str) -> Column:
     return F.expr(f"max(CASE WHEN {where} THEN value END)")
 
 
-def _pages(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One aggregate per candidate (and page); rows carry in ``item_seq`` the
+def _collected(rows: DataFrame, with_skills: bool = True) -> DataFrame:
+    """One aggregate per candidate. For skills, rows carry in ``item_seq`` the
     rank of the first row of their item, and in ``trust`` its confidence."""
     link = f"section_ord = {LINKS}"
-    collected = rows.groupBy(*keys).agg(
+    skill_rows = [F.expr(
+        f"array_sort(collect_list(CASE WHEN section_ord = {SKILLS} "
+        "THEN struct(item_seq, seq, value, trust, source) END))"
+    ).alias("skills")] if with_skills else []
+    collected = rows.groupBy("candidate_id").agg(
         _value_of(f"section_ord = {SECTION_NO['full_name']} AND seq = 1").alias("full_name"),
         _value_of(f"section_ord = {SECTION_NO['headline']} AND seq = 1").alias("headline"),
         _value_of(f"{link} AND slot = 'linkedin'").alias("linkedin"),
@@ -57,10 +62,7 @@ def _pages(rows: DataFrame, keys: list[str]) -> DataFrame:
         _rows_of(PHONES, "value", "is_first").alias("phones"),
         _rows_of(LINKS, "value", "is_first AND startswith(slot, 'other:')").alias("other"),
         _rows_of(EXPERIENCE, "best_exp", "is_first").alias("experience"),
-        F.expr(
-            f"array_sort(collect_list(CASE WHEN section_ord = {SKILLS} "
-            "THEN struct(item_seq, seq, value, trust, source) END))"
-        ).alias("skills"),
+        *skill_rows,
         F.expr(
             "array_sort(collect_list(CASE WHEN prov_method IS NOT NULL "
             "THEN struct(section_ord, seq, field, source, prov_method, confidence_milli) END))"
@@ -68,26 +70,39 @@ def _pages(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.expr(f"sum({WON})").alias("won_sum"),
         F.expr(f"count({WON})").alias("won_n"),
     )
-    # skill rows are sorted by skill: every skill is one run of the list
-    heads = "filter(transform(skills, (s, i) -> struct(s, i AS at)), h -> h.s.seq = h.s.item_seq)"
-    skill = """transform(_heads, (h, i) -> struct(
-      h.s.value AS name, h.s.trust / 1000D AS confidence,
-      transform(slice(skills, h.at + 1, coalesce(get(_heads, i + 1).at, size(skills)) - h.at), s -> s.source) AS sources))"""
     decision = """transform(provenance, d -> struct(
       d.field AS field, d.source AS source, d.prov_method AS method, d.confidence_milli / 1000D AS confidence))"""
-    return collected.withColumn("_heads", F.expr(heads)).withColumns({
+    out = collected.withColumns({
         "emails": F.expr("emails.value"),
         "phones": F.expr("phones.value"),
         "other": F.expr("other.value"),
         "experience": F.expr("experience.best_exp"),
-        "skills": F.expr(skill),
         "provenance": F.expr(decision),
-    }).drop("_heads")
+    })
+    if not with_skills:
+        return out
+    # skill rows are sorted by skill: every skill is one run of the list
+    heads = "filter(transform(skills, (s, i) -> struct(s, i AS at)), h -> h.s.seq = h.s.item_seq)"
+    skill = """transform(_heads, (h, i) -> struct(
+      h.s.value AS name, h.s.trust / 1000D AS confidence,
+      transform(slice(skills, h.at + 1, coalesce(get(_heads, i + 1).at, size(skills)) - h.at), s -> s.source) AS sources))"""
+    return out.withColumn("_heads", F.expr(heads)).withColumn("skills", F.expr(skill)).drop("_heads")
+
+
+def _skills_across(rows: DataFrame) -> DataFrame:
+    """Skills of hot candidates: first one row per skill, then one per candidate."""
+    per_skill = rows.filter(F.col("section_ord") == SKILLS).groupBy("candidate_id", "slot").agg(
+        F.min("seq").alias("item_seq"), F.min_by("value", "seq").alias("name"),
+        F.min_by("confidence_milli", "seq").alias("trust"),
+        F.expr("array_sort(collect_list(struct(seq, source))).source").alias("sources"))
+    return per_skill.groupBy("candidate_id").agg(F.expr(
+        "transform(array_sort(collect_list(struct(item_seq, name, trust, sources))), "
+        "s -> struct(s.name AS name, s.trust / 1000D AS confidence, s.sources AS sources))").alias("skills"))
 
 
-def _shape(pages: DataFrame, page: Column) -> DataFrame:
+def _shape(rows: DataFrame) -> DataFrame:
     """The thirteen attributes; those without a merge rule stay empty."""
-    return pages.select(
+    return rows.select(
         "candidate_id",
         "full_name",
         "emails",
@@ -105,7 +120,6 @@ def _shape(pages: DataFrame, page: Column) -> DataFrame:
         as_ratio(mean_milli(F.coalesce("won_sum", F.lit(0)), F.coalesce("won_n", F.lit(0)))).alias(
             "overall_confidence"
         ),
-        page.alias("page"),
     )
 
 
@@ -114,51 +128,25 @@ def profiles_in_place(facts: DataFrame) -> DataFrame:
     the aggregate. Markers keep candidates without facts."""
     # the first row of an item is its most trusted one
     rows = ledger_in_place(facts).withColumns({"item_seq": F.col("item_r"), "trust": F.col("confidence_milli")})
-    return _shape(_pages(rows, ["candidate_id"]), F.lit(0).cast("bigint"))
+    return _shape(_collected(rows))
 
 
-def profiles_across(split: Split, page_rows: int = HOT_LIMIT) -> DataFrame:
-    """Profiles of hot candidates in pages of bounded size."""
-    keys = ["candidate_id", "page"]
-    rows = ledger_across(split.hot, split.few).withColumn(
-        "page", F.floor((F.col("seq") - 1) / page_rows).cast("bigint")
-    )
-    totals = rows.groupBy("candidate_id").agg(
-        F.expr(f"sum({WON})").alias("won_sum"), F.expr(f"count({WON})").alias("won_n")
-    )
-    # a skill that goes on in further pages keeps the confidence of its first row
-    skill = ["candidate_id", "section_ord", "slot"]
-    skills = rows.filter(F.col("section_ord") == SKILLS)
-    best = skills.filter("is_first").select(*skill, F.col("confidence_milli").alias("best"))
-    trust = (
-        skills.groupBy(*skill, "page").agg(F.min("seq").alias("seq"))
-        .join(best, skill)
-        .select("candidate_id", "section_ord", "seq", F.col("best").alias("trust"))
-    )
-    in_page = Window.partitionBy(*keys, "section_ord", "slot")
-    rows = (
-        rows.join(trust, ["candidate_id", "section_ord", "seq"], "left")
-        .repartition(*keys)
-        .withColumn("item_seq", F.min("seq").over(in_page))
-    )
-    pages = _pages(rows, keys).drop("won_sum", "won_n")
-    # candidates whose many rows hold no fact at all still get page 0
-    spine = split.ids.select("candidate_id", F.lit(0).cast("bigint").alias("page"))
-    empty = {
-        name: F.array().cast(dict(pages.dtypes)[name])
-        for name in ("emails", "phones", "other", "skills", "experience", "provenance")
-    }
-    missing = spine.join(pages, keys, "left_anti")
-    pages = pages.unionByName(missing.withColumns(empty), allowMissingColumns=True)
-    return _shape(pages.join(small(totals, split.few), "candidate_id", "left"), F.col("page"))
-
-
-def profiles(
-    facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None, page_rows: int | None = None
-) -> DataFrame:
-    """Merged profiles of all candidates in the facts (and their markers)."""
+def profiles_across(split: Split) -> DataFrame:
+    """Profiles of hot candidates: the same rows out of the distributed ledger."""
+    rows = ledger_across(split.hot, split.few)
+    merged = _collected(rows, with_skills=False).join(_skills_across(rows), "candidate_id", "left")
+    # candidates whose many rows hold no fact at all still get a profile
+    whole = split.ids.join(merged, "candidate_id", "left")
+    kinds = dict(whole.dtypes)
+    lists = ("emails", "phones", "other", "skills", "experience", "provenance")
+    return _shape(whole.withColumns({n: F.coalesce(n, F.array().cast(kinds[n])) for n in lists}))
+
+
+def profiles(facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None) -> DataFrame:
+    """Merged profiles of all candidates in the facts (and their markers). The
+    limit chooses a plan; the rows are the same at any."""
     split = split or split_hot(facts, limit)
     out = profiles_in_place(split.regular)
     if split.hot is not None:
-        out = out.unionByName(profiles_across(split, page_rows or limit))
+        out = out.unionByName(profiles_across(split))
     return out

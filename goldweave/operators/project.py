@@ -9,6 +9,7 @@ field; the profile table is only read. Shape of a config::
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -17,9 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import phone_e164, skill_name
+from .profile import PROFILE_COLUMNS
 
 DOCUMENT = "_document"
 ERRORS = "_projection_errors"
+RESERVED = (DOCUMENT, ERRORS, "_validation_errors", "_faults")
+# no list has more elements
+LAST_INDEX = 2**31 - 2
 SUB_VALUES = re.compile(r"^([a-zA-Z_]+)\[\]\.(.+)$", re.ASCII)
 ELEMENT = re.compile(r"^([a-zA-Z_]+)\[(\d+)\]$")
 # attributes without a merge rule: an element of nothing is null, not an error
@@ -44,7 +49,7 @@ def resolve(profiles: DataFrame, path: str) -> tuple[Column, T.DataType]:
 
     Anything else, dotted names too, is an unknown name and gives null.
     """
-    kinds = {f.name: f.dataType for f in profiles.schema.fields}
+    kinds = {f.name: f.dataType for f in profiles.schema.fields if f.name in PROFILE_COLUMNS}
     nothing = F.lit(None).cast("string"), T.StringType()
 
     sub = SUB_VALUES.match(path)
@@ -68,6 +73,9 @@ def resolve(profiles: DataFrame, path: str) -> tuple[Column, T.DataType]:
         kind = kinds.get(name)
         if kind is None:
             return nothing
+        if place > LAST_INDEX:
+            kind = kind.elementType if isinstance(kind, T.ArrayType) else T.StringType()
+            return F.lit(None).cast(kind), kind
         if isinstance(kind, T.ArrayType):
             return F.get(F.col(name), F.lit(place)), kind.elementType
         if isinstance(kind, T.StringType):
@@ -84,7 +92,7 @@ def resolve(profiles: DataFrame, path: str) -> tuple[Column, T.DataType]:
 
 def lint(profiles: DataFrame, config: dict) -> list[str]:
     """Paths that give null for every candidate."""
-    names = set(profiles.columns)
+    names = set(profiles.columns) & set(PROFILE_COLUMNS)
     warnings = []
     for field in config.get("fields", []):
         path = field.get("from", field["path"])
@@ -122,6 +130,8 @@ def compiled(profiles: DataFrame, config: dict) -> list[Output]:
     outputs = []
     for field in config.get("fields", []):
         name = field["path"]
+        if name in RESERVED:
+            raise ConfigError(f"'{name}' is the name of a reporting column")
         origin = field.get("from", name)
         value, kind = resolve(profiles, origin)
         if field.get("normalize"):
@@ -156,7 +166,6 @@ def project(profiles: DataFrame, config: dict, strict: bool = False) -> DataFram
     outputs = compiled(profiles, config)
     taken = profiles.select(
         F.col("candidate_id").alias("_id"),
-        F.col("page").alias("_page"),
         F.col("overall_confidence").alias("_confidence"),
         F.col("provenance").alias("_provenance"),
         *[o.value.alias(f"_v{i}") for i, o in enumerate(outputs)],
@@ -168,13 +177,11 @@ def project(profiles: DataFrame, config: dict, strict: bool = False) -> DataFram
     for i, o in enumerate(outputs):
         value, kind = F.col(f"_v{i}"), o.kind
         missing = is_missing(value, kind)
-        # a further page of a long profile holds only lists that continue
-        later = missing & (F.col("_page") > 0)
-        absent = missing if on_missing == "omit" else later
+        absent = missing if on_missing == "omit" else F.lit(False)
         if on_missing == "error" and o.required:
             absent = missing
             message = F.lit(f"Required field '{o.name}' is missing (source: '{o.origin}')")
-            errors.append(F.when(missing & ~later, message))
+            errors.append(F.when(missing, message))
         text = F.when(missing, F.lit("null")).otherwise(_json(value, kind, o.origin))
         fragment = F.concat(F.lit(f"{_quoted(o.name)}:"), text)
         shown = F.when(~missing, value)
@@ -207,12 +214,11 @@ def project(profiles: DataFrame, config: dict, strict: bool = False) -> DataFram
         *rest,
         document.alias(DOCUMENT),
         found.alias(ERRORS),
-        F.col("_page"),
     )
 
 
 def _quoted(name: str) -> str:
-    return '"' + name.replace("\\", "\\\\").replace('"', '\\"') + '"'
+    return json.dumps(name, ensure_ascii=False)
 
 
 def accepted(projected: DataFrame) -> DataFrame:

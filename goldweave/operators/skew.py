@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .storage import settle
 
-# Facts of one candidate that a single task still takes; also the number of
-# ledger rows of one section in one page of a profile.
+# Facts of one candidate that a single task still ranks. Chooses a plan, not a
+# result.
 HOT_LIMIT = 20_000
 # Ids sent to every executor; a longer list is joined by shuffle.
 MAX_BROADCAST_IDS = 10_000

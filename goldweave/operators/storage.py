@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: the one the cluster names. Only where
-    none is named (a local test session) a folder of this machine is used."""
+    """Folder all executors can reach: the one the cluster names. A session on
+    this machine alone may do without; then a folder of this machine is used.
+    On a cluster that names none the job stops."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
@@ -21,6 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if current.isEmpty():
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="goldweave-"))
         current = context._jsc.sc().getCheckpointDir()
     return current.get()

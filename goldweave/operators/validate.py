@@ -293,7 +293,7 @@ def validate_custom(projected: DataFrame, config: dict) -> DataFrame:
     faults = [
         _fault(
             "V15",
-            (F.col("_page") == 0) & ~F.array_contains(keys, f["path"]),
+            ~F.array_contains(keys, f["path"]),
             F.lit(MSG_REQUIRED.format(f["path"])),
         )
         for f in config.get("fields", [])

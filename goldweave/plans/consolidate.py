@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import ATS, CODE_HOST, EXPERIENCE_TYPE, FACT_COLUMNS, FACT_SCHEMA, RECRUITER_COLUMNS
+from ..constants import ATS, CODE_HOST, EXPERIENCE_TYPE, FACT_COLUMNS, FACT_SCHEMA, RECRUITER, RECRUITER_COLUMNS
 from ..operators.profile import PROFILE_COLUMNS, profiles
-from ..operators.project import accepted, project, rejected
+from ..operators.project import accepted, lint, project, rejected
 from ..operators.quarantine import isolate, quarantine, without_broken
 from ..operators.skew import HOT_LIMIT, Split, split_hot, weigh
 from ..operators.validate import ERRORS, fault_counts, validate_custom, validate_profiles
@@ -37,6 +37,9 @@ class Sources:
     facts: list[DataFrame] = field(default_factory=list)
 
 
+TAGS = {"recruiter": RECRUITER, "ats": ATS, "ats_json": ATS, "profiles": CODE_HOST, "code_host_json": CODE_HOST}
+
+
 @dataclass(frozen=True)
 class Gathered:
     facts: DataFrame
@@ -57,6 +60,18 @@ def markers(candidates: DataFrame) -> DataFrame:
     )
 
 
+def has_id() -> Column:
+    """An id that is neither null nor blank."""
+    return F.coalesce(F.btrim(F.col("candidate_id").cast("string")) != "", F.lit(False))
+
+
+def without_id(table: DataFrame, source: str) -> DataFrame:
+    """Quarantine row for the records of a source that have no id."""
+    return table.filter(~has_id()).agg(F.count("*").alias("n_records")).filter("n_records > 0").select(
+        F.lit(None).cast("string").alias("candidate_id"), F.lit(source).alias("source"),
+        F.lit("missing id").alias("reason"), "n_records")
+
+
 def gather(sources: Sources, staging: str | None = None) -> Gathered:
     """Facts of all sources in their fixed order of arrival, with markers.
 
@@ -67,9 +82,16 @@ def gather(sources: Sources, staging: str | None = None) -> Gathered:
     def stage(table: DataFrame, name: str) -> DataFrame:
         return write_table(table, f"{staging.rstrip('/')}/{name}") if staging else table
 
+    # rows without an id belong to nobody: they give no fact and no profile
+    given = {f.name: getattr(sources, f.name) for f in fields(sources)}
+    facts = given.pop("facts")
+    nameless = [without_id(t, TAGS.get(n, n)) for n, t in given.items() if t is not None and n not in ("candidates", "repos")]
+    nameless += [without_id(t, "facts") for t in facts]
+    sources = Sources(facts=[t.filter(has_id()) for t in facts],
+                      **{n: t if t is None else t.filter(has_id()) for n, t in given.items()})
     parts: list[DataFrame] = []
     sizes: list[tuple[DataFrame, int]] = []
-    broken: list[DataFrame] = []
+    broken: list[DataFrame] = list(nameless)
 
     if sources.recruiter is not None:
         parts.append(recruiter.recruiter_facts(sources.recruiter))
@@ -81,21 +103,23 @@ def gather(sources: Sources, staging: str | None = None) -> Gathered:
         picked = stage(ats.pick_json(sources.ats_json), "ats")
         broken.append(quarantine(picked, ATS))
         parts.append(ats.ats_facts(isolate(picked)))
-        sizes.append((picked, 3))
+        # only the id column is read for the count, no payload
+        sizes.append((sources.ats_json, 3))
     if sources.profiles is not None:
         parts.append(code_host.profile_facts(sources.profiles))
         sizes.append((sources.profiles, 3))
         if sources.repos is not None:
-            parts.append(code_host.repo_facts(code_host.repos_with_profile(sources.repos, sources.profiles)))
+            parts.append(code_host.repo_facts(
+                sources.repos, lambda rows: code_host.repos_with_profile(rows, sources.profiles)))
             sizes.append((sources.repos, 1))
     if sources.code_host_json is not None:
         typed, repos = code_host.pick_json(sources.code_host_json)
         typed, repos = stage(typed, "code_host"), stage(repos, "repositories")
         broken.append(quarantine(typed, CODE_HOST))
         parts.append(code_host.profile_facts(isolate(typed)))
-        gated = code_host.repos_with_profile(without_broken(repos, typed), typed)
-        parts.append(code_host.repo_facts(gated))
-        sizes.append((typed, 3))
+        parts.append(code_host.repo_facts(
+            repos, lambda rows: code_host.repos_with_profile(without_broken(rows, typed), typed)))
+        sizes.append((sources.code_host_json, 3))
         sizes.append((repos, 1))
     for table in sources.facts:
         parts.append(table.select(*FACT_COLUMNS))
@@ -111,20 +135,22 @@ def gather(sources: Sources, staging: str | None = None) -> Gathered:
 
 
 def consolidated(sources: Sources, limit: int = HOT_LIMIT) -> DataFrame:
-    """Default shape: thirteen columns and the page number."""
+    """Default shape: thirteen columns, one row per candidate."""
     gathered = gather(sources)
-    return profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS, "page")
+    return profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS)
 
 
 @dataclass(frozen=True)
 class Result:
     """Tables of one run. ``rejects`` holds candidates whose custom shape
-    failed, ``errors`` the number of errors per validation rule."""
+    failed, ``errors`` the number of errors per validation rule, ``warnings``
+    what a config asks for in vain."""
 
     output: DataFrame
     rejects: DataFrame | None
     errors: DataFrame
     quarantine: DataFrame | None
+    warnings: tuple[str, ...] = ()
 
 
 def shaped(table: DataFrame, config: dict | None = None, strict: bool = False) -> Result:
@@ -135,15 +161,16 @@ def shaped(table: DataFrame, config: dict | None = None, strict: bool = False) -
         return Result(checked.drop("_faults"), None, fault_counts(checked), None)
     projected = project(table, config, strict)
     checked = validate_custom(accepted(projected), config)
-    return Result(checked.drop("_faults"), rejected(projected), fault_counts(checked), None)
+    return Result(
+        checked.drop("_faults"), rejected(projected), fault_counts(checked), None, tuple(lint(table, config)))
 
 
 def run(sources: Sources, config: dict | None = None, strict: bool = False, limit: int = HOT_LIMIT) -> Result:
     """The whole job as lazy tables."""
     gathered = gather(sources)
-    table = profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS, "page")
+    table = profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS)
     result = shaped(table, config, strict)
-    return Result(result.output, result.rejects, result.errors, gathered.quarantine)
+    return replace(result, quarantine=gathered.quarantine)
 
 
 __all__ = ["ERRORS", "Gathered", "Result", "Sources", "consolidated", "gather", "markers", "run", "shaped"]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ledger import unmerged
 from ..operators.profile import PROFILE_COLUMNS, profiles
 from ..operators.skew import HOT_LIMIT
 from ..operators.validate import fault_counts, validate_profiles
@@ -13,33 +16,38 @@ from .consolidate import Sources, gather, shaped
 
 
 def provenance_table(table: DataFrame) -> DataFrame:
-    """Decisions as rows, in order within candidate and page."""
-    return table.select("candidate_id", "page", F.posexplode("provenance").alias("pos", "p")).select(
-        "candidate_id", "page", "pos", "p.*"
+    """Decisions as rows, in order within a candidate."""
+    return table.select("candidate_id", F.posexplode("provenance").alias("pos", "p")).select(
+        "candidate_id", "pos", "p.*"
     )
 
 
 def run_to_folder(
     sources: Sources, folder: str, configs: dict[str, dict] | None = None, limit: int = HOT_LIMIT
 ) -> dict[str, str]:
-    """Write profiles, documents, provenance, validation, quarantine and any
-    number of custom shapes. The profile table is written first and read back:
+    """Write profiles, documents, provenance, validation, unmerged fields,
+    quarantine and any number of custom shapes with their errors. The profile table is written first and read back:
     the merge runs once, every shape reads its file."""
     at = {name: f"{folder.rstrip('/')}/{name}" for name in
-          ("profiles", "documents", "provenance", "validation", "quarantine")}
+          ("profiles", "documents", "provenance", "validation", "unmerged", "quarantine")}
     gathered = gather(sources, f"{folder.rstrip('/')}/staging")
-    merged = profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS, "page")
+    merged = profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS)
     table = write_table(merged, at["profiles"])
     checked = validate_profiles(table)
     write_documents(checked.drop("_faults"), at["documents"])
     write_table(provenance_table(table), at["provenance"])
     write_table(fault_counts(checked), at["validation"])
+    write_table(unmerged(gathered.facts), at["unmerged"])
     if gathered.quarantine is not None:
         write_table(gathered.quarantine, at["quarantine"])
     for name, config in (configs or {}).items():
         at[name] = f"{folder.rstrip('/')}/shape_{name}"
         result = shaped(table, config)
+        for warning in result.warnings:
+            warnings.warn(f"shape {name}: {warning}", stacklevel=2)
         write_documents(result.output, at[name])
+        at[name + "_errors"] = f"{folder.rstrip('/')}/shape_{name}_errors"
+        write_table(result.errors, at[name + "_errors"])
         if result.rejects is not None:
             at[name + "_rejects"] = f"{folder.rstrip('/')}/shape_{name}_rejects"
             write_table(result.rejects, at[name + "_rejects"])

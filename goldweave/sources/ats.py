@@ -15,12 +15,14 @@ def read_ats_json(spark: SparkSession, paths: str | list[str], multi_line: bool
     """JSON files as (candidate_id, record_ord, payload): the payload is the
     whole object as text, parsed later, so that one bad record harms no other.
 
-    With ``multi_line`` every file is one document.
+    With ``multi_line`` every file is one document, and its path stands in for
+    a missing id; a line without an id has none and goes to quarantine.
     """
     document = untyped.parse(F.col("value"))
     return spark.read.text(paths, wholetext=multi_line).select(
         F.coalesce(
-            F.try_variant_get(document, "$.candidate_id", "string"), F.col("_metadata.file_path")
+            F.try_variant_get(document, "$.candidate_id", "string"),
+            F.col("_metadata.file_path") if multi_line else F.lit(None),
         ).alias("candidate_id"),
         F.try_variant_get(document, "$.record_ord", "bigint").alias("record_ord"),
         F.col("value").alias("payload"),

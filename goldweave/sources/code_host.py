@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,9 +156,12 @@ def distinct_languages(repos: DataFrame) -> DataFrame:
     )
 
 
-def repo_facts(repos: DataFrame, source_ord: int = 2) -> DataFrame:
-    """One inferred skill per distinct language, below a declared skill."""
-    return distinct_languages(repos).select(
+def repo_facts(
+    repos: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda rows: rows, source_ord: int = 2
+) -> DataFrame:
+    """One inferred skill per distinct language, below a declared skill. Which
+    candidates count is asked after the distinct step: raw rows are not joined."""
+    return keep(distinct_languages(repos)).select(
         "candidate_id",
         F.lit("skills").alias("field"),
         skill_name(F.col("language")).alias("value"),

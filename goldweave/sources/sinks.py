@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REPORTING = ("page", "_page", "_document", "_validation_errors", "_projection_errors")
+REPORTING = ("_document", "_validation_errors", "_projection_errors")
 
 
 def documents(df: DataFrame) -> DataFrame:
     """One JSON document per row, nulls written out as they are part of the
-    fixed shape. Validation errors are attached where there are some, the page
-    number on continuation pages only."""
+    fixed shape. Validation errors are attached where there are some."""
     if "_document" in df.columns:
         body = F.col("_document")
     else:
@@ -21,9 +20,6 @@ def documents(df: DataFrame) -> DataFrame:
     if "_validation_errors" in df.columns:
         errors = F.col("_validation_errors")
         extra.append(F.when(errors.isNotNull(), F.concat(F.lit('"_validation_errors":'), F.to_json(errors))))
-    page = next((c for c in ("page", "_page") if c in df.columns), None)
-    if page:
-        extra.append(F.when(F.col(page) > 0, F.concat(F.lit('"_page":'), F.col(page).cast("string"))))
     inner = F.substr(body, F.lit(2), F.length(body) - 2)
     parts = F.array_compact(F.array(F.nullif(inner, F.lit("")), *extra))
     return df.select(F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("value"))

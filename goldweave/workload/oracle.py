@@ -656,6 +656,7 @@ def statements() -> dict[str, str]:
             "SELECT candidate_id, CAST(0 AS BIGINT) AS page, github, linkedin, CAST(NULL AS VARCHAR) AS portfolio, "
             "replace(other_links, ';', ' ') AS other FROM profiles", full),
         "profile_default": with_parts(f"SELECT {PROFILE_OUT} FROM profiles", full),
+        "profile_across": with_parts(f"SELECT {PROFILE_OUT} FROM profiles", full),
         "profile_empty": with_parts(f"SELECT {PROFILE_OUT} FROM few_profiles", "few_profiles"),
         "profile_json": with_parts(
             "SELECT candidate_id, full_name, 'candidate_id,full_name,emails,phones,location,links,headline,"
@@ -665,9 +666,9 @@ def statements() -> dict[str, str]:
             "FROM profiles LEFT JOIN (SELECT candidate_id, count(*) FILTER (start LIKE '%/%') AS n_bad FROM exp_items "
             "GROUP BY candidate_id) USING (candidate_id)", full, "exp_items"),
         "project_custom": with_parts(
-            f"SELECT candidate_id, full_name, email_list[1] AS primary_email, {phone(first_phone)} AS phone, "
-            f"names AS skills, overall_milli, CAST(n_provenance AS INTEGER) AS n_provenance, "
-            "'full_name,primary_email,phone,skills,overall_confidence,provenance' AS keys "
+            f"SELECT candidate_id, headline, email_list[2] AS contact, {phone('phone_list[2]')} AS callback, "
+            f"names AS knows, overall_milli, CAST(n_provenance AS INTEGER) AS n_provenance, "
+            "'headline,contact,callback,knows,overall_confidence,provenance' AS keys "
             f"FROM profiles LEFT JOIN (SELECT candidate_id, string_agg({skill('value')}, ';' ORDER BY r) AS names "
             "FROM skill_items GROUP BY candidate_id) USING (candidate_id)", full),
         "project_paths": with_parts(

@@ -32,10 +32,11 @@ def expected(candidate, facts):
             ledger.append((section, mine[best][3], mine[best][4], mine[best][5]))
             ledger += [(section, f[3], "discarded:" + f[4], f[5]) for i, f in enumerate(mine) if i != best]
         elif section in ("emails", "phones"):
-            for f in trusted:
-                if f[2] not in out[section]:
-                    out[section].append(f[2])
-                    ledger.append((section, f[3], f[4], f[5]))
+            # a value stands where its most trusted fact stands
+            values = [f[2] for f in trusted]
+            first = sorted({values.index(v) for v in values})
+            out[section] = [values[i] for i in first]
+            ledger += [(section, *trusted[i][3:]) for i in first]
         elif section == "skills":
             names = list(dict.fromkeys(f[2] for f in trusted))
             for name in names:
@@ -55,15 +56,15 @@ def expected(candidate, facts):
                 seen.add(_job_key(f[2]))
                 ledger.append((section, f[3], ("merged-duplicate:" if again else "") + f[4], f[5]))
         elif section == "links":
-            for f in trusted:
-                url = f[2]
-                if "github.com" in url and out["github"] is None:
-                    out["github"] = url
-                elif "linkedin.com" in url and out["linkedin"] is None:
-                    out["linkedin"] = url
-                elif url not in out["other"]:
-                    out["other"].append(url)
-                ledger.append((section, f[3], f[4], f[5]))
+            # one rank has the code host, one other rank the network, all the
+            # rest are a set in order of first appearance
+            urls = [f[2] for f in trusted]
+            host = [i for i, u in enumerate(urls) if "github.com" in u][:1]
+            network = [i for i, u in enumerate(urls) if "linkedin.com" in u and i not in host][:1]
+            rest = [u for i, u in enumerate(urls) if i not in host + network]
+            out["github"], out["linkedin"] = (urls[i[0]] if i else None for i in (host, network))
+            out["other"] = sorted(set(rest), key=rest.index)
+            ledger += [(section, *f[3:]) for f in trusted]
     won = [x[3] for x in ledger if not x[2].startswith(("discarded", "merged-duplicate"))]
     out["provenance"] = ledger
     out["overall"] = (2 * sum(won) + len(won)) // (2 * len(won)) if won else 0
@@ -71,39 +72,20 @@ def expected(candidate, facts):
     return out
 
 
-def found(pages):
-    """The same shape from rows of the profile table; pages are joined."""
-    out = {}
-    for row in sorted(pages, key=lambda r: r["page"]):
-        part = {
-            "candidate_id": row["candidate_id"],
-            "full_name": row["full_name"],
-            "headline": row["headline"],
-            "emails": row["emails"],
-            "phones": row["phones"],
-            "skills": [(s["name"], round(s["confidence"] * 1000), s["sources"]) for s in row["skills"]],
-            "experience": [e.asDict() for e in row["experience"]],
-            "github": row["links"]["github"],
-            "linkedin": row["links"]["linkedin"],
-            "other": row["links"]["other"],
-            "provenance": [(p["field"], p["source"], p["method"], round(p["confidence"] * 1000))
-                           for p in row["provenance"]],
-            "overall": round(row["overall_confidence"] * 1000),
-        }
-        if row["page"] == 0:
-            out = part
-            continue
-        for name in ("emails", "phones", "experience", "other"):
-            out[name] = out[name] + part[name]
-        for name in ("full_name", "headline", "github", "linkedin"):
-            out[name] = out[name] if out[name] is not None else part[name]
-        for skill, milli, sources in part["skills"]:
-            at = next((i for i, s in enumerate(out["skills"]) if s[0] == skill), None)
-            if at is None:
-                out["skills"].append((skill, milli, sources))
-            else:
-                assert out["skills"][at][1] == milli
-                out["skills"][at] = (skill, milli, out["skills"][at][2] + sources)
-        out["provenance"] = sorted(out["provenance"] + part["provenance"],
-                                   key=lambda p: SECTIONS.index(p[0]))
-    return out
+def found(row):
+    """The same shape from a row of the profile table."""
+    return {
+        "candidate_id": row["candidate_id"],
+        "full_name": row["full_name"],
+        "headline": row["headline"],
+        "emails": row["emails"],
+        "phones": row["phones"],
+        "skills": [(s["name"], round(s["confidence"] * 1000), s["sources"]) for s in row["skills"]],
+        "experience": [e.asDict() for e in row["experience"]],
+        "github": row["links"]["github"],
+        "linkedin": row["links"]["linkedin"],
+        "other": row["links"]["other"],
+        "provenance": [(p["field"], p["source"], p["method"], round(p["confidence"] * 1000))
+                       for p in row["provenance"]],
+        "overall": round(row["overall_confidence"] * 1000),
+    }

@@ -4,6 +4,7 @@ import pytest
 from model import expected, found
 
 from goldweave.constants import FACT_SCHEMA
+from goldweave.operators import skew
 from goldweave.operators.ledger import ledger, ledger_in_place, unmerged
 from goldweave.operators.profile import profiles, profiles_in_place
 from goldweave.operators.skew import ranked, split_hot
@@ -25,17 +26,18 @@ def table(spark, facts):
 
 
 def merged(df, **options):
-    pages = {}
-    for row in profiles(df, **options).collect():
-        pages.setdefault(row.candidate_id, []).append(row)
-    return {c: found(rows) for c, rows in pages.items()}
+    rows = profiles(df, **options).collect()
+    assert len(rows) == len({r.candidate_id for r in rows})
+    return {r.candidate_id: found(r) for r in rows}
 
 
 CASES = {
-    "clear winner": [("c", "full_name", "Asha Verma", "recruiter_csv", "direct", 850),
-                     ("c", "full_name", "A. Verma", "github", "direct", 600)],
-    "tie by priority": [("c", "full_name", "From ATS", "ats_json", "direct", 850),
-                        ("c", "full_name", "From Recruiter", "recruiter_csv", "direct", 850)],
+    "clear winner": [("c", "full_name", "Tomas K", "resume", "direct", 700),
+                     ("c", "full_name", "Tomas Keller", "linkedin", "direct", 910),
+                     ("c", "full_name", "T Keller", "board", "direct", 500)],
+    "tie by priority": [("c", "full_name", "note", "recruiter_notes", "direct", 620),
+                        ("c", "full_name", "code", "github", "direct", 620),
+                        ("c", "full_name", "paper", "resume", "direct", 620)],
     "tie in one source": [("c", "headline", "first", "x", "direct", 500), ("c", "headline", "second", "x", "direct", 500),
                           ("c", "headline", "late winner", "linkedin", "direct", 500)],
     "two mails": [("c", "emails", "b@x.com", "ats_json", "direct", 850), ("c", "emails", "a@x.com", "recruiter_csv", "direct", 900),
@@ -62,7 +64,7 @@ CASES = {
 @pytest.mark.parametrize("limit", [20_000, 0])
 def test_rules(spark, name, limit):
     facts = CASES[name]
-    assert merged(table(spark, facts), limit=limit, page_rows=1000) == {"c": expected("c", facts)}
+    assert merged(table(spark, facts), limit=limit) == {"c": expected("c", facts)}
 
 
 def random_facts(seed, candidates, n):
@@ -90,11 +92,13 @@ def by_candidate(facts):
     return {c: expected(c, [f for f in facts if f[0] == c]) for c in {f[0] for f in facts}}
 
 
-@pytest.mark.parametrize("limit,page_rows", [(20_000, 20_000), (40, 1000), (40, 7), (0, 1)])
-def test_random_facts_against_the_plain_rules(spark, limit, page_rows):
+@pytest.mark.parametrize("limit,ids", [(20_000, 10_000), (40, 10_000), (40, 0), (3, 0), (0, 10_000)])
+def test_random_facts_against_the_plain_rules(spark, monkeypatch, limit, ids):
+    # with no id to broadcast, hot ids are joined by shuffle
+    monkeypatch.setattr(skew, "MAX_BROADCAST_IDS", ids)
     facts = random_facts(7, 12, 400)
     shuffled = table(spark, facts).orderBy("value", "record_ord").repartition(5)
-    assert merged(shuffled, limit=limit, page_rows=page_rows) == by_candidate(facts)
+    assert merged(shuffled, limit=limit) == by_candidate(facts)
 
 
 def test_result_does_not_depend_on_partitions(spark):
@@ -104,7 +108,7 @@ def test_result_does_not_depend_on_partitions(spark):
         results = []
         for n in ("1", "4", "16"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            results.append(merged(table(spark, facts).repartition(3), limit=30, page_rows=10))
+            results.append(merged(table(spark, facts).repartition(3), limit=30))
         assert results[0] == results[1] == results[2] == by_candidate(facts)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
@@ -137,20 +141,19 @@ def test_ranking_across_partitions(spark):
     assert got == sorted([("hot", i + 1, i) for i in range(500)] + [("cold", 1, 1), ("warm", 1, 2), ("warm", 2, 5)])
 
 
-def test_hot_candidates_without_facts_get_a_page(spark):
+def test_hot_candidates_without_facts_get_a_profile(spark):
     rows = [("ghost", None, None, None, None, None, None, None, None, None)] * 5
     df = spark.createDataFrame(rows, FACT_SCHEMA)
     (row,) = profiles(df, limit=2).collect()
-    assert (row.candidate_id, row.page, row.emails, row.provenance, row.overall_confidence) == ("ghost", 0, [], [], 0.0)
+    assert (row.candidate_id, row.emails, row.skills, row.provenance, row.overall_confidence) == ("ghost", [], [], [], 0.0)
 
 
 def test_missing_id_is_the_empty_id(spark):
     rows = [(None, "emails", f"m{i}@x.io", None, "x", "direct", 500, 0, i, 0) for i in range(6)]
     df = spark.createDataFrame(rows, FACT_SCHEMA)
     for limit in (100, 3):
-        pages = profiles(df, limit=limit).collect()
-        assert {r.candidate_id for r in pages} == {""}
-        assert sum((r.emails for r in sorted(pages, key=lambda r: r.page)), []) == [f"m{i}@x.io" for i in range(6)]
+        (row,) = profiles(df, limit=limit).collect()
+        assert (row.candidate_id, row.emails) == ("", [f"m{i}@x.io" for i in range(6)])
 
 
 def test_split_only_when_needed(spark):
@@ -165,6 +168,22 @@ def test_unmerged_fields_are_counted(spark):
     assert [tuple(r) for r in unmerged(df).collect()] == [("location", "resume", 1)]
 
 
+def test_equal_positions_go_by_value(spark):
+    rows = [("c", "full_name", n, None, "x", "direct", 500, 0, 0, 0) for n in ("Zoe", "Abe", "Mia")]
+    for parts in (1, 3):
+        for limit in (100, 0):
+            df = spark.createDataFrame(rows, FACT_SCHEMA).repartition(parts)
+            assert [r.full_name for r in profiles(df, limit=limit).collect()] == ["Abe"]
+
+
+def test_plan_of_the_distributed_way(spark):
+    out = profiles(table(spark, random_facts(2, 3, 80)), limit=10)
+    text = plan(out)
+    assert text.count("Exchange ") < 25
+    assert text.count("ExistingRDD") <= 6
+    assert "CartesianProduct" not in text
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
