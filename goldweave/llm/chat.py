@@ -69,19 +69,47 @@ def render(role: Column, text: Column, escaped: Column) -> Column:
     )
 
 
-def parse(formatted: Column) -> Column:
-    """Turns (role, text) of a formatted text, in order."""
-    found = F.arrays_zip(
+def pieces(formatted: Column) -> Column:
+    """Turns (role, kind, text) of a formatted text as they stand in it."""
+    return F.arrays_zip(
         F.regexp_extract_all(formatted, F.lit(TURN), F.lit(1)).alias("role"),
         F.regexp_extract_all(formatted, F.lit(TURN), F.lit(2)).alias("kind"),
         F.regexp_extract_all(formatted, F.lit(TURN), F.lit(3)).alias("text"),
     )
+
+
+def parse(formatted: Column) -> Column:
+    """Turns (role, text) of a formatted text, in order."""
+    return plain(pieces(formatted))
+
+
+def plain(found: Column) -> Column:
     return F.transform(found, lambda t: F.struct(
         F.when(t["kind"] == "", t["role"]).otherwise(unescape_role(t["role"])).alias("role"),
         F.when(t["kind"] == "", t["text"]).otherwise(unescape(t["text"])).alias("text"),
     ))
 
 
+def mask_fits(found: Column, spans: Column) -> Column:
+    """Do the spans cover the bodies of the assistant turns, and nothing else?
+
+    Both sides are summed up as digests of (start, length), so a conversation
+    of many turns is walked once and not cut up span by span."""
+    def digest(start: Column, length: Column) -> Column:
+        return F.pmod(F.xxhash64(start.cast("long"), length.cast("long")), F.lit(1_000_000_007))
+
+    def walk(a: Column, t: Column) -> Column:
+        body = a["at"] + len(OPEN) + F.length(t["role"]) + F.length(t["kind"]) + len(RAW)
+        said = (t["role"] == "assistant") | ((t["kind"] != "") & (unescape_role(t["role"]) == "assistant"))
+        return F.struct(
+            (body + F.length(t["text"]) + len(ENDING)).alias("at"),
+            (a["sum"] + F.when(said, digest(body, F.length(t["text"]))).otherwise(0)).alias("sum"))
+
+    nothing = F.lit(0).cast("long")
+    read = F.aggregate(found, F.struct(nothing.alias("at"), nothing.alias("sum")), walk, lambda a: a["sum"])
+    return read == F.aggregate(spans, nothing, lambda n, s: n + digest(s["start"], s["length"]))
+
+
 def reads_back(role: Column, text: Column) -> Column:
     """Does the raw turn come back as exactly itself, without a control string
     that a laxer reader could take for the grammar?"""
@@ -125,15 +153,18 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What a reader of the formatted texts finds in them."""
-    turns = parse(F.col("formatted"))
+    """What a reader of the formatted texts finds in them. The loss text is what
+    the mask covers; a mask that covers anything but whole assistant bodies
+    fails the job."""
+    read = formatted.withColumn("found", pieces(F.col("formatted"))).withColumn("turns", plain(F.col("found")))
     said = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
-    read = formatted.select("conv_id", "formatted", "n_escaped", "loss_spans", turns.alias("turns"))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
-    return read.select(
+    covered = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    loss = F.when(mask_fits(F.col("found"), F.col("loss_spans")), covered).otherwise(F.raise_error(F.concat(
+        F.lit("loss mask does not fit conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))))
+    return read.withColumn("loss", loss).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", said), ""), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
         F.col("n_escaped").cast("long").alias("n_escaped"),
     )

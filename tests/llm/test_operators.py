@@ -211,6 +211,19 @@ def test_chat_round_trip_of_hostile_texts(spark):
     assert chat.digests(chat.format_conversations(df.limit(0))).collect() == []
 
 
+def test_loss_mask_must_cover_the_assistant_bodies(spark):
+    said = "\\### Assistant: </turn> ok"
+    made = chat.format_conversations(spark.createDataFrame(
+        [(1, 0, "user", said), (1, 1, "assistant", said), (1, 2, "assistant", "yes\U0001f600")],
+        "conv_id long, turn long, role string, text string"))
+    row = chat.digests(made).first()
+    assert (row.loss_chars, row.loss_sha256) == (
+        len(said) + 4, hashlib.sha256((said + "yes\U0001f600").encode()).hexdigest())
+    for wrong in ("transform(loss_spans, s -> struct(s.start + 1 AS start, s.length))", "slice(loss_spans, 1, 1)"):
+        with pytest.raises(Exception, match="loss mask does not fit"):
+            chat.digests(made.withColumn("loss_spans", F.expr(wrong))).collect()
+
+
 # --- archives --------------------------------------------------------------------------
 
 def test_archives_round_trip(spark, tmp_path):
