@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.storage import new_folder
-from . import chat, line_dedup, minhash, mixing, quality_model, quality_rules, suffix_dedup, tiling, toxicity, warc
+from . import (
+    chat, exact_dedup, hard_negatives, line_dedup, minhash, mixing, quality_model, quality_rules, suffix_dedup, tiling,
+    toxicity, vector_codes, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -93,5 +96,26 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "n_frequent_lines", "n_frequent_words")
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, vec_id % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def registered() -> dict[str, Query]:
     return REGISTERED

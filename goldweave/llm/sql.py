@@ -138,5 +138,87 @@ FROM facts
 """
 
 
+OP11 = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+    FROM whole a JOIN whole r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, s.vec_id AS negative_id, positive_score,
+    s.score AS negative_score
+FROM positives JOIN scored s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+def lloyd(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds written out: book k from the entries of book k - 1."""
+    def assigned(k: int) -> str:
+        # the part's own square is the same for all entries
+        return f"""
+            SELECT m.r, m.p, m.part, arg_min(b.e, {{'d': b.square - 2 * list_dot_product(m.part, b.entry), 'e': b.e}}) AS e
+            FROM members m JOIN book{k} b USING (p) GROUP BY ALL"""
+
+    steps = [f"""
+whole AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), members AS MATERIALIZED (
+    SELECT r, vec_id, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS part
+    FROM whole, range({parts}) t(p)
+), book0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, part AS entry,
+        list_dot_product(part, part) AS square
+    FROM members QUALIFY e < {entries}
+)"""]
+    for k in range(1, rounds + 1):
+        steps.append(f"""
+round{k} AS MATERIALIZED ({assigned(k - 1)}
+), mean{k} AS MATERIALIZED (
+    SELECT p, e, list(floor(total / n) ORDER BY i) AS entry FROM (
+        SELECT p, e, i, sum(x)::BIGINT AS total, count(*) AS n
+        FROM (SELECT p, e, unnest(part) AS x, unnest(range(len(part))) AS i FROM round{k}) GROUP BY p, e, i)
+    GROUP BY p, e
+), book{k} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.entry, b.entry) AS entry,
+        list_dot_product(coalesce(m.entry, b.entry), coalesce(m.entry, b.entry)) AS square
+    FROM book{k - 1} b LEFT JOIN mean{k} m USING (p, e)
+)""")
+    return f"""
+WITH {",".join(steps)}, final AS ({assigned(rounds)}
+), coded AS (
+    SELECT f.r, string_agg(printf('%02x', f.e), '' ORDER BY f.p) AS code,
+        sum(list_dot_product(part, part) + square - 2 * list_dot_product(part, entry))::BIGINT AS error
+    FROM final f JOIN book{rounds} b USING (p, e) GROUP BY f.r
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(array_to_string(list_transform(entry, lambda x: x::BIGINT), ','), ',' ORDER BY p, e))
+     FROM book{rounds}) AS codebooks_sha256
+FROM whole JOIN coded USING (r)
+"""
+
+
+OP13 = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_chat_formatting": OP1, "op8_source_mixing": OP8, "op10_quality_rules": OP10}
+    return {
+        "op1_chat_formatting": OP1, "op8_source_mixing": OP8, "op10_quality_rules": OP10, "op11_hard_negatives": OP11,
+        "op12_vector_codes": lloyd(), "op13_exact_dedup": OP13,
+    }

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(sql.statements()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "pages"):
+    for t in ("documents", "conversations", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = queries.registered()[name](spark, FOLDER)
     cursor = con.execute(sql.statements()[name])
@@ -23,7 +23,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = {n.split("_")[0] for n in queries.registered()}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in contract.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "MinHash near-dedup", "substring dedup", "benchmark decontamination", "mixing"]
