@@ -5,6 +5,10 @@ import re
 from collections import defaultdict
 from difflib import SequenceMatcher
 
+import numpy as np
+
+from goldweave.llm import line_dedup
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -47,18 +51,46 @@ def repeated_bytes(rows, length=100):
     return out
 
 
-def repeated_lines(rows, least=20):
-    """doc_id -> text without the long lines that an earlier document holds."""
+def pieces(text, units):
+    """(start, end, words) of each unit in code points, end where the next begins."""
+    data = (text or "").encode()
+    found = line_dedup.cut(np.frombuffer(data, np.uint8), units)
+    starts = [len(data[:k].decode()) for k in found.start.tolist()]
+    return list(zip(starts, [*starts[1:], len(text or "")], found.words.tolist()))
+
+
+def repeated_runs(rows, units=line_dedup.Units()):
+    """doc_id -> (text left, spans removed, units removed): units that an
+    earlier place holds too, where enough of them follow each other."""
     seen, out = set(), {}
-    for d, t in sorted(rows):
-        kept = []
-        for line in (t or "").split("\n"):
-            key = " ".join(line.lower().split())
-            if len(key.split()) >= least and key in seen:
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        spans, n_units, run = [], 0, []
+        for start, end, n in [*pieces(t, units), (None, None, 0)]:
+            key = " ".join(WORD.findall(t[start:end].translate(LOWER))) if start is not None else None
+            if key is not None and key in seen:
+                run.append((start, end, n))
                 continue
             seen.add(key)
-            kept.append(line)
-        out[d] = "\n".join(kept)
+            if sum(n for _, _, n in run) >= units.min_words:
+                spans.append((run[0][0], run[-1][1]))
+                n_units += len(run)
+            run = []
+        edges = [0, *(x for s in spans for x in s), len(t or "")]
+        out[d] = ("".join((t or "")[a:b] for a, b in zip(edges[::2], edges[1::2])), spans, n_units)
+    return out
+
+
+def later_runs(rows, least):
+    """doc_id -> the runs of `least` words that an earlier document or place holds."""
+    seen, out = set(), {}
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        for line in (t or "").translate(LOWER).split("\n"):
+            w = WORD.findall(line)
+            for k in range(len(w) - least + 1):
+                run = tuple(w[k:k + least])
+                if run in seen:
+                    out.setdefault(d, []).append(" ".join(run))
+                seen.add(run)
     return out
 
 

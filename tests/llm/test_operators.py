@@ -64,16 +64,60 @@ def test_repeated_strings_of_odd_tables(empty, repeated):
     assert "lang" in suffix_dedup.without_repeats(repeated).select("row.*").columns
 
 
-def test_repeated_lines(docs, rows, empty, repeated):
-    want = brute.repeated_lines(rows)
-    got = by_id(line_dedup.digests(docs), "n_bytes", "n_removed", "kept_sha256")
-    for d, text in rows:
-        size = len((text or "").encode())
-        assert got[d] == (size, size - len(want[d].encode()), hashlib.sha256(want[d].encode()).hexdigest())
+def test_repeated_runs(docs, rows, empty, repeated, monkeypatch):
+    want = brute.repeated_runs(rows)
+    assert sum(bool(v[1]) for v in want.values()) > 10
+
+    def check():
+        out = line_dedup.digests(docs)
+        got = by_id(out, "n_bytes", "n_removed", "n_spans", "n_units", "kept_sha256")
+        for d, text in rows:
+            left, spans, n_units = want[d]
+            size = len((text or "").encode())
+            assert got[d] == (size, size - len(left.encode()), len(spans), n_units,
+                              hashlib.sha256(left.encode()).hexdigest())
+
+    check()
+    monkeypatch.setattr(line_dedup, "PIECE", 300)
+    check()
     cut = line_dedup.cut_text(docs)
     assert cut.columns == docs.columns
     assert line_dedup.digests(empty).collect() == []
-    assert line_dedup.cut_text(repeated).count() == 6
+
+
+def test_repeated_runs_of_repeated_rows(spark, repeated):
+    assert line_dedup.cut_text(repeated).columns == repeated.columns
+    got = sorted(((r.doc_id, r.n_bytes - r.n_removed, r.n_spans) for r in line_dedup.digests(repeated).collect()), key=repr)
+    # the null id is first; its text goes from 3 twice and, but for its last unit, from 4
+    four = [g for g in got if g[0] == 4]
+    assert sorted(set(got) - set(four), key=repr) == sorted([(None, 489, 0), (None, 0, 0), (3, 0, 1), (3, 10, 0)], key=repr)
+    assert len(got) == 6 and got.count((3, 0, 1)) == 2 and four[0][2] == 1 and 5 <= four[0][1] < 70
+    line = " ".join(f"v{k}" for k in range(60))
+    once = [(1, line), (2, "start here " + line + "\nmore " + line)]
+    twice = line_dedup.digests(spark.createDataFrame(once + once[1:], "doc_id bigint, text string"))
+    single = line_dedup.digests(spark.createDataFrame(once, "doc_id bigint, text string"))
+    first, = {tuple(r) for r in single.filter("doc_id = 2").collect()}
+    assert {tuple(r) for r in twice.filter("doc_id = 2").collect()} == {first} and first[3] >= 2 and first[4] > 4
+
+
+def test_long_passages_do_not_stand_twice(spark):
+    """Passages in the middle of lines, held against all runs of words."""
+    rng = random.Random(11)
+    words = [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{k}" for k in range(5000)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    shared = [say(rng.randint(51, 90)) for _ in range(12)]
+    rows = [(d, " ".join(say(rng.randint(5, 80)) + rng.choice(shared) + say(rng.randint(0, 80)))) for d in range(120)]
+    rows += [(d, " ".join(say(150))) for d in range(120, 160)]
+    want = brute.later_runs(rows, 51)
+    got = {r.row.doc_id: r for r in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {d for d, r in got.items() if r.removed} == set(want) and len(want) == 108
+    texts = dict(rows)
+    for d, found in want.items():
+        assert not any(run in got[d].text for run in found)
+        assert all(len(texts[d][g.start:g.end].split()) >= 30 for g in got[d].removed)
+    lost = sum(len(texts[d].split()) - len(got[d].text.split()) for d in want)
+    # a run of n words has n - 50 windows of 51
+    assert lost > 0.8 * sum(len(f) + 50 for f in want.values())
 
 
 def test_removed_spans_point_into_the_original(docs, rows):
@@ -82,7 +126,7 @@ def test_removed_spans_point_into_the_original(docs, rows):
     assert out
     for r in out:
         for g in r.removed:
-            assert len(texts[r.row.doc_id][g.start:g.end].split()) >= 20
+            assert len(texts[r.row.doc_id][g.start:g.end].split()) >= 30
 
 
 # --- benchmark -------------------------------------------------------------------------
