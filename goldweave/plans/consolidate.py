@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from ..constants import ATS, CODE_HOST, EXPERIENCE_TYPE, FACT_COLUMNS, FACT_SCHEMA, RECRUITER, RECRUITER_COLUMNS
 from ..operators.profile import PROFILE_COLUMNS, profiles
 from ..operators.project import accepted, lint, project, rejected
-from ..operators.quarantine import isolate, quarantine, without_broken
+from ..operators.membership import within, without
+from ..operators.quarantine import broken_ids, isolate, quarantine
 from ..operators.skew import HOT_LIMIT, Split, split_hot, weigh
+from ..operators.storage import new_folder
 from ..operators.validate import ERRORS, fault_counts, validate_custom, validate_profiles
 from ..sources import ats, code_host, recruiter
+from ..sources.files import in_order
 from ..sources.sinks import write_table
 
 
@@ -22,9 +25,11 @@ from ..sources.sinks import write_table
 class Sources:
     """Source tables, each with candidate_id; any of them may be absent.
 
-    Typed and JSON forms of a source may be given together. ``facts`` are
-    tables in the fact schema, the entry for further kinds of sources.
-    ``candidates`` lists ids that must get a profile even without any record.
+    Typed and JSON forms of a source may be given together; ``profile_json``
+    and ``repos_json`` hold payloads of their own, as files give them.
+    ``facts`` are tables in the fact schema, the entry for further kinds of
+    sources. ``candidates`` lists ids that must get a profile even without any
+    record. Tables read from files have a ``position``.
     """
 
     recruiter: DataFrame | None = None
@@ -33,11 +38,15 @@ class Sources:
     profiles: DataFrame | None = None
     repos: DataFrame | None = None
     code_host_json: DataFrame | None = None
+    profile_json: DataFrame | None = None
+    repos_json: DataFrame | None = None
     candidates: DataFrame | None = None
     facts: list[DataFrame] = field(default_factory=list)
 
 
-TAGS = {"recruiter": RECRUITER, "ats": ATS, "ats_json": ATS, "profiles": CODE_HOST, "code_host_json": CODE_HOST}
+TAGS = {"recruiter": RECRUITER, "ats": ATS, "profiles": CODE_HOST, "repos": CODE_HOST}
+# sources that are parsed or read from files: written once, then used
+PARSED = ("ats_json", "code_host_json", "profile_json", "repos_json")
 
 
 @dataclass(frozen=True)
@@ -66,32 +75,53 @@ def has_id() -> Column:
 
 
 def without_id(table: DataFrame, source: str) -> DataFrame:
-    """Quarantine row for the records of a source that have no id."""
-    return table.filter(~has_id()).agg(F.count("*").alias("n_records")).filter("n_records > 0").select(
+    """Quarantine rows for the records of a source that have no id: one by one
+    with their place in a file, or their number."""
+    bad = table.filter(~has_id()).withColumns({
+        "candidate_id": F.lit(None).cast("string"), "reason": F.lit("missing id")})
+    if "line" in table.columns:
+        return quarantine(bad, source)
+    return bad.agg(F.count("*").alias("n_records")).filter("n_records > 0").select(
         F.lit(None).cast("string").alias("candidate_id"), F.lit(source).alias("source"),
         F.lit("missing id").alias("reason"), "n_records")
 
 
+def named(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed records with an id, and the broken ones: what is no JSON has no
+    id either, but its own reason."""
+    reason = F.when(has_id(), F.col("reason")).otherwise(F.coalesce("reason", F.lit("missing id")))
+    return records.filter(has_id()), records.withColumn("reason", reason)
+
+
 def gather(sources: Sources, staging: str | None = None) -> Gathered:
     """Facts of all sources in their fixed order of arrival, with markers.
 
-    JSON sources are read by the quarantine and by the extraction; with a
-    ``staging`` folder their parsed records are written there once and read
-    back, so that no payload is parsed twice.
+    What has to be parsed or read from files is written once to the ``staging``
+    folder, by default one in the shared folder, and read back from there: by
+    the quarantine, the extraction and the count of a candidate's rows.
     """
+    given = {f.name: getattr(sources, f.name) for f in fields(sources)}
+    facts = given.pop("facts")
+    tables = [t for t in (*given.values(), *facts) if t is not None]
+    if not tables:
+        raise ValueError("no source table given")
+    root = staging
+
     def stage(table: DataFrame, name: str) -> DataFrame:
-        return write_table(table, f"{staging.rstrip('/')}/{name}") if staging else table
+        nonlocal root
+        root = root or new_folder(tables[0].sparkSession, "staging")
+        folder = f"{root.rstrip('/')}/{name}"
+        return in_order(table, folder) if "position" in table.columns else write_table(table, folder)
 
+    if sources.recruiter is not None and "position" in sources.recruiter.columns:
+        given["recruiter"] = stage(sources.recruiter, "recruiter")
     # rows without an id belong to nobody: they give no fact and no profile
-    given = {f.name: getattr(sources, f.name) for f in fields(sources)}
-    facts = given.pop("facts")
-    nameless = [without_id(t, TAGS.get(n, n)) for n, t in given.items() if t is not None and n not in ("candidates", "repos")]
-    nameless += [without_id(t, "facts") for t in facts]
-    sources = Sources(facts=[t.filter(has_id()) for t in facts],
-                      **{n: t if t is None else t.filter(has_id()) for n, t in given.items()})
+    broken = [without_id(t, TAGS[n]) for n, t in given.items() if t is not None and n in TAGS]
+    broken += [without_id(t, "facts") for t in facts]
+    sources = Sources(facts=[t.filter(has_id()) for t in facts], **{
+        n: t if t is None or n in PARSED else t.filter(has_id()) for n, t in given.items()})
     parts: list[DataFrame] = []
     sizes: list[tuple[DataFrame, int]] = []
-    broken: list[DataFrame] = list(nameless)
 
     if sources.recruiter is not None:
         parts.append(recruiter.recruiter_facts(sources.recruiter))
@@ -100,11 +130,10 @@ def gather(sources: Sources, staging: str | None = None) -> Gathered:
         parts.append(ats.ats_facts(ats.pick_columns(sources.ats)))
         sizes.append((sources.ats, 3))
     if sources.ats_json is not None:
-        picked = stage(ats.pick_json(sources.ats_json), "ats")
-        broken.append(quarantine(picked, ATS))
+        picked, judged = named(stage(ats.pick_json(sources.ats_json), "ats"))
+        broken.append(quarantine(judged, ATS))
         parts.append(ats.ats_facts(isolate(picked)))
-        # only the id column is read for the count, no payload
-        sizes.append((sources.ats_json, 3))
+        sizes.append((picked, 3))
     if sources.profiles is not None:
         parts.append(code_host.profile_facts(sources.profiles))
         sizes.append((sources.profiles, 3))
@@ -114,26 +143,47 @@ def gather(sources: Sources, staging: str | None = None) -> Gathered:
             sizes.append((sources.repos, 1))
     if sources.code_host_json is not None:
         typed, repos = code_host.pick_json(sources.code_host_json)
-        typed, repos = stage(typed, "code_host"), stage(repos, "repositories")
-        broken.append(quarantine(typed, CODE_HOST))
-        parts.append(code_host.profile_facts(isolate(typed)))
-        parts.append(code_host.repo_facts(
-            repos, lambda rows: code_host.repos_with_profile(without_broken(rows, typed), typed)))
-        sizes.append((sources.code_host_json, 3))
-        sizes.append((repos, 1))
+        typed, judged = named(stage(typed, "code_host"))
+        repos = stage(repos, "repositories").filter(has_id())
+        broken.append(quarantine(judged, CODE_HOST))
+        parts += host_facts(typed, repos, broken_ids(typed))
+        sizes += [(typed, 3), (repos, 1)]
+    if sources.profile_json is not None:
+        typed, judged = named(stage(code_host.pick_profiles(sources.profile_json), "profiles"))
+        broken.append(quarantine(judged, CODE_HOST))
+        bad, repos = broken_ids(typed), None
+        if sources.repos_json is not None:
+            lists, judged = named(stage(code_host.pick_repos(sources.repos_json), "lists"))
+            # a list is only read where there is a profile
+            ruled, open_ = judged.filter(~F.col("gated") | ~has_id()), lists.filter("gated AND reason IS NOT NULL")
+            open_ = within(open_, within(code_host.filled_profiles(typed), open_))
+            broken += [quarantine(ruled, CODE_HOST), quarantine(open_, CODE_HOST)]
+            repos = code_host.listed_repos(lists)
+            bad = bad.unionByName(broken_ids(ruled.filter(has_id()))).unionByName(broken_ids(open_))
+            sizes.append((repos, 1))
+        parts += host_facts(typed, repos, bad)
+        sizes.append((typed, 3))
     for table in sources.facts:
         parts.append(table.select(*FACT_COLUMNS))
         sizes.append((table, 1))
     if sources.candidates is not None:
         parts.append(markers(sources.candidates))
         sizes.append((sources.candidates, 1))
-    if not parts:
-        raise ValueError("no source table given")
 
-    union = lambda tables: reduce(DataFrame.unionByName, tables)
+    union = lambda tables: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     return Gathered(union(parts), weigh(sizes), union(broken) if broken else None)
 
 
+def host_facts(profiles: DataFrame, repos: DataFrame | None, broken: DataFrame) -> list[DataFrame]:
+    """Facts of parsed profiles and repositories, without those of candidates
+    who have a broken record."""
+    out = [code_host.profile_facts(isolate(profiles, broken))]
+    if repos is not None:
+        out.append(code_host.repo_facts(
+            repos, lambda rows: code_host.repos_with_profile(without(rows, broken), profiles)))
+    return out
+
+
 def consolidated(sources: Sources, limit: int = HOT_LIMIT) -> DataFrame:
     """Default shape: thirteen columns, one row per candidate."""
     gathered = gather(sources)

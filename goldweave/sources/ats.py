@@ -8,25 +8,21 @@ from pyspark.sql import functions as F
 from ..constants import ATS, ATS_ALIASES
 from ..functions import clean_text, email_address, present, prior
 from . import untyped
+from .documents import RECORD, extras, with_document
+from .files import read_lines
 from .unpivot import Reading, facts_of
 
 
 def read_ats_json(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
-    """JSON files as (candidate_id, record_ord, payload): the payload is the
-    whole object as text, parsed later, so that one bad record harms no other.
+    """JSON files as (payload, position): the payload is the whole object as
+    text, parsed later, so that one bad record harms no other; the position
+    says where it stands.
 
     With ``multi_line`` every file is one document, and its path stands in for
     a missing id; a line without an id has none and goes to quarantine.
     """
-    document = untyped.parse(F.col("value"))
-    return spark.read.text(paths, wholetext=multi_line).select(
-        F.coalesce(
-            F.try_variant_get(document, "$.candidate_id", "string"),
-            F.col("_metadata.file_path") if multi_line else F.lit(None),
-        ).alias("candidate_id"),
-        F.try_variant_get(document, "$.record_ord", "bigint").alias("record_ord"),
-        F.col("value").alias("payload"),
-    )
+    lines = read_lines(spark, paths, multi_line)
+    return lines.withColumn("spare_id", F.col("position.file")) if multi_line else lines
 
 
 def first_filled(columns: list[Column]) -> Column:
@@ -48,31 +44,30 @@ def pick_columns(table: DataFrame) -> DataFrame:
 
 
 def pick_json(table: DataFrame) -> DataFrame:
-    """The four attributes of JSON payloads, and why a payload is unusable."""
-    parsed = table.select(
-        "candidate_id", "record_ord", "payload", untyped.parse(F.col("payload")).alias("document")
-    )
-    # in steps, so that no expression is repeated in the code of the next
+    """The four attributes of JSON payloads, and why a payload is unusable.
+    Id and number of a record come from the table or else from the payload."""
     names = list(ATS_ALIASES)
+    keys = list(dict.fromkeys(k for known in ATS_ALIASES.values() for k in known))
+    parsed = with_document(table, keys)
+    # in steps, so that no expression is repeated in the code of the next
     read = parsed.select(
-        "candidate_id", "record_ord", F.col("document").isNull().alias("broken"),
-        untyped.whole(F.col("payload")).alias("whole"),
-        *[untyped.attribute(F.col("document"), k).alias(k) for known in ATS_ALIASES.values() for k in known],
+        *RECORD, *extras(table), "text", F.col("document._broken").alias("broken"),
+        *[untyped.usable_value(F.col(f"document.{k}")).alias(k) for k in keys],
     )
     picked = read.select(
-        "candidate_id", "record_ord", "broken", "whole",
+        *RECORD, *extras(table), "text", untyped.malformed(F.col("text"), F.col("broken")).alias("malformed"),
         *[F.coalesce(*known).alias(n) for n, known in ATS_ALIASES.items()],
     )
-    reason = F.when(F.col("whole").isNotNull() & F.col("broken"), "malformed json").when(
-        untyped.usable(F.col("whole")) & ~F.col("whole").startswith("{"), "not an object"
+    reason = F.when(F.col("malformed"), "malformed json").when(
+        untyped.usable(F.col("text")) & ~F.col("text").startswith("{"), "not an object"
     )
     for n in names:
         reason = reason.when(~F.col(n)["text"], f"{n} is not a text")
     return untyped.computed_once(picked.select(
-        "candidate_id",
-        "record_ord",
+        *RECORD,
         *[F.when(F.col(n)["text"], F.col(n)["chars"]).alias(n) for n in names],
         reason.alias("reason"),
+        *extras(table),
     ))
 
 

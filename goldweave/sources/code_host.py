@@ -16,22 +16,110 @@ from ..constants import (
 )
 from ..functions import clean_text, present, prior, skill_name
 from . import untyped
+from .documents import OWN, RECORD, extras, with_document
+from .files import in_order, read_lines
 from .unpivot import Reading, facts_of
 
-PROFILE_SCHEMA = "candidate_id string, record_ord bigint, login string, name string, bio string"
-REPO_TYPE = "array<struct<name:string,language:string>>"
+# repositories of one list that are told apart in arrival order
+LONGEST_LIST = 1 << 20
 # repositories follow the attributes of their profile in arrival order
 FIRST_SKILL_EMIT = 3
 
 
+def read_profile_lines(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Profile files as (payload, position), one object per line or per file."""
+    lines = read_lines(spark, paths, multi_line)
+    return lines.withColumn("spare_id", F.col("position.file")) if multi_line else lines
+
+
+def read_repo_lists(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Files of lines {candidate_id, repos: [...]} as (payload, position)."""
+    return read_lines(spark, paths)
+
+
+def pick_profiles(table: DataFrame) -> DataFrame:
+    """Attributes of profile payloads with the reason a record is unusable."""
+    keys = ["login", "name", "bio"]
+    own = F.array(*[F.lit(k) for k in OWN])
+    read = with_document(table, keys).select(
+        *RECORD, *extras(table), "text", F.col("document._broken").alias("broken"),
+        # a profile is what stands beside the id
+        (F.size(F.array_except(F.coalesce(F.json_object_keys("text"), F.array(F.lit("?"))), own)) > 0).alias("any_key"),
+        *[untyped.usable_value(F.col(f"document.{k}")).alias(k) for k in keys],
+        *[untyped.written_text(F.col(f"document.{k}")).alias(f"{k}_text") for k in keys],
+    )
+    checked = read.withColumns({
+        "malformed": untyped.malformed(F.col("text"), F.col("broken")),
+        "filled": untyped.usable(F.col("text")) & (~F.col("text").startswith("{") | F.col("any_key")),
+    })
+    reason = (
+        F.when(F.col("malformed"), "malformed json")
+        .when(F.col("filled") & ~F.col("text").startswith("{"), "not an object")
+        .when(~F.col("name")["text"], "name is not a text")
+        .when(~F.col("bio")["text"], "bio is not a text")
+    )
+    return untyped.computed_once(checked.select(
+        *RECORD,
+        # any usable login is written into the link, a number too
+        F.coalesce("login_text", F.col("login")["chars"]).alias("login"),
+        F.col("name_text").alias("name"), F.col("bio_text").alias("bio"),
+        "filled", reason.alias("reason"), *extras(table)))
+
+
+def pick_repos(table: DataFrame) -> DataFrame:
+    """Repository lists of payloads {candidate_id, repos}: `items`, name and
+    language each null unless a text, the reason a list is unusable, and
+    `gated`, whether the reason only counts for candidates with a profile, as
+    nobody else's list is read. Types are asked of every element before anything
+    is cast."""
+    read = with_document(table, ["repos"]).select(
+        *RECORD, *extras(table), "text", F.col("document._broken").alias("broken"),
+        untyped.usable_value(F.col("document.repos")).isNotNull().alias("given"),
+        F.schema_of_variant("document.repos").startswith("ARRAY").alias("a_list"),
+        F.try_variant_get(F.col("document.repos"), "$", "array<variant>").alias("items"),
+    )
+    language = lambda v: untyped.attribute(v, "language")
+    checked = read.withColumns({
+        "malformed": untyped.malformed(F.col("text"), F.col("broken")),
+        # of a null element the kind is null too
+        "odd_item": F.exists("items", lambda v: ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))),
+        "odd_language": F.exists("items", lambda v: ~F.coalesce(language(v)["text"], F.lit(True))),
+    })
+    outer = F.when(F.col("malformed"), "malformed json").when(
+        untyped.usable(F.col("text")) & ~F.col("text").startswith("{"), "not an object")
+    inner = (
+        F.when(F.col("given") & ~F.col("a_list"), "repositories are not a list")
+        .when(F.col("given") & F.col("odd_item"), "repository is not an object")
+        .when(F.col("given") & F.col("odd_language"), "language is not a text")
+    )
+    def text(value: Column, key: str) -> Column:
+        found = untyped.attribute(value, key)
+        return F.when(found["text"], found["chars"])
+
+    items = F.transform("items", lambda v: F.struct(text(v, "name").alias("name"), text(v, "language").alias("language")))
+    return untyped.computed_once(checked.select(
+        *RECORD, F.when(outer.isNull() & inner.isNull(), items).alias("items"),
+        F.coalesce(outer, inner).alias("reason"), (outer.isNull() & inner.isNotNull()).alias("gated"), *extras(table)))
+
+
+def listed_repos(records: DataFrame) -> DataFrame:
+    """One row per repository of numbered lists. Lists of one candidate follow
+    each other, so a repository's place starts with its list's."""
+    place = F.col("record_ord") * LONGEST_LIST + F.col("place")
+    return records.select("candidate_id", "record_ord", F.posexplode("items").alias("place", "repo")).select(
+        "candidate_id", place.cast("bigint").alias("repo_pos"), "repo.name", "repo.language")
+
+
 def read_profiles(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
-    return spark.read.schema(PROFILE_SCHEMA).option("multiLine", multi_line).json(paths)
+    """The sound profiles of files as a typed table. Broken ones are left out
+    here; give the payloads to a run to have them in its quarantine."""
+    rows = in_order(pick_profiles(read_profile_lines(spark, paths, multi_line)))
+    return rows.filter(F.col("reason").isNull()).select(*RECORD, "login", "name", "bio")
 
 
 def read_repos(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """JSON lines {candidate_id, repos: [...]} as one row per repository."""
-    table = spark.read.schema(f"candidate_id string, repos {REPO_TYPE}").json(paths)
-    return explode_repos(table)
+    """The sound repository lists of files, one row per repository."""
+    return listed_repos(in_order(pick_repos(read_repo_lists(spark, paths))))
 
 
 def explode_repos(table: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..constants import RECRUITER, RECRUITER_COLUMNS, RECRUITER_EXPERIENCE_DISCOUNT
 from ..functions import clean_text, email_address, phone_e164, prior
+from .files import cells, csv_records, few
 from .unpivot import Reading, facts_of
 
-# A list of file headers is broadcast up to this many files; beyond, the join
-# is left to the engine.
-MAX_BROADCAST_FILES = 20_000
+
+# some files begin with it
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def by_name(table: DataFrame, columns: list[str]) -> DataFrame:
@@ -28,58 +29,24 @@ def read_recruiter_csv(
     """CSV files whose headers may differ from file to file.
 
     Spark binds CSV columns by position, which would put values of one file
-    under the names of another. So the data are read by position, the header
-    of every file is found on its own (first line of the file), and each value
-    is picked by the place its name has in the header of its own file. A name
-    the header lacks gives null; nothing is invented. The first file line is
-    found by an aggregate, not by a window per file: a file may be large.
+    under the names of another. So every value is picked by the place its name
+    has in the header of its own file. A name the header lacks gives null;
+    nothing is invented. The files are read once (see `csv_records`).
     """
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    heads = (
-        lines.filter((F.col("block") == 0) & (F.trim("value") != ""))
-        .groupBy("file")
-        .agg(F.min_by("value", "line").alias("head"))
-    )
-    shape = heads.agg(
-        F.max(F.length("head") - F.length(F.translate("head", ",", ""))).alias("commas"),
-        F.count("*").alias("files"),
-    ).first()
-    width = (shape["commas"] or 0) + 1
-    cells = [f"c{i}" for i in range(width)]
-    schema = ", ".join(f"{c} string" for c in cells)
-    heads = heads.select(
-        "file", F.from_csv("head", F.lit(schema), {"escape": '"'}).alias("h")
-    ).select("file", F.array(*[F.col(f"h.{c}") for c in cells]).alias("names"))
-    if shape["files"] <= MAX_BROADCAST_FILES:
-        heads = F.broadcast(heads)
-
-    rows = (
-        spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, escape='"', multiLine=multi_line, mode="PERMISSIVE")
-        .csv(paths)
-        .select(
-            F.array(*cells).alias("cells"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        )
-    )
+    records, width, files = csv_records(spark, paths, multi_line)
+    parsed = records.select("is_header", "position", cells(width).alias("cells"))
+    heads = parsed.filter("is_header").select(
+        F.col("position.file").alias("_file"),
+        F.transform("cells", lambda n: F.ltrim(n, F.lit(BYTE_ORDER_MARK))).alias("names"))
+    rows = parsed.filter("NOT is_header")
 
     def pick(name: str):
         # of two equal names in a header the last one counts
         place = F.size("names") + 1 - F.array_position(F.reverse("names"), name)
         return F.when(F.array_contains("names", name), F.try_element_at("cells", place.cast("int")))
 
-    return rows.join(heads, "file").select(
-        pick(id_column).alias("candidate_id"),
-        F.struct("file", "block", "line").alias("position"),
-        *[pick(c).alias(c) for c in RECRUITER_COLUMNS],
-    )
+    return rows.join(few(heads, files), F.col("position.file") == F.col("_file")).select(
+        pick(id_column).alias("candidate_id"), "position", *[pick(c).alias(c) for c in RECRUITER_COLUMNS])
 
 
 def first_row(table: DataFrame, order: str = "record_ord") -> DataFrame:

@@ -240,6 +240,54 @@ SELECT * FROM repos WHERE candidate_id IN (
   SELECT candidate_id FROM profile WHERE coalesce(login, name, bio) IS NOT NULL)""")
 
 
+# export files: the place of a line, and the kind of line
+PARTS["ats_lines"] = ([], """
+SELECT CAST(o_custkey AS VARCHAR) AS customer, o_orderkey, o_orderstatus, o_orderkey % 61 AS kind,
+  CAST(o_custkey // 500 AS VARCHAR) AS file, row_number() OVER (PARTITION BY o_custkey // 500 ORDER BY o_orderkey) AS line,
+  row_number() OVER (ORDER BY CAST(o_custkey // 500 AS VARCHAR), o_orderkey) - 1 AS record_ord
+FROM orders""")
+
+PARTS["ats_line_facts"] = (["ats_lines"], """
+SELECT *, CASE WHEN kind = 2 THEN 'Last ' ELSE 'Order ' END || o_orderkey AS name, 'T' || (o_orderkey % 3) AS title
+FROM ats_lines a WHERE kind NOT IN (0, 1, 4, 5, 6, 7) AND NOT EXISTS (
+  SELECT 1 FROM ats_lines b WHERE b.customer = a.customer AND b.kind = 4)""")
+
+PARTS["profile_lines"] = ([], """
+SELECT user_id, CAST(user_id AS VARCHAR) AS candidate_id, user_id % 19 AS kind,
+  CAST(user_id // 50 AS VARCHAR) AS file, row_number() OVER (PARTITION BY user_id // 50 ORDER BY user_id) AS line,
+  row_number() OVER (ORDER BY CAST(user_id // 50 AS VARCHAR), user_id) - 1 AS record_ord
+FROM (SELECT DISTINCT user_id FROM events)""")
+
+PARTS["repo_lines"] = ([], """
+SELECT user_id, CAST(user_id AS VARCHAR) AS candidate_id, user_id % 17 AS kind,
+  CAST(user_id // 40 AS VARCHAR) AS file, row_number() OVER (PARTITION BY user_id // 40 ORDER BY user_id) AS line,
+  row_number() OVER (ORDER BY CAST(user_id // 40 AS VARCHAR), user_id) - 1 AS record_ord
+FROM (SELECT DISTINCT user_id FROM events)""")
+
+PARTS["listed"] = (["repo_lines"], f"""
+SELECT l.kind, CASE WHEN l.kind <> 5 THEN candidate_id END AS candidate_id, record_ord * 1048576 + place AS repo_pos,
+  CASE WHEN event_id % 13 NOT IN (0, 2) THEN 'r' || event_id END AS name,
+  CASE WHEN event_id % 13 NOT IN (1, 2) THEN
+    {one_of(["go", "golang", "Python", "c++", "Rust", "py"], "(event_id % 6)")} END AS language
+FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS place FROM events)
+JOIN repo_lines l USING (user_id) WHERE l.kind NOT IN (0, 1, 2, 3, 4)""")
+
+# whose list is read, and whose records are broken
+PARTS["host_read"] = (["profile_lines"], "SELECT * FROM profile_lines WHERE kind NOT IN (2, 4, 6, 7)")
+PARTS["host_broken"] = (["host_read", "repo_lines"], """
+SELECT candidate_id, 'name is not a text' AS reason, file, line FROM host_read WHERE kind = 0
+UNION ALL SELECT candidate_id, 'bio is not a text', file, line FROM host_read WHERE kind = 1
+UNION ALL SELECT candidate_id, CASE kind WHEN 0 THEN 'repositories are not a list' WHEN 1 THEN
+  'repository is not an object' ELSE 'language is not a text' END, file, line
+FROM repo_lines WHERE kind < 3 AND candidate_id IN (SELECT candidate_id FROM host_read)""")
+PARTS["host_sound"] = (["host_read", "host_broken"], """
+SELECT candidate_id, record_ord, CASE WHEN kind > 5 THEN 'User ' || user_id END AS name,
+  CASE WHEN kind = 5 THEN 'https://github.com/' || user_id WHEN kind > 5 THEN 'https://github.com/user-' || user_id END AS link
+FROM host_read WHERE candidate_id NOT IN (SELECT candidate_id FROM host_broken)""")
+PARTS["host_repos"] = (["listed", "host_sound"], """
+SELECT * FROM listed WHERE candidate_id IN (SELECT candidate_id FROM host_sound)""")
+
+
 def languages_of(table: str) -> str:
     return (f"SELECT candidate_id, language, min(repo_pos) AS repo_pos FROM {table} "
             f"WHERE {present('language')} GROUP BY candidate_id, language")
@@ -601,6 +649,27 @@ def statements() -> dict[str, str]:
             "AS current_company, coalesce(title, '') AS title FROM recruiter", "recruiter"),
         "scan_ats": with_parts("SELECT *, CAST(NULL AS VARCHAR) AS reason FROM ats_picked", "ats_picked"),
         "scan_profile": with_parts("SELECT candidate_id, record_ord, login, name, bio FROM profile", "profile"),
+        "scan_ats_files": with_parts(
+            "SELECT customer AS candidate_id, 'full_name' AS field, name AS value, NULL AS company, NULL AS title, "
+            "record_ord, NULL AS reason, NULL AS file, CAST(NULL AS BIGINT) AS line FROM ats_line_facts "
+            "UNION ALL SELECT customer, 'experience', NULL, o_orderstatus, title, record_ord, NULL, NULL, NULL "
+            "FROM ats_line_facts UNION ALL SELECT CASE WHEN kind = 4 THEN customer END, NULL, NULL, NULL, NULL, NULL, "
+            f"{case('kind', {0: lit('malformed json'), 1: lit('missing id'), 4: lit('name is not a text'), 5: lit('not an object'), 7: lit('malformed json')})}, "
+            "file, line FROM ats_lines WHERE kind IN (0, 1, 4, 5, 7)", "ats_line_facts"),
+        "scan_repos": with_parts("SELECT candidate_id, repo_pos, name, language FROM listed", "listed"),
+        "quarantine_code_host": with_parts(
+            "SELECT candidate_id, 'github' AS source, reason, CAST(1 AS BIGINT) AS n_records, file, line FROM ("
+            "SELECT * FROM host_broken UNION ALL SELECT NULL, CASE kind WHEN 6 THEN 'malformed json' ELSE 'missing id' END, "
+            "file, line FROM profile_lines WHERE kind IN (4, 6, 7) UNION ALL SELECT NULL, "
+            "CASE kind WHEN 3 THEN 'malformed json' ELSE 'missing id' END, file, line FROM repo_lines WHERE kind IN (3, 5))",
+            "host_broken"),
+        "repo_facts_json": with_parts(
+            f"SELECT {FACT} FROM (" + " UNION ALL ".join([
+                text_fact("host_sound", "full_name", "name", "github", "direct", 600, 2, 0),
+                text_fact("host_sound", "links", "link", "github", "direct", 900, 2, 2),
+                text_fact(f"(SELECT *, {skill('language')} AS skill FROM ({languages_of('host_repos')}))", "skills",
+                          "skill", "github", "inferred-from-repos", 700, 2, 3, "repo_pos")]) + ")",
+            "host_repos"),
         "recruiter_first_row": with_parts("SELECT * FROM recruiter_first", "recruiter_first"),
         "recruiter_facts": fact_rows("recruiter_facts"),
         "ats_alias": with_parts("SELECT * FROM ats_picked", "ats_picked"),

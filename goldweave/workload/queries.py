@@ -91,7 +91,7 @@ def scan_ats(spark: SparkSession, folder: str) -> DataFrame:
     """Applicant-tracking JSON lines, attributes picked by alias."""
     target = new_folder(spark, "ats")
     roles.ats(spark, folder).write.json(target)
-    return ats.pick_json(ats.read_ats_json(spark, target))
+    return ats.pick_json(ats.read_ats_json(spark, target)).drop("position", "blank")
 
 
 @query
@@ -101,6 +101,61 @@ def scan_profile(spark: SparkSession, folder: str) -> DataFrame:
     return code_host.read_profiles(spark, target)
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Files that Spark wrote have names of their own; their folder has not."""
+    return rows.withColumn("file", F.regexp_extract("file", "part=([0-9]+)", 1))
+
+
+def _lines_in_folders(lines: DataFrame, target: str) -> str:
+    """Lines (part, at, value) as one file per part, in the order of `at`."""
+    lines.repartition("part").sortWithinPartitions("part", "at").select("part", "value").write.partitionBy("part").text(target)
+    return target
+
+
+@query
+def scan_ats_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts and quarantine of JSON lines as systems export them: no record
+    number, cut off lines, lists, repeated keys, NaN, no id."""
+    target = _lines_in_folders(roles.ats_lines(spark, folder), new_folder(spark, "ats-lines"))
+    gathered = gather(Sources(ats_json=ats.read_ats_json(spark, target)))
+    return _facts_and_quarantine(gathered)
+
+
+@query
+def scan_repos(spark: SparkSession, folder: str) -> DataFrame:
+    """Repository lists out of JSON lines: one row per repository."""
+    target = _lines_in_folders(roles.repo_lines(spark, folder), new_folder(spark, "repo-lines"))
+    return code_host.read_repos(spark, target)
+
+
+def _host_files(spark: SparkSession, folder: str) -> Gathered:
+    profiles = _lines_in_folders(roles.profile_lines(spark, folder), new_folder(spark, "profile-lines"))
+    repos = _lines_in_folders(roles.repo_lines(spark, folder), new_folder(spark, "repo-lines"))
+    return gather(Sources(profile_json=code_host.read_profile_lines(spark, profiles),
+                          repos_json=code_host.read_repo_lists(spark, repos)))
+
+
+@query
+def quarantine_code_host(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken profiles, and broken lists of candidates with a profile."""
+    return _placed(_host_files(spark, folder).quarantine)
+
+
+@query
+def repo_facts_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts of code-host files: a broken record takes along all of them."""
+    return _flat(_host_files(spark, folder).facts)
+
+
+def _facts_and_quarantine(gathered: Gathered) -> DataFrame:
+    facts = _flat(gathered.facts).select(
+        "candidate_id", "field", "value", "company", "title", "record_ord", F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("line"))
+    bad = _placed(gathered.quarantine).select(
+        "candidate_id", *[F.lit(None).cast(t).alias(c) for c, t in facts.dtypes[1:6]], "reason", "file", "line")
+    return facts.unionByName(bad)
+
+
 # --- extraction ----------------------------------------------------------------
 
 @query

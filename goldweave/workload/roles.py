@@ -142,6 +142,65 @@ def repos(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ats_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as lines of export files, (part, at, value): two records of a
+    customer in one file are told apart by their place only, and some lines are
+    broken in different ways."""
+    body = """'"candidateName":"Order  ' || o_orderkey || '","employer":"' || o_orderstatus || '","title":"T' || (o_orderkey % 3) || '"'"""
+    id_ = """'"candidate_id":"' || o_custkey || '",'"""
+    value = by_case("o_orderkey % 61", {
+        0: f"'{{' || {id_} || {body}",
+        1: f"'{{' || {body} || '}}'",
+        2: f"'{{' || {id_} || {body} || ',\"candidateName\":\"Last ' || o_orderkey || '\"}}'",
+        3: f"'{{' || {id_} || {body} || ',\"score\":NaN}}'",
+        4: f"'{{' || {id_} || '\"name\":7}}'",
+        5: "'[1, 2]'",
+        6: "'  '",
+        7: f"'{{' || {body} || '}} {{'",
+        8: f"'{{\"candidate_id\":' || o_custkey || ',' || {body} || '}} '",
+    }, f"'{{' || {id_} || {body} || '}}'")
+    return table(spark, folder, "orders").selectExpr("o_custkey div 500 AS part", "o_orderkey AS at", f"{value} AS value")
+
+
+def profile_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Users of events as profile lines, (part, at, value)."""
+    value = by_case("user_id % 19", {
+        0: """'{"candidate_id":"' || user_id || '","login":"u","name":5}'""",
+        1: """'{"candidate_id":"' || user_id || '","bio":["x"],"login":"u"}'""",
+        2: """'{"candidate_id":"' || user_id || '"}'""",
+        3: """'{"candidate_id":"' || user_id || '","followers":3}'""",
+        4: """'{"login":"nobody","name":"No Id"}'""",
+        5: """'{"candidate_id":"' || user_id || '","login":' || user_id || ',"bio":null}'""",
+        6: """'{"candidate_id":"' || user_id || '","name":"cut'""",
+        7: """'null'""",
+    }, """'{"candidate_id":"' || user_id || '","login":"user-' || user_id || '","name":"User ' || user_id || '","bio":""}'""")
+    users = table(spark, folder, "events").select("user_id").distinct()
+    return users.selectExpr("user_id div 50 AS part", "user_id AS at", f"{value} AS value")
+
+
+def repo_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """One list of repositories per user, from its events; lists that are
+    broken in different ways among them. No record number."""
+    language = one_of(["go", "golang", "Python", "c++", "Rust", "py"], "event_id % 6")
+    repo = by_case("event_id % 13", {
+        0: f"""'{{"name":5,"language":"' || {language} || '"}}'""",
+        1: """'{"name":"r' || event_id || '","language":null}'""",
+        2: """'{"language":""}'""",
+    }, f"""'{{"name":"r' || event_id || '","language":"' || {language} || '"}}'""")
+    lists = table(spark, folder, "events").groupBy("user_id").agg(
+        F.expr(f"concat('[', array_join(transform(sort_array(collect_list(struct(event_id, {repo} AS repo))), x -> x.repo), ','), ']')")
+        .alias("list"))
+    value = by_case("user_id % 17", {
+        0: """'{"candidate_id":"' || user_id || '","repos":{"language":"go"}}'""",
+        1: """'{"candidate_id":"' || user_id || '","repos":[{"language":"go"},null]}'""",
+        2: """'{"candidate_id":"' || user_id || '","repos":[{"language":4}]}'""",
+        3: """'{"candidate_id":"' || user_id || '","repos":[{"language":"go"}'""",
+        4: """'{"candidate_id":"' || user_id || '","repos":[]}'""",
+        5: """'{"repos":' || list || '}'""",
+    }, """'{"candidate_id":"' || user_id || '","repos":' || list || '}'""")
+    return lists.selectExpr("user_id div 40 AS part", "user_id AS at", f"{value} AS value")
+
+
 def _slot(name: str, value: str, source: str, emit: int, exp: str = "NULL") -> str:
     return (
         f"named_struct('field', '{name}', 'value', CAST({value} AS STRING), 'exp', CAST({exp} AS {EXPERIENCE_TYPE}), "
