@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 def sql_literal(value: object) -> str:
     if value is None:
         return "NULL"
+    if isinstance(value, float):
+        return f"{value!r}D"
     if isinstance(value, int):
         return str(value)
     escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -27,11 +29,46 @@ def _nfkc(values: pa.Array) -> pa.Array:
     return pa.array(forms, pa.string())
 
 
+# ranges of characters closer than this are one range of the quick check
+NEAR = 64
+
+
+@cache
+def open_ranges() -> list[tuple[int, int]]:
+    """Ranges that hold every character which NFKC can change, alone or behind
+    another one: characters with another form, marks that combine, second
+    parts of composed ones. Above the Latin letters, near ranges are joined."""
+    def is_open(number: int) -> bool:
+        char = chr(number)
+        return bool(unicodedata.combining(char)) or unicodedata.normalize("NFKC", char) != char
+
+    found = {n for n in range(0x80, sys.maxunicode + 1) if not 0xD800 <= n < 0xE000 and is_open(n)}
+    for n in range(0x80, sys.maxunicode + 1):
+        parts = unicodedata.decomposition(chr(n)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            found.add(int(parts[1], 16))
+    # the vowels and final consonants that join a Hangul syllable
+    found |= set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    out: list[list[int]] = []
+    for n in sorted(found):
+        if out and n - out[-1][1] <= (NEAR if n > 0x2FF else 1):
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return [(a, b) for a, b in out]
+
+
+@cache
+def _open_class() -> str:
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in open_ranges()) + "]"
+
+
 def nfkc(text: Column) -> Column:
-    """NFKC form. Spark has no built-in for it, so this is the one Python hop;
-    plain ASCII values are sent as nulls and never leave the JVM."""
-    ascii_only = F.octet_length(text) == F.length(text)
-    return F.coalesce(_nfkc(F.when(~ascii_only, text)), text)
+    """NFKC form. Spark has no built-in for it, so this is the one Python hop.
+    Texts without a character that it can change, plain ASCII ones first of
+    all, are sent as nulls and never leave the JVM."""
+    may_change = (F.octet_length(text) != F.length(text)) & text.rlike(_open_class())
+    return F.coalesce(_nfkc(F.when(may_change, text)), text)
 
 
 def collapse(text: Column) -> Column:

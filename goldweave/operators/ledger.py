@@ -15,7 +15,7 @@ from ..constants import (
     SECTION_NO,
     SINGLE_SECTIONS,
 )
-from ..functions import literal_map, priority_of
+from ..functions import FIXED, Rules, literal_map
 from .skew import HOT_LIMIT, Split, ranked, small, split_hot
 from .storage import settle
 
@@ -58,7 +58,7 @@ WON = """CASE WHEN NOT startswith(prov_method, 'discarded') AND NOT startswith(p
 SORT_KEYS = ["trust", "source_ord", "record_ord", "emit_ord", "source", "method", "item", "value", "exp"]
 
 
-def in_sections(facts: DataFrame) -> DataFrame:
+def in_sections(facts: DataFrame, rules: Rules = FIXED) -> DataFrame:
     """Section number and sort keys of every fact. Facts of a field that has no
     merge rule keep no section, like the markers of candidates without facts."""
     filled = " + ".join(
@@ -67,7 +67,7 @@ def in_sections(facts: DataFrame) -> DataFrame:
     return (
         facts.withColumns({
             "section_ord": F.try_element_at(literal_map(SECTION_NO), F.coalesce("field", F.lit(""))),
-            "priority": priority_of(F.coalesce("source", F.lit(""))),
+            "priority": rules.place_of(F.coalesce("source", F.lit(""))),
             "richness": F.expr(filled),
             "_company": F.expr("lower(coalesce(exp.company, ''))"),
             "_title": F.expr("lower(coalesce(exp.title, ''))"),
@@ -91,11 +91,11 @@ def _finish(df: DataFrame) -> DataFrame:
     }).select(*LEDGER_COLUMNS)
 
 
-def ledger_in_place(facts: DataFrame) -> DataFrame:
+def ledger_in_place(facts: DataFrame, rules: Rules = FIXED) -> DataFrame:
     """Ledger of ordinary candidates: one shuffle by candidate, then windows
     that all reuse it. Keys are made after the shuffle, which carries the bare
     facts only."""
-    placed = in_sections(facts.repartition("candidate_id"))
+    placed = in_sections(facts.repartition("candidate_id"), rules)
     group = Window.partitionBy(*GROUP)
     in_order = group.orderBy(*SORT_KEYS)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -113,13 +113,13 @@ def ledger_in_place(facts: DataFrame) -> DataFrame:
     )
 
 
-def ledger_across(hot: DataFrame, few: bool) -> DataFrame:
+def ledger_across(hot: DataFrame, few: bool, rules: Rules = FIXED) -> DataFrame:
     """Ledger of hot candidates: the same columns from a distributed ranking
     and aggregates that combine before their shuffle. Results per group return
     by a join on rank, which is unique, so that no join key is hot either. The
     ranked rows, the small tables and the ledger are each settled: nothing is
     ranked twice."""
-    facts = in_sections(hot).filter(F.col("section_ord").isNotNull())
+    facts = in_sections(hot, rules).filter(F.col("section_ord").isNotNull())
     rows = settle(ranked(facts, GROUP, SORT_KEYS, "r", few))
     heads = settle(rows.groupBy(*GROUP).agg(
         F.expr(f"{WINNER}.r").alias("win_r"), F.expr(FIRST_CODE_HOST).alias("code_host_r")))
@@ -139,12 +139,14 @@ def ledger_across(hot: DataFrame, few: bool) -> DataFrame:
     ))
 
 
-def ledger(facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None) -> DataFrame:
+def ledger(
+    facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None, rules: Rules = FIXED
+) -> DataFrame:
     """Ledger of all candidates, one row per fact of a merged field."""
     split = split or split_hot(facts, limit)
-    rows = ledger_in_place(split.regular)
+    rows = ledger_in_place(split.regular, rules)
     if split.hot is not None:
-        rows = rows.unionByName(ledger_across(split.hot, split.few))
+        rows = rows.unionByName(ledger_across(split.hot, split.few, rules))
     return rows.filter(F.col("section_ord").isNotNull())
 
 

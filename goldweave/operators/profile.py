@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EXPERIENCE_TYPE, SECTION_NO
-from ..functions import as_ratio, mean_milli
+from ..functions import FIXED, Rules, as_ratio, mean_milli
 from .ledger import (
     EMAILS,
     EXPERIENCE,
@@ -123,17 +123,17 @@ def _shape(rows: DataFrame) -> DataFrame:
     )
 
 
-def profiles_in_place(facts: DataFrame) -> DataFrame:
+def profiles_in_place(facts: DataFrame, rules: Rules = FIXED) -> DataFrame:
     """Profiles of ordinary candidates: one shuffle, shared by the ledger and
     the aggregate. Markers keep candidates without facts."""
     # the first row of an item is its most trusted one
-    rows = ledger_in_place(facts).withColumns({"item_seq": F.col("item_r"), "trust": F.col("confidence_milli")})
+    rows = ledger_in_place(facts, rules).withColumns({"item_seq": F.col("item_r"), "trust": F.col("confidence_milli")})
     return _shape(_collected(rows))
 
 
-def profiles_across(split: Split) -> DataFrame:
+def profiles_across(split: Split, rules: Rules = FIXED) -> DataFrame:
     """Profiles of hot candidates: the same rows out of the distributed ledger."""
-    rows = ledger_across(split.hot, split.few)
+    rows = ledger_across(split.hot, split.few, rules)
     merged = _collected(rows, with_skills=False).join(_skills_across(rows), "candidate_id", "left")
     # candidates whose many rows hold no fact at all still get a profile
     whole = split.ids.join(merged, "candidate_id", "left")
@@ -142,11 +142,13 @@ def profiles_across(split: Split) -> DataFrame:
     return _shape(whole.withColumns({n: F.coalesce(n, F.array().cast(kinds[n])) for n in lists}))
 
 
-def profiles(facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None) -> DataFrame:
+def profiles(
+    facts: DataFrame, limit: int = HOT_LIMIT, split: Split | None = None, rules: Rules = FIXED
+) -> DataFrame:
     """Merged profiles of all candidates in the facts (and their markers). The
     limit chooses a plan; the rows are the same at any."""
     split = split or split_hot(facts, limit)
-    out = profiles_in_place(split.regular)
+    out = profiles_in_place(split.regular, rules)
     if split.hot is not None:
-        out = out.unionByName(profiles_across(split))
+        out = out.unionByName(profiles_across(split, rules))
     return out

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,14 +32,42 @@ def shared_folder(spark: SparkSession) -> str:
     return current.get()
 
 
+# folders of the job that is running, if it removes them at its end
+_MADE: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _MADE:
+        _MADE[-1].append(folder)
+    return folder
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of the job's own, wherever it lies."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are removed at the end, also of a run
+    that fails: what it finished is in its result folder."""
+    _MADE.append([])
+    try:
+        yield
+    finally:
+        for folder in _MADE.pop():
+            remove(spark, folder)
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write the rows out once and go on from there: values that a rerun could
     draw differently (row ids, range bounds) stay as they are when an executor
     is lost."""
+    if _MADE:  # a table that can be removed
+        return written(df, "settled")
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -210,8 +210,11 @@ def _dates(item: Column) -> list[Column]:
 
 
 def _key_rules(name: str, allowed: list[str], rule: str, template: str) -> Column:
-    keys = F.json_object_keys(F.col(f"j_{name}"))
-    return _each(keys, lambda k: _fault(rule, ~k.isin(allowed), _message(template, k)))
+    """Wrong keys in the order in which the document has them. A VARIANT sorts
+    its keys, so the text is asked again, but only where a key is wrong."""
+    wrong = F.exists(F.json_object_keys(F.col(f"j_{name}")), lambda k: ~k.isin(allowed))
+    keys = F.json_object_keys(F.get_json_object("_text", f"$.{name}"))
+    return F.when(wrong, _each(keys, lambda k: _fault(rule, ~k.isin(allowed), _message(template, k)))).otherwise(_none())
 
 
 def _object_rules(name: str, rule: str, message: str, inner: list[Column]) -> Column:
@@ -226,7 +229,7 @@ KEYS = ["candidate_id", "full_name", "emails", "phones", "location", "links", "h
 
 
 def document_faults() -> Column:
-    """All rules, on the columns ``j_<key>`` and ``_document``."""
+    """All rules, on the columns ``j_<key>``, ``_document`` and ``_text``."""
     j = {k: F.col(f"j_{k}") for k in KEYS}
     country = F.to_json(F.try_variant_get(F.col("_document"), "$.location.country", "variant"))
     other = F.to_json(F.try_variant_get(F.col("_document"), "$.links.other", "variant"))
@@ -262,7 +265,8 @@ def document_faults() -> Column:
             & ~F.coalesce(
                 confidence.isin("true", "false") | confidence.try_cast("double").between(0, 1), F.lit(False)
             ),
-            _message(MSG_CONFIDENCE, _shown(confidence)),
+            # the number as it is written: a VARIANT drops the zeros of 2.0
+            _message(MSG_CONFIDENCE, F.coalesce(F.get_json_object("_text", "$.overall_confidence"), _shown(confidence))),
         ),
     ])
 
@@ -270,10 +274,10 @@ def document_faults() -> Column:
 def validate_documents(table: DataFrame, column: str) -> DataFrame:
     """JSON profiles with the list of their errors. A document that cannot be
     read as an object has the error of its missing id."""
-    parsed = table.withColumn("_document", untyped.parse(F.col(column)))
+    parsed = table.withColumns({"_text": F.col(column), "_document": untyped.parse(F.col(column))})
     read = parsed.select("*", *[_part(F.col("_document"), k).alias(f"j_{k}") for k in KEYS])
     checked = read.withColumn("_faults", document_faults())
-    return _attach(checked).drop("_document", *[f"j_{k}" for k in KEYS])
+    return _attach(checked).drop("_document", "_text", *[f"j_{k}" for k in KEYS])
 
 
 def fault_table(validated: DataFrame, *keys: str) -> DataFrame:

@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from ..constants import ATS, CODE_HOST, EXPERIENCE_TYPE, FACT_COLUMNS, FACT_SCHEMA, RECRUITER, RECRUITER_COLUMNS
 from ..operators.profile import PROFILE_COLUMNS, profiles
 from ..operators.project import accepted, lint, project, rejected
+from ..functions import FIXED, Rules
+from ..operators.ledger import ledger
 from ..operators.membership import within, without
 from ..operators.quarantine import broken_ids, isolate, quarantine
+from ..operators.reports import Watch
 from ..operators.skew import HOT_LIMIT, Split, split_hot, weigh
 from ..operators.storage import new_folder
 from ..operators.validate import ERRORS, fault_counts, validate_custom, validate_profiles
 from ..sources import ats, code_host, recruiter
 from ..sources.files import in_order
 from ..sources.sinks import write_table
+from ..sources.unpivot import as_facts
 
 
 @dataclass
@@ -45,6 +49,8 @@ class Sources:
 
 
 TAGS = {"recruiter": RECRUITER, "ats": ATS, "profiles": CODE_HOST, "repos": CODE_HOST}
+# place of further sources in the order of arrival
+OTHER_SOURCES = 3
 # sources that are parsed or read from files: written once, then used
 PARSED = ("ats_json", "code_host_json", "profile_json", "repos_json")
 
@@ -54,10 +60,18 @@ class Gathered:
     facts: DataFrame
     weights: DataFrame
     quarantine: DataFrame | None
+    rules: Rules = FIXED
 
     def split(self, limit: int = HOT_LIMIT) -> Split:
         return split_hot(self.facts, limit, self.weights)
 
+    def profiles(self, limit: int = HOT_LIMIT) -> DataFrame:
+        """Merged profiles under the rules of the run."""
+        return profiles(self.facts, limit, self.split(limit), self.rules).select(*PROFILE_COLUMNS)
+
+    def ledger(self, limit: int = HOT_LIMIT) -> DataFrame:
+        return ledger(self.facts, limit, self.split(limit), self.rules)
+
 
 def markers(candidates: DataFrame) -> DataFrame:
     """Rows without a fact that keep a candidate on the list."""
@@ -86,15 +100,23 @@ def without_id(table: DataFrame, source: str) -> DataFrame:
         F.lit("missing id").alias("reason"), "n_records")
 
 
+# texts that hold no object hold no id either
+NO_OBJECT = ["malformed json", "not an object"]
+
+
 def named(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parsed records with an id, and the broken ones: what is no JSON has no
-    id either, but its own reason."""
-    reason = F.when(has_id(), F.col("reason")).otherwise(F.coalesce("reason", F.lit("missing id")))
+    """Parsed records with an id, and all with their reason to be left out: an
+    object without an id lacks that first of all."""
+    reason = F.when(has_id() | F.col("reason").isin(NO_OBJECT), F.col("reason")).otherwise(F.lit("missing id"))
     return records.filter(has_id()), records.withColumn("reason", reason)
 
 
-def gather(sources: Sources, staging: str | None = None) -> Gathered:
-    """Facts of all sources in their fixed order of arrival, with markers.
+def gather(
+    sources: Sources, staging: str | None = None, rules: Rules = FIXED, watch: Watch | None = None
+) -> Gathered:
+    """Facts of all sources in their fixed order of arrival, with markers. The
+    rules give priors and the order of sources; a watch counts what
+    normalization drops.
 
     What has to be parsed or read from files is written once to the ``staging``
     folder, by default one in the shared folder, and read back from there: by
@@ -124,29 +146,30 @@ def gather(sources: Sources, staging: str | None = None) -> Gathered:
     sizes: list[tuple[DataFrame, int]] = []
 
     if sources.recruiter is not None:
-        parts.append(recruiter.recruiter_facts(sources.recruiter))
+        parts.append(recruiter.recruiter_facts(sources.recruiter, rules=rules, watch=watch))
         sizes.append((sources.recruiter, len(RECRUITER_COLUMNS) - 1))
     if sources.ats is not None:
-        parts.append(ats.ats_facts(ats.pick_columns(sources.ats)))
+        parts.append(ats.ats_facts(ats.pick_columns(sources.ats), rules=rules, watch=watch))
         sizes.append((sources.ats, 3))
     if sources.ats_json is not None:
         picked, judged = named(stage(ats.pick_json(sources.ats_json), "ats"))
         broken.append(quarantine(judged, ATS))
-        parts.append(ats.ats_facts(isolate(picked)))
+        parts.append(ats.ats_facts(isolate(picked), rules=rules, watch=watch))
         sizes.append((picked, 3))
     if sources.profiles is not None:
-        parts.append(code_host.profile_facts(sources.profiles))
+        parts.append(code_host.profile_facts(sources.profiles, rules=rules, watch=watch))
         sizes.append((sources.profiles, 3))
         if sources.repos is not None:
             parts.append(code_host.repo_facts(
-                sources.repos, lambda rows: code_host.repos_with_profile(rows, sources.profiles)))
+                sources.repos, lambda rows: code_host.repos_with_profile(rows, sources.profiles),
+                rules=rules, watch=watch))
             sizes.append((sources.repos, 1))
     if sources.code_host_json is not None:
         typed, repos = code_host.pick_json(sources.code_host_json)
         typed, judged = named(stage(typed, "code_host"))
         repos = stage(repos, "repositories").filter(has_id())
         broken.append(quarantine(judged, CODE_HOST))
-        parts += host_facts(typed, repos, broken_ids(typed))
+        parts += host_facts(typed, repos, broken_ids(typed), rules, watch)
         sizes += [(typed, 3), (repos, 1)]
     if sources.profile_json is not None:
         typed, judged = named(stage(code_host.pick_profiles(sources.profile_json), "profiles"))
@@ -161,33 +184,35 @@ def gather(sources: Sources, staging: str | None = None) -> Gathered:
             repos = code_host.listed_repos(lists)
             bad = bad.unionByName(broken_ids(ruled.filter(has_id()))).unionByName(broken_ids(open_))
             sizes.append((repos, 1))
-        parts += host_facts(typed, repos, bad)
+        parts += host_facts(typed, repos, bad, rules, watch)
         sizes.append((typed, 3))
     for table in sources.facts:
-        parts.append(table.select(*FACT_COLUMNS))
+        parts.append(as_facts(table, rules, OTHER_SOURCES))
         sizes.append((table, 1))
     if sources.candidates is not None:
         parts.append(markers(sources.candidates))
         sizes.append((sources.candidates, 1))
 
     union = lambda tables: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    return Gathered(union(parts), weigh(sizes), union(broken) if broken else None)
+    return Gathered(union(parts), weigh(sizes), union(broken) if broken else None, rules)
 
 
-def host_facts(profiles: DataFrame, repos: DataFrame | None, broken: DataFrame) -> list[DataFrame]:
+def host_facts(
+    profiles: DataFrame, repos: DataFrame | None, broken: DataFrame, rules: Rules, watch: Watch | None
+) -> list[DataFrame]:
     """Facts of parsed profiles and repositories, without those of candidates
     who have a broken record."""
-    out = [code_host.profile_facts(isolate(profiles, broken))]
+    out = [code_host.profile_facts(isolate(profiles, broken), rules=rules, watch=watch)]
     if repos is not None:
         out.append(code_host.repo_facts(
-            repos, lambda rows: code_host.repos_with_profile(without(rows, broken), profiles)))
+            repos, lambda rows: code_host.repos_with_profile(without(rows, broken), profiles),
+            rules=rules, watch=watch))
     return out
 
 
-def consolidated(sources: Sources, limit: int = HOT_LIMIT) -> DataFrame:
+def consolidated(sources: Sources, limit: int = HOT_LIMIT, rules: Rules = FIXED) -> DataFrame:
     """Default shape: thirteen columns, one row per candidate."""
-    gathered = gather(sources)
-    return profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS)
+    return gather(sources, rules=rules).profiles(limit)
 
 
 @dataclass(frozen=True)
@@ -215,11 +240,12 @@ def shaped(table: DataFrame, config: dict | None = None, strict: bool = False) -
         checked.drop("_faults"), rejected(projected), fault_counts(checked), None, tuple(lint(table, config)))
 
 
-def run(sources: Sources, config: dict | None = None, strict: bool = False, limit: int = HOT_LIMIT) -> Result:
-    """The whole job as lazy tables."""
-    gathered = gather(sources)
-    table = profiles(gathered.facts, limit, gathered.split(limit)).select(*PROFILE_COLUMNS)
-    result = shaped(table, config, strict)
+def run(
+    sources: Sources, config: dict | None = None, strict: bool = False, limit: int = HOT_LIMIT, rules: Rules = FIXED
+) -> Result:
+    """The whole job as lazy tables; only parsed sources are written on the way."""
+    gathered = gather(sources, rules=rules)
+    result = shaped(gathered.profiles(limit), config, strict)
     return replace(result, quarantine=gathered.quarantine)
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import ATS, ATS_ALIASES
-from ..functions import clean_text, email_address, present, prior
+from ..functions import FIXED, Rules, clean_text, email_address, present
+from ..operators.reports import Watch, watched
 from . import untyped
 from .documents import RECORD, extras, with_document
 from .files import read_lines
@@ -71,26 +72,32 @@ def pick_json(table: DataFrame) -> DataFrame:
     ))
 
 
-def ats_facts(picked: DataFrame, source_ord: int = 1) -> DataFrame:
+def ats_facts(
+    picked: DataFrame, source_ord: int = 1, rules: Rules = FIXED, watch: Watch | None = None
+) -> DataFrame:
     """Facts of picked attributes. A phone is not read from this source."""
     extra = ["blocked"] if "blocked" in picked.columns else []
     clean = picked.select(
         "candidate_id",
         "record_ord",
+        *[F.col(c).alias(f"raw_{c}") for c in ATS_ALIASES],
         clean_text(F.col("name")).alias("name"),
         email_address(F.col("email")).alias("email"),
         clean_text(F.col("company")).alias("company"),
         clean_text(F.col("title")).alias("title"),
         *extra,
     )
+    clean = watched(clean, watch, ATS, {
+        "full_name": ("raw_name", "name"), "emails": ("raw_email", "email"),
+        "experience.company": ("raw_company", "company"), "experience.title": ("raw_title", "title")})
     return facts_of(
         clean,
         ATS,
         source_ord,
         [
-            Reading("full_name", "direct", prior("full_name", ATS), ("name",)),
-            Reading("emails", "direct", prior("emails", ATS), ("email",)),
-            Reading("experience", "direct", prior("experience", ATS), ("company", "title")),
+            Reading("full_name", "direct", rules.prior("full_name", ATS), ("name",)),
+            Reading("emails", "direct", rules.prior("emails", ATS), ("email",)),
+            Reading("experience", "direct", rules.prior("experience", ATS), ("company", "title")),
         ],
         "blocked" if extra else None,
     )

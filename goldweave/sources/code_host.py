@@ -14,7 +14,8 @@ from ..constants import (
     EXPERIENCE_TYPE,
     INFERRED_SKILL_DISCOUNT,
 )
-from ..functions import clean_text, present, prior, skill_name
+from ..functions import FIXED, Rules, clean_text, present, skill_name
+from ..operators.reports import Watch, watched
 from . import untyped
 from .documents import OWN, RECORD, extras, with_document
 from .files import in_order, read_lines
@@ -196,24 +197,29 @@ def pick_json(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return untyped.computed_once(profiles), repos
 
 
-def profile_facts(profiles: DataFrame, source_ord: int = 2) -> DataFrame:
+def profile_facts(
+    profiles: DataFrame, source_ord: int = 2, rules: Rules = FIXED, watch: Watch | None = None
+) -> DataFrame:
     extra = ["blocked"] if "blocked" in profiles.columns else []
     clean = profiles.select(
         "candidate_id",
         "record_ord",
+        F.col("name").alias("raw_name"),
+        F.col("bio").alias("raw_bio"),
         clean_text(F.col("name")).alias("name"),
         clean_text(F.col("bio")).alias("bio"),
         F.when(present(F.col("login")), F.concat(F.lit(CODE_HOST_URL), F.col("login"))).alias("link"),
         *extra,
     )
+    clean = watched(clean, watch, CODE_HOST, {"full_name": ("raw_name", "name"), "headline": ("raw_bio", "bio")})
     return facts_of(
         clean,
         CODE_HOST,
         source_ord,
         [
-            Reading("full_name", "direct", prior("full_name", CODE_HOST), ("name",)),
-            Reading("headline", "direct", prior("headline", CODE_HOST), ("bio",)),
-            Reading("links", "direct", prior("links", CODE_HOST), ("link",)),
+            Reading("full_name", "direct", rules.prior("full_name", CODE_HOST), ("name",)),
+            Reading("headline", "direct", rules.prior("headline", CODE_HOST), ("bio",)),
+            Reading("links", "direct", rules.prior("links", CODE_HOST), ("link",)),
         ],
         "blocked" if extra else None,
     )
@@ -245,18 +251,21 @@ def distinct_languages(repos: DataFrame) -> DataFrame:
 
 
 def repo_facts(
-    repos: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda rows: rows, source_ord: int = 2
+    repos: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda rows: rows, source_ord: int = 2,
+    rules: Rules = FIXED, watch: Watch | None = None,
 ) -> DataFrame:
     """One inferred skill per distinct language, below a declared skill. Which
     candidates count is asked after the distinct step: raw rows are not joined."""
-    return keep(distinct_languages(repos)).select(
+    named = keep(distinct_languages(repos)).select(
+        "candidate_id", "language", "repo_pos", skill_name(F.col("language")).alias("skill"))
+    return watched(named, watch, CODE_HOST, {"skills": ("language", "skill")}).select(
         "candidate_id",
         F.lit("skills").alias("field"),
-        skill_name(F.col("language")).alias("value"),
+        F.col("skill").alias("value"),
         F.lit(None).cast(EXPERIENCE_TYPE).alias("exp"),
         F.lit(CODE_HOST).alias("source"),
         F.lit("inferred-from-repos").alias("method"),
-        F.lit(prior("skills", CODE_HOST) - INFERRED_SKILL_DISCOUNT).alias("confidence_milli"),
+        F.lit(rules.prior("skills", CODE_HOST) - INFERRED_SKILL_DISCOUNT).alias("confidence_milli"),
         F.lit(source_ord).alias("source_ord"),
         F.col("repo_pos").alias("record_ord"),
         F.lit(FIRST_SKILL_EMIT).alias("emit_ord"),

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import RECRUITER, RECRUITER_COLUMNS, RECRUITER_EXPERIENCE_DISCOUNT
-from ..functions import clean_text, email_address, phone_e164, prior
+from ..functions import FIXED, Rules, clean_text, email_address, phone_e164
+from ..operators.reports import Watch, watched
 from .files import cells, csv_records, few
 from .unpivot import Reading, facts_of
 
@@ -63,37 +64,43 @@ def first_row(table: DataFrame, order: str = "record_ord") -> DataFrame:
     )
 
 
-def recruiter_records(table: DataFrame) -> DataFrame:
+def recruiter_records(table: DataFrame, watch: Watch | None = None) -> DataFrame:
     """First rows with cleaned and normalized attributes.
 
     Tables give the order of rows in ``record_ord``; file scans in ``position``.
     """
     order = "record_ord" if "record_ord" in table.columns else "position"
     number = F.col("record_ord") if order == "record_ord" else F.lit(0).cast("bigint")
-    return first_row(table.select("candidate_id", order, *RECRUITER_COLUMNS), order).select(
+    rows = first_row(table.select("candidate_id", order, *RECRUITER_COLUMNS), order).select(
         "candidate_id",
         number.alias("record_ord"),
+        *[F.col(c).alias(f"raw_{c}") for c in RECRUITER_COLUMNS],
         clean_text(F.col("name")).alias("name"),
         email_address(F.col("email")).alias("email"),
         phone_e164(F.col("phone")).alias("phone"),
         clean_text(F.col("current_company")).alias("company"),
         clean_text(F.col("title")).alias("title"),
     )
+    return watched(rows, watch, RECRUITER, {
+        "full_name": ("raw_name", "name"), "emails": ("raw_email", "email"), "phones": ("raw_phone", "phone"),
+        "experience.company": ("raw_current_company", "company"), "experience.title": ("raw_title", "title")})
 
 
-def recruiter_facts(table: DataFrame, source_ord: int = 0) -> DataFrame:
+def recruiter_facts(
+    table: DataFrame, source_ord: int = 0, rules: Rules = FIXED, watch: Watch | None = None
+) -> DataFrame:
     """Facts of a recruiter table. Its title and company are a snapshot rather
     than a history, hence the discount."""
     return facts_of(
-        recruiter_records(table),
+        recruiter_records(table, watch),
         RECRUITER,
         source_ord,
         [
-            Reading("full_name", "direct", prior("full_name", RECRUITER), ("name",)),
-            Reading("emails", "direct", prior("emails", RECRUITER), ("email",)),
-            Reading("phones", "normalized", prior("phones", RECRUITER), ("phone",)),
+            Reading("full_name", "direct", rules.prior("full_name", RECRUITER), ("name",)),
+            Reading("emails", "direct", rules.prior("emails", RECRUITER), ("email",)),
+            Reading("phones", "normalized", rules.prior("phones", RECRUITER), ("phone",)),
             Reading(
-                "experience", "direct", prior("experience", RECRUITER) - RECRUITER_EXPERIENCE_DISCOUNT,
+                "experience", "direct", rules.prior("experience", RECRUITER) - RECRUITER_EXPERIENCE_DISCOUNT,
                 ("company", "title"),
             ),
         ],

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EXPERIENCE_TYPE, FACT_COLUMNS
+from ..functions import Rules
 from ..functions.lookup import sql_literal
 
 
@@ -70,5 +71,22 @@ def facts_of(
     )
 
 
+def as_facts(table: DataFrame, rules: Rules, source_ord: int) -> DataFrame:
+    """A table of facts in the fact schema. What it need not say is filled in:
+    the prior of its field and source, method, arrival order."""
+    have = set(table.columns)
+    filled = {
+        "value": F.lit(None).cast("string"), "exp": F.lit(None).cast(EXPERIENCE_TYPE), "method": F.lit("direct"),
+        "source_ord": F.lit(source_ord), "record_ord": F.lit(0).cast("bigint"), "emit_ord": F.lit(0),
+    }
+    given = F.col("confidence_milli") if "confidence_milli" in have else F.lit(None).cast("int")
+    prior = F.when(F.col("field").isNotNull(), rules.prior_of(F.col("field"), F.col("source")))
+    return table.select(*[
+        F.coalesce(given, prior).cast("int").alias(c) if c == "confidence_milli"
+        else F.col(c) if c in have else filled[c].alias(c)
+        for c in FACT_COLUMNS
+    ])
+
+
 def without_markers(facts: DataFrame) -> DataFrame:
     return facts.filter(F.col("field").isNotNull())

@@ -472,10 +472,11 @@ DOCUMENT_PARTS = {
     "emails": case("c_custkey % 6", {1: """'["a@b.co",5,null]'""", 2: "'\"a@b.co\"'", 3: "'null'"}, """'["a@b.co"]'"""),
     "phones": case("c_custkey % 5", {1: """'["98765",""]'""", 2: """'["+9198",7]'""", 3: "NULL"}, """'["+919876543210"]'"""),
     "location": case("c_custkey % 8", {
-        1: "'\"home\"'", 2: "'null'", 3: """'{"city":"X","zip":"1"}'""", 4: """'{"country":5}'"""},
+        1: "'\"home\"'", 2: "'null'", 3: """'{"city":"X","zip":"1"}'""", 4: """'{"country":5}'""",
+        5: """'{"zip":"1","city":"X","area":"2"}'"""},
         """'{"city":"X","country":"' || (CASE WHEN c_custkey % 2 = 0 THEN n_name[1:2] ELSE lower(n_name[1:2]) END) || '"}'"""),
     "links": case("c_custkey % 9", {
-        1: "'[]'", 2: """'{"github":"g","blog":"b"}'""", 3: """'{"other":"x"}'""", 4: "'null'",
+        1: "'[]'", 2: """'{"web":"w","github":"g","blog":"b"}'""", 3: """'{"other":"x"}'""", 4: "'null'",
         5: """'{"other":null}'"""}, """'{"linkedin":null,"other":[]}'"""),
     "headline": case("c_custkey % 4", {1: "'true'", 2: "NULL"}, "'\"lead\"'"),
     "years_experience": case("c_custkey % 10", {1: "'\"4\"'", 2: "'null'", 3: "'true'"}, "'4.5'"),
@@ -490,7 +491,7 @@ DOCUMENT_PARTS = {
     "education": case("c_custkey % 3", {1: """'[{"institution":"I","degree":null}]'""", 2: "'[1.5]'"}, "'[]'"),
     "provenance": case("c_custkey % 13", {1: """'[{"field":"f"}]'""", 2: """'["p"]'"""},
                        """'[{"field":"f","source":"s","method":"m"}]'"""),
-    "overall_confidence": case("c_custkey % 15", {1: "'1.5'", 2: "'null'", 3: "'-0.25'", 4: "'true'"}, "'0.75'"),
+    "overall_confidence": case("c_custkey % 15", {1: "'1.5'", 2: "'null'", 3: "'-0.25'", 4: "'true'", 5: "'2.0'", 6: "'2'"}, "'0.75'"),
 }
 PARTS["documents_in"] = ([], (
     "SELECT c_custkey AS row_id, CAST('{' || concat_ws(',', "
@@ -544,8 +545,8 @@ def document_rules() -> str:
         doc_rule(5, "V5", f"{kind('location')} NOT IN ('OBJECT', 'NULL')", "'location must be a dictionary'"),
         doc_rule(5, "V5", "k NOT IN ('city', 'region', 'country')",
                  "'location key ''' || k || ''' is invalid; must be city, region, or country'",
-                 "(SELECT row_id, unnest(json_keys(d, '$.location')) AS k FROM documents_in "
-                 "WHERE json_type(d, '$.location') = 'OBJECT')", "1"),
+                 "(SELECT row_id, unnest(json_keys(d, '$.location')) AS k, generate_subscripts(json_keys(d, '$.location'), 1) AS i "
+                 "FROM documents_in WHERE json_type(d, '$.location') = 'OBJECT')", "1 + i / 100.0"),
         doc_rule(5, "V6",
                  "json_type(c) <> 'NULL' AND (json_type(c) <> 'VARCHAR' OR length(c ->> '$') <> 2 OR "
                  "upper(c ->> '$') <> c ->> '$' OR NOT regexp_matches(c ->> '$', '[A-Z]'))",
@@ -554,8 +555,8 @@ def document_rules() -> str:
         doc_rule(6, "V7", f"{kind('links')} NOT IN ('OBJECT', 'NULL')", "'links must be a dictionary'"),
         doc_rule(6, "V7", "k NOT IN ('linkedin', 'github', 'portfolio', 'other')",
                  "'links key ''' || k || ''' is invalid; must be linkedin, github, portfolio, or other'",
-                 "(SELECT row_id, unnest(json_keys(d, '$.links')) AS k FROM documents_in "
-                 "WHERE json_type(d, '$.links') = 'OBJECT')", "1"),
+                 "(SELECT row_id, unnest(json_keys(d, '$.links')) AS k, generate_subscripts(json_keys(d, '$.links'), 1) AS i "
+                 "FROM documents_in WHERE json_type(d, '$.links') = 'OBJECT')", "1 + i / 100.0"),
         doc_rule(6, "V7", f"{kind('links.other')} <> 'ARRAY'", "'links[''other''] must be a list of strings'",
                  order="2"),
         doc_rule(7, "V2", f"{kind('headline')} NOT IN ('VARCHAR', 'NULL')", "'headline must be a string or null'"),
@@ -686,6 +687,23 @@ def statements() -> dict[str, str]:
             "WHERE reason IS NOT NULL GROUP BY candidate_id, reason", "ats_reasons"),
         "quarantine_facts": with_parts(
             f"SELECT {FACT} FROM ({ats_facts_of('ats_isolated')})", "ats_isolated"),
+        "extra_source": """
+            SELECT CAST(c_custkey AS VARCHAR) AS candidate_id, 'headline' AS field,
+              CASE WHEN own THEN 'crm ' || c_name ELSE c_mktsegment || ' lead' END AS value,
+              CASE WHEN own THEN 'crm' ELSE source END AS source, CASE WHEN own THEN 900 ELSE milli END AS confidence_milli
+            FROM (SELECT *, c_custkey % 2 = 0 AND milli <= 900 AS own FROM (
+              SELECT *, ['linkedin', 'resume', 'job_board'][c_custkey % 3 + 1] AS source,
+                [900, 950, 910][c_custkey % 3 + 1] AS milli FROM customer))""",
+        "run_report": with_parts(" UNION ALL ".join([
+            *[report(f, "recruiter_csv", "recruiter_first", raw, clean_) for f, raw, clean_ in [
+                ("full_name", "name", clean("name")), ("emails", "email", email("email")), ("phones", "phone", phone("phone")),
+                ("experience.company", "current_company", clean("current_company")), ("experience.title", "title", clean("title"))]],
+            *[report(f, "ats_json", "ats_picked", raw, clean_) for f, raw, clean_ in [
+                ("full_name", "name", clean("name")), ("emails", "email", email("email")),
+                ("experience.company", "company", clean("company")), ("experience.title", "title", clean("title"))]],
+            *[report(f, "github", "profile", raw, clean(raw)) for f, raw in [("full_name", "name"), ("headline", "bio")]],
+            report("skills", "github", f"({languages_of('repos_gated')})", "language", skill("language")),
+        ]), "recruiter_first", "ats_picked", "profile", "repos_gated"),
         "norm_phone": with_parts(f"SELECT record_ord, phone, {phone('phone')} AS e164 FROM recruiter", "recruiter"),
         "norm_email": with_parts(f"SELECT record_ord, email, {email('email')} AS address FROM recruiter", "recruiter"),
         "norm_skill": with_parts(f"SELECT repo_pos, language, {skill('language')} AS skill FROM repos", "repos"),

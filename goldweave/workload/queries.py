@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from ..constants import ATS
 from ..functions import (
-    clean_text, email_address, mean_milli, phone_e164, prior_of, skill_name, year_month,
+    clean_text, email_address, mean_milli, phone_e164, prior_of, rules_from, skill_name, year_month,
 )
 from ..operators import ledger as led
 from ..operators.project import accepted, project, rejected
 from ..operators.quarantine import isolate, quarantine
-from ..operators.reports import reject_report
+from ..operators.reports import REJECTS, Watch, reject_report
 from ..operators.skew import HOT_LIMIT
 from ..operators.storage import new_folder
 from ..operators.validate import (
@@ -43,8 +43,7 @@ def _gathered(spark: SparkSession, folder: str) -> Gathered:
 
 
 def _ledger(spark: SparkSession, folder: str) -> DataFrame:
-    gathered = _gathered(spark, folder)
-    return led.ledger(gathered.facts, split=gathered.split())
+    return _gathered(spark, folder).ledger()
 
 
 def _profiles(spark: SparkSession, folder: str, limit: int = HOT_LIMIT) -> DataFrame:
@@ -210,6 +209,28 @@ def prior_lookup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def extra_source(spark: SparkSession, folder: str) -> DataFrame:
+    """Headlines under rules of a run: a source of its own with a prior and a
+    place, another prior for a known source and for all fields of one."""
+    priors = spark.createDataFrame(
+        [("headline", "crm", 900), ("headline", "resume", 950), (None, "job_board", 910)],
+        "field string, source string, prior_milli int")
+    places = spark.createDataFrame([("crm", -0.5)], "source string, place double")
+    gathered = gather(Sources(facts=roles.unrated_facts(spark, folder)), rules=rules_from(priors, places))
+    return gathered.ledger().filter(f"{led.SINGLE} AND seq = 1").select(
+        "candidate_id", "field", "value", "source", "confidence_milli")
+
+
+@query
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What normalization dropped, counted while the facts are written."""
+    watch = Watch()
+    gathered = gather(roles.sources(spark, folder), watch=watch)
+    gathered.facts.write.parquet(new_folder(spark, "facts"))
+    return spark.createDataFrame(watch.report(), REJECTS)
+
+
 @query
 def quarantine_table(spark: SparkSession, folder: str) -> DataFrame:
     return quarantine(ats.pick_json(roles.ats_json(spark, folder)), ATS)

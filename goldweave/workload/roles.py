@@ -246,6 +246,13 @@ def customer_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def unrated_facts(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Headlines without a confidence, some from a source of its own."""
+    own = table(spark, folder, "customer").filter("c_custkey % 2 = 0").selectExpr(
+        "CAST(c_custkey AS STRING) AS candidate_id", "'headline' AS field", "'crm ' || c_name AS value", "'crm' AS source")
+    return [customer_facts(spark, folder).drop("confidence_milli"), own]
+
+
 def page_links(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as links of candidates, six to a candidate, on changing hosts."""
     url = by_case("page_id % 5", {
@@ -300,12 +307,13 @@ def foreign_documents(spark: SparkSession, folder: str) -> DataFrame:
                           text('["+919876543210"]')),
         "location": by_case(
             "c_custkey % 8",
-            {1: text('"home"'), 2: "'null'", 3: text('{"city":"X","zip":"1"}'), 4: text('{"country":5}')},
+            {1: text('"home"'), 2: "'null'", 3: text('{"city":"X","zip":"1"}'), 4: text('{"country":5}'),
+             5: text('{"zip":"1","city":"X","area":"2"}')},
             text('{"city":"X","country":"') + f" || {code} || " + text('"}'),
         ),
         "links": by_case(
             "c_custkey % 9",
-            {1: "'[]'", 2: text('{"github":"g","blog":"b"}'), 3: text('{"other":"x"}'), 4: "'null'",
+            {1: "'[]'", 2: text('{"web":"w","github":"g","blog":"b"}'), 3: text('{"other":"x"}'), 4: "'null'",
              5: text('{"other":null}')},
             text('{"linkedin":null,"other":[]}'),
         ),
@@ -330,7 +338,7 @@ def foreign_documents(spark: SparkSession, folder: str) -> DataFrame:
         "education": by_case("c_custkey % 3", {1: text('[{"institution":"I","degree":null}]'), 2: "'[1.5]'"}, "'[]'"),
         "provenance": by_case("c_custkey % 13", {1: text('[{"field":"f"}]'), 2: text('["p"]')},
                               text('[{"field":"f","source":"s","method":"m"}]')),
-        "overall_confidence": by_case("c_custkey % 15", {1: "'1.5'", 2: "'null'", 3: "'-0.25'", 4: "'true'"}, "'0.75'"),
+        "overall_confidence": by_case("c_custkey % 15", {1: "'1.5'", 2: "'null'", 3: "'-0.25'", 4: "'true'", 5: "'2.0'", 6: "'2'"}, "'0.75'"),
     }
     entries = ", ".join(text(f'"{name}":') + f" || {value}" for name, value in parts.items())
     return (

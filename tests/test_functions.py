@@ -70,3 +70,25 @@ def test_confidence(spark):
     assert prior("experience", "recruiter_csv") == 500
     with pytest.raises(ValueError):
         checked_priors({"emails": {"x": 0.85}})
+
+
+def test_no_character_that_nfkc_changes_is_missed(spark):
+    import random
+    import sys
+    import unicodedata
+
+    from goldweave.functions import nfkc
+    from goldweave.functions.text import open_ranges
+
+    inside = {n for a, b in open_ranges() for n in range(a, b + 1)}
+    closed = [chr(n) for n in range(sys.maxunicode + 1) if n not in inside and not 0xD800 <= n < 0xE000]
+    # none changes alone, and none changes behind another
+    assert all(unicodedata.normalize("NFKC", c) == c for c in closed)
+    rng = random.Random(1)
+    for _ in range(2000):
+        text = "".join(rng.choice(closed) for _ in range(200))
+        assert unicodedata.normalize("NFKC", text) == text
+    texts = ["plain", "Žluťoučký kůň", "ﬁ", "a\u0301", "ｆｕｌｌ", "한", "\u1112\u1161\u11ab", "½", "中文", "e\u0327\u0301", None, ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in rows.select(nfkc(rows.t)).collect()]
+    assert got == [None if t is None else unicodedata.normalize("NFKC", t) for t in texts]

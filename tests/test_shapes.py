@@ -302,6 +302,71 @@ def test_job_writes_all_tables(spark, tmp_path):
     assert spark.read.parquet(at["short_errors"]).count() == 0
 
 
+def test_a_broken_job_goes_on_after_its_last_table(spark, tmp_path, monkeypatch):
+    from goldweave.plans import job
+
+    config = {"short": {"fields": [{"path": "headline"}]}}
+    folder, scratch = tmp_path / "run", tmp_path / "scratch"
+    monkeypatch.setattr("goldweave.operators.storage.shared_folder", lambda session: str(scratch))
+    merges = []
+    monkeypatch.setattr(job, "profiles", lambda *a: merges.append(1) or profiles(*a))
+    monkeypatch.setattr(job, "validate_profiles", lambda table: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_to_folder(three_ids(spark), str(folder), config, limit=2)
+    left = {p.name for p in folder.iterdir()}
+    assert {"profiles", "unmerged", "quarantine", "rejects", "_facts", "_manifest"} <= left and "documents" not in left
+    monkeypatch.undo()
+    monkeypatch.setattr("goldweave.operators.storage.shared_folder", lambda session: str(scratch))
+    monkeypatch.setattr(job, "profiles", lambda *a: 1 / 0)
+    at = run_to_folder(three_ids(spark), str(folder), config, limit=2)
+    assert merges == [1]
+    assert {p.name for p in folder.iterdir()} == {
+        "profiles", "documents", "provenance", "validation", "unmerged", "quarantine", "rejects", "shape_short",
+        "shape_short_errors", "shape_short_rejects", "_manifest"}
+    assert not scratch.exists() or not list(scratch.iterdir())
+    assert spark.read.text(at["documents"]).count() == 3
+    # a finished run is only read, another one is refused
+    assert run_to_folder(three_ids(spark), str(folder), config, limit=2) == at
+    with pytest.raises(ValueError, match="other sources"):
+        run_to_folder(three_ids(spark), str(folder), {"short": {"fields": [{"path": "emails"}]}}, limit=2)
+
+
+def test_rejects_are_counted_while_the_facts_are_written(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", 1, "Ann", "no address", "123", "", "Dev"), ("a", 2, "later", "x", "x", "x", "x"), ("b", 1, "  ", "b@x.io", None, "Co", "T")],
+        "candidate_id string, record_ord bigint, name string, email string, phone string, current_company string, title string")
+    more = spark.createDataFrame([("a", "salary", "1", "crm")], "candidate_id string, field string, value string, source string")
+    at = run_to_folder(Sources(recruiter=rows, facts=[more]), str(tmp_path / "run"))
+    assert {tuple(r) for r in spark.read.parquet(at["rejects"]).collect()} == {
+        ("full_name", "recruiter_csv", 2, 0, 1), ("emails", "recruiter_csv", 2, 0, 1), ("phones", "recruiter_csv", 2, 1, 1),
+        ("experience.company", "recruiter_csv", 2, 1, 0), ("experience.title", "recruiter_csv", 2, 0, 0)}
+    assert [tuple(r) for r in spark.read.parquet(at["unmerged"]).collect()] == [("salary", "crm", 1)]
+
+
+def test_rules_of_a_run(spark):
+    from goldweave.functions import FIXED, rules_from
+
+    def winner(rules, *claims):
+        table = spark.createDataFrame(
+            [("a", "headline", v, s) for v, s in claims], "candidate_id string, field string, value string, source string")
+        (row,) = run(Sources(facts=[table]), rules=rules).output.collect()
+        return row.headline, row.provenance[0].confidence
+
+    both = [("of crm", "crm"), ("of resume", "resume")]
+    assert winner(FIXED, *both) == ("of resume", 0.5)
+    priors = spark.createDataFrame([(None, "crm", 600), ("headline", "resume", 600)], "field string, source string, prior_milli int")
+    assert winner(rules_from(priors), *both) == ("of resume", 0.6)
+    places = spark.createDataFrame([("crm", 2.5)], "source string, place double")
+    assert winner(rules_from(priors, places), *both) == ("of crm", 0.6)
+    unknown = spark.createDataFrame([(None, 0)], "source string, place int")
+    assert winner(rules_from(priors, unknown), *both) == ("of crm", 0.6)
+    base = spark.createDataFrame([(None, None, 700)], "field string, source string, prior_milli int")
+    assert winner(rules_from(base), ("x", "nobody")) == ("x", 0.7)
+    for rows in ([("headline", "crm", 1001)], [("headline", "crm", 1), ("headline", "crm", 2)], [("headline", None, 5)]):
+        with pytest.raises(ValueError):
+            rules_from(spark.createDataFrame(rows, "field string, source string, prior_milli int"))
+
+
 def test_another_source_is_a_fact_table(spark, merged):
     extra = spark.createDataFrame(
         [("a", "headline", "Lead", None, "linkedin", "direct", 900, 5, 0, 0)], FACT_SCHEMA)
