@@ -52,11 +52,13 @@ def repeat_words(tokens: Column) -> Column:
     """Words in three-word windows that the text holds at least twice."""
 
     def count(w: Column) -> Column:
-        last = F.size(w) - 3
-        windows = F.transform(
-            F.sequence(F.lit(0), last),
-            lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
-        )
+        three = F.transform(
+            F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        # most texts repeat no window: plain numbers tell that, without places
+        return let(three, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(placed(h)))
+
+    def placed(hashes: Column) -> Column:
+        windows = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
         places = let(
             F.sort_array(windows),
             lambda s: F.sort_array(F.transform(

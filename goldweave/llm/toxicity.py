@@ -6,9 +6,14 @@ that look like this are decoded; all other text is left as it is.
 
 Channel: every character of a span opens a few edges of a lattice, each with a
 cost: itself, a letter that the sign stands for, nothing (a separator between
-letters, a further copy of a letter). Source: a character trigram model of the
-words of all documents. A Viterbi pass over (place, last two letters) finds the
-cheapest letters. Spans are decoded once per task and remembered.
+letters, a further copy of a letter), the border of two words (at a separator,
+cheaply where it is wide). Source: a character trigram model of the words of
+all documents. A Viterbi pass over (place, last two letters) finds the cheapest
+letters; it keeps back pointers, so spans of any length are decoded as a whole.
+Spans are decoded once per task and remembered. A token is sent to the lattice
+if a sign stands beside a letter in it, if its letters are kept apart, if a
+letter stands three times, or if one stands twice in a token with a rare
+trigram. What is restored counts beside the token as it is written.
 
 The language model is counted over the whole corpus: every task counts its
 words, word counts are added up across tasks (combined before the shuffle), and
@@ -24,7 +29,8 @@ change roles. A score is the mean of both.
 Defined results: null and empty texts have no features and get the base score;
 null labels do not count, several for one id are averaged; without labels of
 both kinds every score is the share of label 1 (0 without any); an empty table
-gives an empty result; repeated rows get equal scores.
+gives an empty result; repeated rows get equal scores; very long texts and spans
+are read whole; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -53,14 +59,19 @@ BETWEEN = " .-_*~'`,:/"
 LETTER = r"[^\W\d_]"
 SIGN = r"[0-9@$!|+(€£¡µ]"
 WORD = re.compile(rf"{LETTER}+")
-# inside one token: a sign before a letter, letters kept apart, a letter three times
-NOISY = re.compile(rf"{SIGN}{LETTER}|^{LETTER}(?:[.\-_*~'`,:/]{LETTER}){{2,}}$|({LETTER})\1\1")
-# single characters with a space between them
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+# inside one token: a sign beside a letter, letters kept apart, a letter three times
+NOISY = re.compile(rf"{SIGN}{LETTER}|{LETTER}{SIGN}+$|^{LETTER}(?:[.\-_*~'`,:/]{LETTER}){{2,}}$|({LETTER})\1\1")
+TWICE = re.compile(rf"({LETTER})\1")
+# single characters with spaces between them; wider ones may part words
+SPACED = re.compile(r"(?<!\S)\S(?: {1,3}\S){2,}(?!\S)")
+GAP = re.compile(" +")
+WIDE = "\u2003"
 # not part of a word at its ends
 HEAD, TAIL = "\"'([{*#%&-–«„“", ".,;:!?\"')]}*#%&$…-–»“”"
-# longest span that is decoded in one piece
-PIECE = 48
+# the same without signs that stand for letters
+TAIL_BUT_SIGNS = "".join(c for c in TAIL if c not in LEET)
+# weight of a trigram that few words have, or one
+RARE = 2
 
 
 @dataclass(frozen=True)
@@ -168,46 +179,78 @@ class Decoder:
         else:
             for letter in LEET.get(c, ""):
                 out.append((letter, 1.0))
-            out.append(("", 0.5 if c in BETWEEN else 6.0))
+            out.append(("", 1.5 if c == WIDE else 0.5 if c in BETWEEN else 6.0))
+            if c == WIDE or c in BETWEEN:
+                out.append((" ", 0.3 if c == WIDE else 3.0))
         return out
 
-    def decode(self, span: str) -> str:
-        states: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
+    def step(self, last: str, letter: str) -> tuple[float, str] | None:
+        """Source cost of a letter behind the last two, and the two that are
+        last then. A border ends a word and begins one; words are not empty."""
+        if not letter:
+            return 0.0, last
+        if letter == " ":
+            return (self.cost(last[0], last[1], "$"), "^^") if last != "^^" else None
+        return self.cost(last[0], last[1], letter), last[1] + letter
+
+    def end(self, last: str) -> float:
+        return 0.0 if last == "^^" else self.cost(last[0], last[1], "$")
+
+    def decode(self, span: str) -> tuple[float, str]:
+        """The least cost of a path through the lattice, and its letters."""
+        states: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
         for k in range(len(span)):
-            after: dict[str, tuple[float, str]] = {}
+            after: dict[str, tuple[float, tuple | None]] = {}
             for letter, paid in self.edges(span, k):
-                for last, (total, said) in states.items():
-                    if letter:
-                        value = (total + paid + self.cost(last[0], last[1], letter), said + letter)
-                        last = last[1] + letter
-                    else:
-                        value = (total + paid, said)
-                    held = after.get(last)
-                    if held is None or value < held:
-                        after[last] = value
+                for last, (total, path) in states.items():
+                    taken = self.step(last, letter)
+                    if taken is None:
+                        continue
+                    value, to = total + paid + taken[0], taken[1]
+                    held = after.get(to)
+                    if held is None or value < held[0]:
+                        after[to] = (value, (path, letter) if letter else path)
             states = after
-        return min((total + self.cost(s[0], s[1], "$"), said) for s, (total, said) in states.items())[1]
+        cost, path = min(((total + self.end(s), path) for s, (total, path) in states.items()), key=lambda x: x[0])
+        letters = []
+        while path is not None:
+            path, letter = path
+            letters.append(letter)
+        return cost, "".join(reversed(letters))
 
     def restore(self, span: str) -> str:
         said = self.spans.get(span)
         if said is None:
             if len(self.spans) > 200_000:
                 self.spans.clear()
-            said = "".join(self.decode(span[k:k + PIECE]) for k in range(0, len(span), PIECE))
+            said = self.decode(span)[1]
             self.spans[span] = said
         return said
 
     def words(self, token: str) -> tuple[str, ...]:
         """The words of a lower-case token, restored where it looks noisy."""
         core = token.rstrip(TAIL).lstrip(HEAD)
-        if NOISY.search(core):
-            return (*WORD.findall(self.restore(core)), *WORD.findall(core))
-        return (core,) if core.isalpha() else tuple(WORD.findall(core))
+        noisy = {core} if NOISY.search(core) or TWICE.search(core) and self.rare(core) else set()
+        if token[-1:] in LEET:
+            # signs at the end may be letters too
+            longer = token.rstrip(TAIL_BUT_SIGNS).lstrip(HEAD)
+            if NOISY.search(longer):
+                noisy.add(longer)
+        plain = (core,) if core.isalpha() else tuple(WORD.findall(core))
+        return (*(w for span in sorted(noisy) for w in WORD.findall(self.restore(span))), *plain)
+
+    def rare(self, core: str) -> bool:
+        """Whether a trigram of the token is one of few words."""
+        marked = f"^^{core}$"
+        return any(
+            self.counts[0, _slot(marked[k:k + 3], self.slots)] <= RARE for k in range(len(marked) - 2))
 
     def spaced(self, text: str) -> Iterator[str]:
         """Words out of single characters with spaces between them."""
         for found in SPACED.finditer(text):
-            yield from WORD.findall(self.restore(found.group().replace(" ", ".")))
+            span = GAP.sub(lambda gap: "." if len(gap.group()) == 1 else WIDE, found.group())
+            # where all gaps are wide they part letters, not words
+            yield from WORD.findall(self.restore(span if "." in span else span.replace(WIDE, ".")))
 
 
 def features_of(word: str) -> list[str]:

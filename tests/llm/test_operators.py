@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,32 @@ def test_mix_meets_its_targets(docs, rows):
     assert again == {r.doc_id: r.taken for r in out} and len(source) == len(rows)
 
 
+def test_many_sources_in_closed_form(spark, monkeypatch):
+    rng = random.Random(3)
+    sizes = {f"s{k:05d}": rng.choice([0, 1, 5, 40, 1000, 10**6, 10**9]) * rng.randint(1, 9) for k in range(20_000)}
+    sizes[None] = 77
+    # the plain way fills up a round at a time
+    want = brute.targets(sizes)
+    table = spark.createDataFrame(list(sizes.items()), "source string, size bigint").repartition(7)
+    for few in (100_000, 10):
+        monkeypatch.setattr(mixing, "FEW_SOURCES", few)
+        got = {r.source: r.target for r in mixing.source_targets(table).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[s] == pytest.approx(want[s], rel=1e-9) for s in want)
+    assert sum(got.values()) == pytest.approx(1.5 * sum(sizes.values()))
+    one = mixing.source_targets(spark.createDataFrame([("a", 1000), ("b", 10)], "source string, size bigint"))
+    assert {r.source: r.target for r in one.collect()} == {"a": 1495.0, "b": 20.0}
+
+
+def test_rows_that_share_an_id_meet_their_own_plan(spark):
+    rows = [(1, f"w{k} " * 3, "s", k) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, tag int")
+    out = mixing.training_order(df).collect()
+    again = mixing.training_order(df.repartition(5)).collect()
+    key = lambda r: (r.text, r.taken, r.position, r.tag)
+    assert sorted(map(key, out)) == sorted(map(key, again)) and out[0].asDict().keys() >= {"tag", "taken"}
+
+
 def test_positions_follow_the_schedule(spark):
     """Half of the integral of the weights is used where the curve says so."""
     shares = spark.createDataFrame([(k / 20,) for k in range(21)], "u double")
@@ -212,6 +239,12 @@ def test_rules_against_plain_counts(docs, rows, empty, repeated):
     got = by_id(quality_rules.judge(docs), *columns)
     assert got == {d: brute.rules(t) for d, t in rows}
     assert quality_rules.judge(empty).collect() == []
+    few = sorted(map(str, quality_rules.keep_good(docs).collect()))
+    quality_rules.BROADCAST_LINES, before = 0, quality_rules.BROADCAST_LINES
+    try:
+        assert sorted(map(str, quality_rules.keep_good(docs).collect())) == few
+    finally:
+        quality_rules.BROADCAST_LINES = before
     assert quality_rules.judge(repeated).count() == 6
 
 
@@ -270,10 +303,13 @@ def test_loss_mask_must_cover_the_assistant_bodies(spark):
 
 # --- archives --------------------------------------------------------------------------
 
+SEPARATOR = warc.RECORD_END + warc.VERSION
+
+
 def test_archives_round_trip(spark, tmp_path):
-    big = "<p>" + "ä text " * 9000 + warc.SEPARATOR * 3 + "</p>"
+    big = "<p>" + "ä text " * 9000 + SEPARATOR * 3 + "</p>"
     pages = [(1, "http://a", "<p>x</p>"), (2, "http://b", big), (3, None, big), (4, "http://c d\r\n", ""), (5, "u", None),
-             (None, "u", "<p>x</p>"), (7, "u", warc.SEPARATOR), (8, "u", "0\r\n\r\n\r\n"), (2, "http://b", big)]
+             (None, "u", "<p>x</p>"), (7, "u", SEPARATOR), (8, "u", "0\r\n\r\n\r\n"), (2, "http://b", big)]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
     layout = warc.Layout(segment_bytes=700, chunk_bytes=100, rows_per_file=3)
     warc.write_archives(df, str(tmp_path / "w"), layout)
@@ -290,6 +326,12 @@ def test_archives_round_trip(spark, tmp_path):
         want.append((p, "response" if response else "revisit", None if response else first, len(b), warc.digest_of(b),
                      None, b if response else None))
     assert got == sorted(want, key=repr)
+    import gzip
+    files = list((tmp_path / "w").glob("*.gz"))
+    assert len(files) > 1
+    for f in files:
+        data = gzip.decompress(f.read_bytes())
+        assert data.startswith(b"WARC/1.1\r\nWARC-Type: ") and data.endswith(b"\r\n\r\n")
     kinds = {r.kind for r in warc.read_records(spark, str(tmp_path / "w")).collect()}
     assert kinds == {"response", "revisit", "continuation"}
     warc.write_archives(df.limit(0), str(tmp_path / "none"))
@@ -302,11 +344,49 @@ def test_broken_archives_are_reported(spark, tmp_path):
     cut = [whole[0], *whole[2:]]
     bad = warc.records("2:0-1", "u", b"z" * 30, None, False, warc.Layout())[0].decode().replace("zz", "zy", 1)
     spark.createDataFrame([(x,) for x in [*cut, bad]], "value string").coalesce(1).write.option(
-        "lineSep", warc.SEPARATOR).text(str(tmp_path / "w"))
+        "lineSep", warc.RECORD_END).text(str(tmp_path / "w"))
     faults = {r.record_id: r.fault for r in warc.read_pages(spark, str(tmp_path / "w")).collect()}
     assert faults == {"<urn:x-page:1:0-1>": "segments missing or of wrong length", "<urn:x-page:2:0-1>": "wrong digest"}
 
 
+def by_hand(version, kind, name, block, *more, end=b"\r\n\r\n"):
+    head = [f"WARC/{version}", f"WARC-Type: {kind}", f"warc-record-id: <{name}>", *more, f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + end
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    import gzip
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    tricky = b"a\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nxyz\r\n"
+    one = by_hand("1.0", "warcinfo", "i", b"software: x\r\n") + by_hand("1.0", "response", "a", http + tricky) + by_hand(
+        "1.0", "request", "q", b"GET / HTTP/1.0\r\n\r\n") + by_hand("1.0", "response", "b", http + b"\r", "WARC-Payload-Digest: md5:1") + by_hand(
+        "1.0", "resource", "c", b"")
+    two = (by_hand("1.1", "response", "d", http + b"no line ends behind it", end=b"")
+           + by_hand("1.1", "response", "e", http + b"z", "WARC-Payload-Digest: sha1:AAAA", "X-Folded: one", " two"))
+    junk = by_hand("1.1", "response", "f", http + b"f") + b"junk\r\nmore junk\r\n" + by_hand("1.1", "response", "g", http + b"g")
+    cut = by_hand("1.1", "response", "h", http + b"h") + by_hand("1.1", "response", "k", http + b"long " * 40)[:-60]
+    bare = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <l>\r\n\r\n" + by_hand("1.1", "response", "m", http + b"m")
+    folder = tmp_path / "w"
+    folder.mkdir()
+    (folder / "one.warc").write_bytes(one)
+    (folder / "two.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in (two[:50], two[50:])))
+    for name, data in (("junk", junk), ("cut", cut), ("bare", bare)):
+        (folder / f"{name}.warc.gz").write_bytes(gzip.compress(data))
+    (folder / "torn.warc.gz").write_bytes(gzip.compress(
+        by_hand("1.1", "response", "n", http + random.Random(1).randbytes(90_000)) * 3, 1)[:-20_000])
+    got = sorted(((r.record_id, r.fault, r.payload and bytes(r.payload) or r.payload) for r in warc.read_pages(spark, str(folder)).collect()
+                  if r.record_id != "<n>" and r.record_id != "<k>"), key=repr)
+    assert got == sorted([
+        ("<a>", None, tricky), ("<b>", None, b"\r"), ("<c>", None, b""), ("<d>", None, b"no line ends behind it"),
+        ("<e>", "wrong digest", b"z"), ("<f>", None, b"f"), ("<g>", None, b"g"), ("<h>", None, b"h"), ("<m>", None, b"m"),
+        ("<l>", "no length", b"")] + [g for g in got if g[1] == "not a record"], key=repr)
+    faults = [r.fault for r in warc.read_pages(spark, str(folder)).collect()]
+    assert faults.count("not a record") == 1 and faults.count("cut off") >= 2
+    torn = [r.fault for r in warc.read_pages(spark, str(folder)).collect() if r.record_id == "<n>"]
+    assert torn.count(None) >= 1 and torn.count("cut off") == 1
+
+
 # --- models ----------------------------------------------------------------------------
 
 def labelled(spark, label, good, bad, n=240):
@@ -361,3 +441,54 @@ def test_toxicity_finds_hidden_words(spark):
     assert toxicity.toxicity_scores(docs.limit(0), labels, quality_model.remainder(5, 0)).collect() == []
     none = toxicity.toxicity_scores(docs, labels.limit(0), quality_model.remainder(5, 0)).collect()
     assert {r.score for r in none} == {0.0}
+
+
+def every_path(decoder, span):
+    """The least cost over all paths of the lattice."""
+    def go(k, last):
+        if k == len(span):
+            return decoder.end(last)
+        out = []
+        for letter, paid in decoder.edges(span, k):
+            taken = decoder.step(last, letter)
+            if taken is not None:
+                out.append(paid + taken[0] + go(k + 1, taken[1]))
+        return min(out)
+
+    return go(0, "^^")
+
+
+def model_of(words):
+    counts = np.zeros((2, 1 << 12), np.float32)
+    for word in words:
+        marked = f"^^{word}$"
+        for k in range(len(marked) - 2):
+            counts[0, toxicity._slot(marked[k:k + 3], 1 << 12)] += 20
+            counts[1, toxicity._slot(marked[k:k + 2] + "?", 1 << 12)] += 20
+    return toxicity.Decoder(counts)
+
+
+def test_decoder_finds_the_cheapest_path():
+    decoder = model_of(["stupid", "idiot", "hello", "that", "loser", "is", "an"])
+    rng = random.Random(6)
+    for _ in range(150):
+        span = "".join(rng.choice("stupidaao01$.-" + toxicity.WIDE) for _ in range(rng.randint(1, 9)))
+        cost, letters = decoder.decode(span)
+        assert cost == pytest.approx(every_path(decoder, span)) and "  " not in letters
+    noisy = {"1d10t": "idiot", "s.t.u.p.i.d": "stupid", "looooser": "loser", "stup1d": "stupid"}
+    assert {k: decoder.restore(k) for k in noisy} == noisy
+    assert "loser" in decoder.words("lo$er") and "stupid" in decoder.words("stup!d") and "hello" in decoder.words("hello!")
+    assert "is" in decoder.words("i$") and "is" in decoder.words("i5")
+    assert list(decoder.spaced("say i d i o t now")) == ["idiot"] == list(decoder.spaced("say i  d  i  o  t now"))
+    assert list(decoder.spaced("t h a t  i s  a n  i d i o t")) == ["that", "is", "an", "idiot"]
+
+
+def test_long_spans_are_decoded_as_a_whole():
+    words = ["stupid", "idiot", "hello", "that", "loser"]
+    decoder = model_of(words)
+    rng = random.Random(2)
+    for _ in range(20):
+        said = [rng.choice(words) for _ in range(40)]
+        span = toxicity.WIDE.join(".".join(w).replace("i", "1").replace("o", "0") for w in said)
+        assert len(span) > 300 and decoder.decode(span)[1].split() == said
+    assert len(decoder.decode("a.b" * 20_000)[1]) > 20_000
