@@ -5,27 +5,30 @@ Every byte covered by a string of `length` bytes that also starts earlier
 judged on the input, never cross documents, and overlaps count.
 
 Sorting all suffixes of a corpus would move every byte many times. Instead a
-cover of the suffixes is sampled, ranked, and used to settle long ties, and the
-suffixes themselves are sorted bucket by bucket:
+cover of the suffixes is sampled; suffixes that can be repeated are sorted one
+block of buckets at a time, long ties by the ranks of the sample:
 
 1. Cover sample. A start is in the cover if its 24-byte prefix has the least
    hash in some window of `length` bytes that holds it. Like an arithmetic
    difference cover this promises that two equal windows have a cover start at
    the same offset, with 2 of 78 starts instead of 9 of 73; see the README for
    why residues were not used.
-2. Ranks. Each cover start gets the hash of its prefix (its bucket) and of all
-   bytes within reach of a window through it, from 76 before to 100 after (its
-   class). Starts of one class tie in every window through them. Only the first
-   start of a class needs sorting; all others are covered whole. A task settles
-   its own classes before anything is shuffled, so a passage in a third of all
-   documents sends one row per task.
+2. Prefilter. Each cover start gets the hash of its prefix (its bucket) and of
+   all bytes within reach of a window through it, from 76 before to 100 after
+   (its class). Starts of one class tie in every window through them. Only the
+   first start of a class needs sorting; all others are covered whole. A task
+   settles its own classes before anything is shuffled, so a passage in a third
+   of all documents sends one row per task.
 3. Buckets. Where a bucket holds several classes, their first starts are joined
    with their texts. A window through a start holds the 58 bytes from it on or
-   the 58 bytes up to the end of its prefix; by these the bucket is split in two
-   finer ones, whose windows are sorted, one offset at a time, by window hash
-   and position; equal neighbours are compared byte by byte. A bucket of more
-   than 20,000 classes is sorted in parts, and the first of each window of the
-   parts are sorted once more, each window by itself.
+   the 58 bytes up to the end of its prefix; by these further bytes a bucket is
+   split in finer ones. A task sorts the suffixes of one block of buckets at a
+   time: the cover starts are ranked by the bytes behind them, and the suffixes
+   that begin o bytes before a cover start are ordered by these o bytes, ties of
+   any length by the ranks (`suffix_orders`). Neighbours that agree in `length`
+   bytes are one group, in which the earliest stays. A bucket of more than
+   20,000 classes is sorted in parts, and the first of each window of the parts
+   are sorted once more, each window by itself.
 4. The removed spans of each document are united and cut out.
 
 Defined results: null and empty texts have 0 bytes, no spans and the digest of
@@ -298,50 +301,71 @@ def bucket_rows(docs: DataFrame, starts: DataFrame, length: int) -> DataFrame:
              "context binary")
 
 
+def suffix_orders(context: np.ndarray, base: int, offsets: range) -> Iterator[tuple[int, np.ndarray]]:
+    """For each offset the rows in the order of their suffixes from so many
+    bytes before the cover start on.
+
+    The cover starts (column `base`) are ranked once, by all bytes behind them.
+    The suffix one byte further to the left is that byte, and a suffix whose
+    order is known: so a stable sort by one byte makes the next order out of the
+    last, and ties of any length are settled by the ranks.
+    """
+    right = np.ascontiguousarray(context[:, base:])
+    order = np.argsort(right.view(f"S{right.shape[1]}").reshape(-1), kind="stable")
+    for o in range(offsets.stop):
+        if o:
+            order = order[np.argsort(context[order, base - o], kind="stable")]
+        if o >= offsets.start:
+            yield o, order
+
+
+def _window_hashes(context: np.ndarray, rows: np.ndarray, w: int, length: int) -> list[np.ndarray]:
+    """Two hashes of context[row, w:w + length], that meet over parts."""
+    codes = np.random.default_rng(7).integers(0, 1 << 63, (2, 256), np.uint64)
+    power = np.cumprod(np.full(length, _U(0x2545F4914F6CDD1D), np.uint64))
+    part = context[rows, w:w + length]
+    return [(code[part] * power[None, :]).sum(axis=1, dtype=np.uint64).view(np.int64) for code in codes]
+
+
 def _sort_windows(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
-    """Sort the windows of whole buckets; yields the spans found, and the first
+    """Sort the suffixes of whole buckets; yields the spans found, and the first
     of each window for buckets that came in parts."""
-    half = _middle(length)
-    near = half - GRAM
-    factor = _U(0x2545F4914F6CDD1D)
-    inverse = _U(pow(int(factor), -1, 1 << 64))
-    codes = np.random.default_rng(7).integers(0, 1 << 63, (2, 256), np.uint64)
+    near = _middle(length) - GRAM
     for side in (0, 1):
-        t = rows.filter(pc.equal(rows["side"], side)).combine_chunks()
+        t = rows.filter(pc.equal(rows["side"], side))
+        _, bucket, count = np.unique(t["key"].to_numpy(), return_inverse=True, return_counts=True)
+        # who is alone in a whole bucket has no equal window
+        t = t.filter(pa.array((count[bucket] > 1) | (t["parts"].to_numpy() > 1))).combine_chunks()
         n = t.num_rows
-        if n < 2:
+        if not n:
             continue
-        col = lambda name: t[name].to_numpy()
         has = ~np.asarray(t["id"].is_null())
         ids = t["id"].fill_null(0).to_numpy()
-        key, at, before, after, parts, tags = (col(c) for c in ("key", "at", "before", "after", "parts", "tag"))
+        at, before, after, parts, tags = (t[name].to_numpy() for name in ("at", "before", "after", "parts", "tag"))
         context = np.frombuffer(b"".join(t["context"].to_pylist()), np.uint8).reshape(n, -1)
+        eight = np.ndarray((n, context.shape[1] - 7), "<u8", context.data, strides=(context.shape[1], 1))
         offsets = range(0, near + 1) if side == 0 else range(near + 1, length - GRAM + 1)
         base = near if side == 0 else length - GRAM  # place of the start in its context
-        sums = []
-        for code in codes:
-            power = np.cumprod(np.full(context.shape[1], factor, np.uint64))
-            total = np.zeros((n, context.shape[1] + 1), np.uint64)
-            np.cumsum(code[context] * power[None, :], axis=1, out=total[:, 1:])
-            sums.append(total)
-        undo = np.cumprod(np.full(context.shape[1] + 1, inverse, np.uint64))
+        # earlier documents first; rows of the same id and start are equals
+        by_place = np.lexsort((at, ids, has))
+        step = (np.diff(has[by_place].astype(np.int8)) != 0) | (np.diff(ids[by_place]) != 0) | (np.diff(at[by_place]) != 0)
+        place = np.empty(n, np.int64)
+        place[by_place] = np.concatenate([[0], np.cumsum(step)])
         low, high = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         firsts = []
-        for o in offsets:
+        for o, order in suffix_orders(context, base, offsets):
             w = base - o
-            ok = np.flatnonzero((o <= before) & (length - o <= after))
-            if len(ok) < 1:
+            r = order[((o <= before) & (length - o <= after))[order]]
+            if not len(r):
                 continue
-            shift = undo[w]
-            one = (sums[0][ok, w + length] - sums[0][ok, w]) * shift
-            one = _mix(one ^ _mix(key[ok].astype(np.uint64)))
-            order = np.lexsort((at[ok], ids[ok], has[ok], one))
-            r = ok[order]
-            same = one[order][1:] == one[order][:-1]
+            # equal windows follow each other
+            same = (eight[r[1:], w] == eight[r[:-1], w]) & (eight[r[1:], w + length - 8] == eight[r[:-1], w + length - 8])
             same[same] = (context[r[1:][same], w:w + length] == context[r[:-1][same], w:w + length]).all(axis=1)
-            new = np.concatenate([[True], ~same])
-            head = r[np.flatnonzero(new)][np.cumsum(new) - 1]
-            later = (ids[r] != ids[head]) | (has[r] != has[head]) | (at[r] != at[head])
+            heads = np.flatnonzero(np.concatenate([[True], ~same]))
+            group = np.zeros(len(r), np.int64)
+            group[heads[1:]] = 1
+            earliest = np.minimum.reduceat(place[r], heads)[np.cumsum(group)]
+            later = place[r] > earliest
             hit, begin = r[later], at[r[later]] - o
             # the removed windows of a start: runs of offsets, kept as one span
             # while they touch
@@ -353,10 +377,8 @@ def _sort_windows(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
             low[hit] = begin
             many = r[~later][parts[r[~later]] > 1]
             if len(many):
-                two = (sums[1][many, w + length] - sums[1][many, w]) * shift
-                first = (sums[0][many, w + length] - sums[0][many, w]) * shift
-                firsts += [(int(a), int(b), k, int(at[k] - o), None)
-                           for a, b, k in zip(first.view(np.int64), two.view(np.int64), many)]
+                one, two = _window_hashes(context, many, w, length)
+                firsts += [(int(a), int(b), k, int(at[k] - o), None) for a, b, k in zip(one, two, many)]
         firsts += [(None, None, k, None, [int(low[k]), int(high[k])]) for k in np.flatnonzero(low >= 0)]
         if firsts:
             yield pa.RecordBatch.from_pydict({

@@ -57,6 +57,20 @@ def test_large_buckets_are_sorted_in_parts(docs, rows, monkeypatch):
     assert by_id(suffix_dedup.digests(docs), *SPANS) == brute.repeated_bytes(rows)
 
 
+def test_suffixes_are_in_lexicographic_order():
+    rng = np.random.default_rng(5)
+    for letters, n, width, base in ((2, 300, 130, 30), (256, 200, 160, 76), (1, 20, 110, 10), (3, 1, 120, 20)):
+        context = rng.integers(0, letters, (n, width), np.uint8)
+        context[n // 2:] = context[:n - n // 2]
+        context[n // 2:, rng.integers(0, width)] ^= 1
+        seen = 0
+        for o, order in suffix_dedup.suffix_orders(context, base, range(3, base + 1)):
+            suffixes = [bytes(row[base - o:]) for row in context]
+            assert [suffixes[k] for k in order] == sorted(suffixes) and sorted(order) == list(range(n))
+            seen += 1
+        assert seen == base - 2
+
+
 def test_repeated_strings_of_odd_tables(empty, repeated):
     assert suffix_dedup.digests(empty).collect() == []
     got = [(r.doc_id, r.n_bytes - r.n_removed) for r in suffix_dedup.digests(repeated).collect()]
