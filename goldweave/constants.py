@@ -77,6 +77,12 @@ ATS_ALIASES = {
 }
 RECRUITER_COLUMNS = ["name", "email", "phone", "current_company", "title"]
 
+# --- fixed values: paths of a config, and its messages --------------------------
+SUB_VALUES_PATH = r"^([a-zA-Z_]+)\[\]\.(.+)$"
+ELEMENT_PATH = r"^([a-zA-Z_]+)\[(\d+)\]$"
+MSG_MISSING = "Required field '{}' is missing (source: '{}')"
+MSG_FAILED = "Projection validation failed: "
+
 # --- types of the tables ------------------------------------------------------
 EXPERIENCE_TYPE = "struct<company:string,title:string,start:string,end:string,summary:string>"
 FACT_COLUMNS = [

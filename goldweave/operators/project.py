@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..constants import ELEMENT_PATH, MSG_FAILED, MSG_MISSING, SUB_VALUES_PATH
 from ..functions import phone_e164, skill_name
 from .profile import PROFILE_COLUMNS
 
@@ -25,8 +26,7 @@ ERRORS = "_projection_errors"
 RESERVED = (DOCUMENT, ERRORS, "_validation_errors", "_faults")
 # no list has more elements
 LAST_INDEX = 2**31 - 2
-SUB_VALUES = re.compile(r"^([a-zA-Z_]+)\[\]\.(.+)$", re.ASCII)
-ELEMENT = re.compile(r"^([a-zA-Z_]+)\[(\d+)\]$")
+SUB_VALUES, ELEMENT = re.compile(SUB_VALUES_PATH, re.ASCII), re.compile(ELEMENT_PATH)
 # attributes without a merge rule: an element of nothing is null, not an error
 NEVER_FILLED = {"location", "years_experience"}
 
@@ -180,7 +180,7 @@ def project(profiles: DataFrame, config: dict, strict: bool = False) -> DataFram
         absent = missing if on_missing == "omit" else F.lit(False)
         if on_missing == "error" and o.required:
             absent = missing
-            message = F.lit(f"Required field '{o.name}' is missing (source: '{o.origin}')")
+            message = F.lit(MSG_MISSING.format(o.name, o.origin))
             errors.append(F.when(missing, message))
         text = F.when(missing, F.lit("null")).otherwise(_json(value, kind, o.origin))
         fragment = F.concat(F.lit(f"{_quoted(o.name)}:"), text)
@@ -206,7 +206,7 @@ def project(profiles: DataFrame, config: dict, strict: bool = False) -> DataFram
     document = F.concat(F.lit("{"), F.array_join(fragments, ","), F.lit("}"))
     found = F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")
     if strict:
-        whole = F.concat(F.lit("Projection validation failed: "), F.array_join(found, "; "))
+        whole = F.concat(F.lit(MSG_FAILED), F.array_join(found, "; "))
         found = F.when(F.size(found) > 0, F.raise_error(whole).cast("array<string>")).otherwise(found)
     rest = [c.alias(n) for n, (c, _) in columns.items() if n != "candidate_id"]
     return taken.select(

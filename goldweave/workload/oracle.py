@@ -619,7 +619,7 @@ def exploded(items: str) -> str:
 
 
 PROFILE_OUT = ("candidate_id, full_name, emails, phones, linkedin, github, other_links, headline, skills, experience, "
-               "0 AS n_education, provenance, overall_milli, CAST(0 AS BIGINT) AS page")
+               "0 AS n_education, provenance, overall_milli")
 
 
 def decisions(where: str = "true") -> str:
@@ -731,16 +731,16 @@ def statements() -> dict[str, str]:
             "SELECT field, source, count(*) AS n_facts FROM facts WHERE field NOT IN "
             f"({', '.join(lit(f) for f in SECTION_NO)}) GROUP BY field, source", "facts"),
         "multi_union": with_parts(
-            f"SELECT candidate_id, CAST(0 AS BIGINT) AS page, field, {exploded(', field')}, value FROM ledger "
+            f"SELECT candidate_id, field, {exploded(', field')}, value FROM ledger "
             "WHERE field IN ('emails', 'phones') AND nth = 1", "ledger"),
         "skills_agg": with_parts(
-            f"SELECT candidate_id, CAST(0 AS BIGINT) AS page, {exploded('')}, value AS name, milli AS confidence_milli, "
+            f"SELECT candidate_id, {exploded('')}, value AS name, milli AS confidence_milli, "
             "replace(sources, '+', ',') AS sources FROM skill_items", "skill_items"),
         "exp_dedup": with_parts(
-            f"SELECT candidate_id, CAST(0 AS BIGINT) AS page, {exploded('')}, company, title, start, summary "
+            f"SELECT candidate_id, {exploded('')}, company, title, start, summary "
             "FROM exp_items", "exp_items"),
         "links_class": with_parts(
-            "SELECT candidate_id, CAST(0 AS BIGINT) AS page, github, linkedin, CAST(NULL AS VARCHAR) AS portfolio, "
+            "SELECT candidate_id, github, linkedin, CAST(NULL AS VARCHAR) AS portfolio, "
             "replace(other_links, ';', ' ') AS other FROM profiles", full),
         "profile_default": with_parts(f"SELECT {PROFILE_OUT} FROM profiles", full),
         "profile_across": with_parts(f"SELECT {PROFILE_OUT} FROM profiles", full),

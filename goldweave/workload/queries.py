@@ -50,11 +50,6 @@ def _profiles(spark: SparkSession, folder: str, limit: int = HOT_LIMIT) -> DataF
     return consolidated(roles.sources(spark, folder), limit)
 
 
-def _numbered(table: DataFrame) -> DataFrame:
-    """Results keep the column of the days when profiles came in pages."""
-    return table.withColumn("page", F.lit(0).cast("bigint"))
-
-
 def _milli(ratio: Column) -> Column:
     return F.round(ratio * 1000).cast("int")
 
@@ -334,21 +329,21 @@ def unmerged_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def multi_union(spark: SparkSession, folder: str) -> DataFrame:
-    table = _numbered(_profiles(spark, folder))
+    table = _profiles(spark, folder)
     return table.select(
-        "candidate_id", "page",
+        "candidate_id",
         F.explode(F.array(
             F.struct(F.lit("emails").alias("field"), F.col("emails").alias("items")),
             F.struct(F.lit("phones").alias("field"), F.col("phones").alias("items")),
         )).alias("f"),
-    ).select("candidate_id", "page", "f.field", F.posexplode("f.items").alias("pos", "value"))
+    ).select("candidate_id", "f.field", F.posexplode("f.items").alias("pos", "value"))
 
 
 @query
 def skills_agg(spark: SparkSession, folder: str) -> DataFrame:
-    skills = _numbered(_profiles(spark, folder)).select("candidate_id", "page", F.posexplode("skills").alias("pos", "s"))
+    skills = _profiles(spark, folder).select("candidate_id", F.posexplode("skills").alias("pos", "s"))
     return skills.select(
-        "candidate_id", "page", "pos", F.col("s.name").alias("name"),
+        "candidate_id", "pos", F.col("s.name").alias("name"),
         _milli(F.col("s.confidence")).alias("confidence_milli"),
         F.array_join("s.sources", ",").alias("sources"),
     )
@@ -356,16 +351,16 @@ def skills_agg(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def exp_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _numbered(_profiles(spark, folder)).select("candidate_id", "page", F.posexplode("experience").alias("pos", "e"))
-    return rows.select("candidate_id", "page", "pos", *[F.col(f"e.{c}").alias(c) for c in
+    rows = _profiles(spark, folder).select("candidate_id", F.posexplode("experience").alias("pos", "e"))
+    return rows.select("candidate_id", "pos", *[F.col(f"e.{c}").alias(c) for c in
                                                       ("company", "title", "start", "summary")])
 
 
 @query
 def links_class(spark: SparkSession, folder: str) -> DataFrame:
     links = F.col("links")
-    return _numbered(_profiles(spark, folder)).select(
-        "candidate_id", "page", links["github"].alias("github"), links["linkedin"].alias("linkedin"),
+    return _profiles(spark, folder).select(
+        "candidate_id", links["github"].alias("github"), links["linkedin"].alias("linkedin"),
         links["portfolio"].alias("portfolio"), F.array_join(links["other"], " ").alias("other"),
     )
 
@@ -378,7 +373,7 @@ def _text_of(items: str, entry: Callable[[Column], Column]) -> Column:
 
 def flat_profiles(table: DataFrame) -> DataFrame:
     """All attributes of the profile, lists as text."""
-    return _numbered(table).select(
+    return table.select(
         "candidate_id",
         "full_name",
         F.array_join("emails", ";").alias("emails"),
@@ -395,7 +390,6 @@ def flat_profiles(table: DataFrame) -> DataFrame:
         _text_of("provenance", lambda p: F.concat_ws(
             "|", p["field"], p["source"], p["method"], _milli(p["confidence"]).cast("string"))).alias("provenance"),
         _milli(F.col("overall_confidence")).alias("overall_milli"),
-        "page",
     )
 
 
