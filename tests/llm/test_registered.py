@@ -1,6 +1,9 @@
+from zlib import crc32
+
 import brute
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -29,6 +32,72 @@ def test_one_query_for_each_operator():
         "quality rules", "MinHash near-dedup", "substring dedup", "benchmark decontamination", "mixing"]
 
 
+COLUMNS = {
+    "op2_minhash_near_dedup": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+    "op3_suffix_array_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op4_warc_segments": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
+    "op5_quality_classifier": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op6_substring_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op7_benchmark_decontamination": "doc_id bigint, item_id bigint, contaminated boolean",
+    "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+}
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_queries_without_sql(spark, texts, name):
+    df = queries.registered()[name](spark, FOLDER)
+    kinds = dict(df.dtypes)
+    wanted = dict(c.split(" ") for c in COLUMNS[name].split(", "))
+    assert {c: kinds.get(c) for c in wanted} == wanted
+    rows = df.collect()
+    got = lambda *columns: {r.doc_id: tuple(r[c] for c in columns) for r in rows}
+    if name.startswith("op2_"):
+        want = brute.near_components(texts)
+        assert got("n_shingles", "component_id", "kept") == {d: (*v, v[1] == d) for d, v in want.items()}
+    elif name.startswith("op3_"):
+        assert got("n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeated_bytes(texts)
+    elif name.startswith("op6_"):
+        want = brute.repeated_runs(texts)
+        assert got("n_removed", "n_spans", "n_units") == {
+            d: (len((t or "").encode()) - len(want[d][0].encode()), len(want[d][1]), want[d][2]) for d, t in texts}
+    elif name.startswith(("op5_", "op9_")):
+        keep, left = (3, 1) if name.startswith("op5_") else (5, 0)
+        assert got("held_out") == {d: (crc32(str(d).encode()) % keep == left,) for d, _ in texts}
+        assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    elif name.startswith("op7_"):
+        items = {r.item_id: r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}
+        want = {(d, i) for d, t in texts for i, b in items.items()
+                if (c := brute.greedy_cover(t or "", b)) and 2 * c[0] >= c[1] > 4}
+        assert {(r.doc_id, r.item_id) for r in rows} == want
+
+
+def test_whole_pipeline(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert set(docs.columns) <= set(out.columns) and {"taken", "position", "target"} <= set(out.columns)
+    rows = out.collect()
+    assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
+    assert all(0 <= r.position <= 1 and 0 < r.taken <= r["size"] for r in rows)
+
+
+def test_pipeline_of_an_empty_and_an_odd_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    odd = docs.limit(3).unionByName(docs.limit(3)).withColumns(
+        {"id": F.lit("clash"), "kept": F.lit(None).cast("string"), "row": F.lit(1), "size": F.lit(2)})
+    nulls = spark.createDataFrame([(None, None, None, None, None, "x", "y", 1, 2)], odd.schema)
+    for k, table in enumerate((odd.limit(0), odd.unionByName(nulls))):
+        folder = f"{tmp_path}/{k}"
+        table.write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        assert set(table.columns) <= set(out.columns) and out.count() >= 0
+
+
 def test_pipeline_against_plain_versions(spark):
     """Each stage on all that the one before it kept, held against brute force."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
