@@ -29,7 +29,8 @@ Steps:
 Defined results: null or empty texts have 0 shingles and their own doc_id as
 component, and are kept; a null doc_id takes part, but never names a component
 that has another id; repeated rows are copies of each other; an empty table
-gives an empty result; further columns stay in `keep_one`.
+gives an empty result; very long texts are one set like others, made and moved
+whole; further columns stay in `keep_one`, whatever their names.
 """
 
 from __future__ import annotations

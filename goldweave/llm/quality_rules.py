@@ -16,7 +16,8 @@ split. Texts themselves are never shuffled in the first case.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null source is a host of its own; repeated rows each get their own (equal)
-result; an empty table gives an empty result; further columns stay.
+result; an empty table gives an empty result; very long texts are read
+whole; further columns stay, whatever their names.
 """
 
 from __future__ import annotations

@@ -42,6 +42,25 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)}
 
 
+def test_large_stars_are_joined_in_parts(spark, monkeypatch):
+    rng = random.Random(4)
+    links = [(5, k) for k in range(6, 700)] + [(k, 5000 + k) for k in range(6, 700, 9)] + [(9000, 9001), (9001, 20)]
+    links += [(rng.randint(10_000, 10_400), rng.randint(10_000, 10_400)) for _ in range(150)]
+    table = spark.createDataFrame(links, "u bigint, v bigint").repartition(5)
+    want = {r.node: r.root for r in components.components(table).collect()}
+    monkeypatch.setattr(components, "HOT", 3)
+    assert {r.node: r.root for r in components.components(table).collect()} == want
+    assert want[699] == want[9000] == want[5006] == 5
+    of = {}
+    for u, v in links:
+        a, b = of.setdefault(u, {u}), of.setdefault(v, {v})
+        if a is not b and u != v:
+            a |= b
+            for x in b:
+                of[x] = a
+    assert want == {n: min(g) for n, g in of.items() if len(g) > 1}
+
+
 # --- repeated strings and lines --------------------------------------------------------
 
 SPANS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
