@@ -13,27 +13,31 @@ from goldweave.operators.storage import new_folder
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go, boilerplate lines too."""
+    """Documents that the quality rules reject go, boilerplate lines too. Null and
+    empty texts go; repeated rows are judged alike, one by one."""
     return quality_rules.keep_good(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, the one of the
+    smallest id; of rows that repeat in full one stays."""
     return minhash.keep_one(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long lines that an earlier document holds are cut out of the later ones."""
+    """Passages that an earlier document holds are cut out of the later ones; a
+    document stays with what is left of it, were it nothing."""
     return line_dedup.cut_text(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that cover a benchmark item go."""
+    """Documents that cover a benchmark item go; null texts stay."""
     return tiling.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per copy that the mix takes, in training order."""
+    """One row per copy that the mix takes, in training order. Texts without a
+    word are taken with nothing and get no row."""
     return mixing.training_order(docs)
 
 
