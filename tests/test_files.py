@@ -155,7 +155,8 @@ def test_csv_files_are_read_once(tmp_path):
         spark.stop()
     """)
     subprocess.run([sys.executable, "-c", script], check=True, capture_output=True, timeout=300)
-    events = [json.loads(line) for f in log.rglob("*") if f.is_file() for line in f.read_text().split("\n") if line]
+    events = [json.loads(line) for f in log.rglob("*") if f.is_file()
+              for line in f.read_text(errors="replace").split("\n") if line.startswith("{")]
     started = [e for e in events if e["Event"] == "SparkListenerJobStart"]
     assert sum("spark.jobGroup.id" not in e["Properties"] for e in started) == 1
     text = {s["Stage ID"] for e in started for s in e["Stage Infos"] for r in s["RDD Info"] if "csv" in json.dumps(r).lower()}
