@@ -68,8 +68,9 @@ GAP = re.compile(" +")
 WIDE = "\u2003"
 # not part of a word at its ends
 HEAD, TAIL = "\"'([{*#%&-–«„“", ".,;:!?\"')]}*#%&$…-–»“”"
-# the same without signs that stand for letters
-TAIL_BUT_SIGNS = "".join(c for c in TAIL if c not in LEET)
+# the same without a sign that stands for a letter and ends no sentence
+LAST_SIGN = "$"
+TAIL_BUT_SIGN = TAIL.replace(LAST_SIGN, "")
 # weight of a trigram that few words have, or one
 RARE = 2
 
@@ -150,6 +151,7 @@ class Decoder:
 
     def __init__(self, counts: np.ndarray) -> None:
         self.counts, self.slots = counts, counts.shape[1]
+        self.scarce = (counts[0] <= RARE).tobytes()
         self.costs: dict[str, float] = {}
         self.spans: dict[str, str] = {}
 
@@ -230,20 +232,29 @@ class Decoder:
     def words(self, token: str) -> tuple[str, ...]:
         """The words of a lower-case token, restored where it looks noisy."""
         core = token.rstrip(TAIL).lstrip(HEAD)
-        noisy = {core} if NOISY.search(core) or TWICE.search(core) and self.rare(core) else set()
-        if token[-1:] in LEET:
-            # signs at the end may be letters too
-            longer = token.rstrip(TAIL_BUT_SIGNS).lstrip(HEAD)
+        if core.isalpha():
+            noisy = TWICE.search(core) and (NOISY.search(core) or self.rare(core))
+            plain: tuple[str, ...] = (core,)
+        else:
+            noisy = NOISY.search(core) or TWICE.search(core) and self.rare(core)
+            plain = tuple(WORD.findall(core))
+        if noisy:
+            plain = (*WORD.findall(self.restore(core)), *plain)
+        if token[-1:] == LAST_SIGN:
+            # it may be a letter too
+            longer = token.rstrip(TAIL_BUT_SIGN).lstrip(HEAD)
             if NOISY.search(longer):
-                noisy.add(longer)
-        plain = (core,) if core.isalpha() else tuple(WORD.findall(core))
-        return (*(w for span in sorted(noisy) for w in WORD.findall(self.restore(span))), *plain)
+                plain = (*WORD.findall(self.restore(longer)), *plain)
+        return plain
 
     def rare(self, core: str) -> bool:
-        """Whether a trigram of the token is one of few words."""
+        """Whether a letter stands twice in a trigram of few words."""
         marked = f"^^{core}$"
-        return any(
-            self.counts[0, _slot(marked[k:k + 3], self.slots)] <= RARE for k in range(len(marked) - 2))
+        for found in TWICE.finditer(core):
+            at = found.start() + 1
+            if any(self.scarce[_slot(marked[k:k + 3], self.slots)] for k in (at, at + 1)):
+                return True
+        return False
 
     def spaced(self, text: str) -> Iterator[str]:
         """Words out of single characters with spaces between them."""
@@ -265,6 +276,8 @@ class Reader(dict):
     def __init__(self, counts: np.ndarray, lexicons: list[dict[str, float]] | None = None) -> None:
         super().__init__()
         self.decoder, self.lexicons = Decoder(counts), lexicons
+        # a feature of a word begins with the word's first letters
+        self.heads = {f.rstrip("~")[:4] for lex in lexicons or [] for f in lex}
 
     def __missing__(self, token: str) -> tuple:
         if len(self) > 500_000:
@@ -273,9 +286,9 @@ class Reader(dict):
         return kept
 
     def of(self, words: tuple[str, ...]) -> tuple:
-        found = [f for w in words for f in features_of(w)]
         if self.lexicons is None:
-            return tuple(found)
+            return tuple(f for w in words for f in features_of(w))
+        found = [f for w in words if w[:4] in self.heads for f in features_of(w)]
         return tuple((k, f, lex[f]) for k, lex in enumerate(self.lexicons) for f in found if f in lex)
 
     def read(self, text: str) -> set:
