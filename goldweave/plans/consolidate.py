@@ -108,7 +108,8 @@ def named(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed records with an id, and all with their reason to be left out: an
     object without an id lacks that first of all."""
     reason = F.when(has_id() | F.col("reason").isin(NO_OBJECT), F.col("reason")).otherwise(F.lit("missing id"))
-    return records.filter(has_id()), records.withColumn("reason", reason)
+    return records.filter(has_id()), records.withColumns(
+        {"candidate_id": F.when(has_id(), F.col("candidate_id")), "reason": reason})
 
 
 def gather(
