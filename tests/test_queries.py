@@ -4,10 +4,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from compare import TABLES, compare
-from goldweave.workload import oracle
+from goldweave.workload import oracle, roles
 from goldweave.workload.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
@@ -41,3 +42,10 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[0] == "candidate_id" and len(df.columns) == 13
     assert "CartesianProduct" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_checked_by_many_tasks(spark):
+    """The file of customers is one row group, read by one task."""
+    documents = roles.foreign_documents(spark, FOLDER)
+    at = documents.groupBy(F.spark_partition_id()).count().collect()
+    assert len(at) > 4 and max(r["count"] for r in at) * 3 < documents.count()
