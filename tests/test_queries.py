@@ -49,3 +49,8 @@ def test_documents_are_checked_by_many_tasks(spark):
     documents = roles.foreign_documents(spark, FOLDER)
     at = documents.groupBy(F.spark_partition_id()).count().collect()
     assert len(at) > 4 and max(r["count"] for r in at) * 3 < documents.count()
+
+
+def test_counts_of_errors_come_from_many_tasks(spark):
+    plan = registered()["validate_counts"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(c_custkey" in plan
