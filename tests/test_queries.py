@@ -54,3 +54,11 @@ def test_documents_are_checked_by_many_tasks(spark):
 def test_counts_of_errors_come_from_many_tasks(spark):
     plan = registered()["validate_counts"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(c_custkey" in plan
+
+
+@pytest.mark.parametrize("name", ["recruiter", "ats", "repos", "order_facts", "customer_facts"])
+def test_sources_are_extracted_by_many_tasks(spark, name):
+    """Each file is one row group, read by one task."""
+    rows = getattr(roles, name)(spark, FOLDER)
+    at = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(at) > 4 and max(r["count"] for r in at) * 3 < rows.count()
