@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from compare import TABLES, compare
-from goldweave.workload import oracle, roles
+from goldweave.workload import oracle, queries, roles
 from goldweave.workload.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,3 +62,13 @@ def test_sources_are_extracted_by_many_tasks(spark, name):
     rows = getattr(roles, name)(spark, FOLDER)
     at = rows.groupBy(F.spark_partition_id()).count().collect()
     assert len(at) > 4 and max(r["count"] for r in at) * 3 < rows.count()
+
+
+@pytest.mark.parametrize("name", ["exp_dedup"])
+def test_profiles_read_orders_into_many_tasks(spark, name, monkeypatch):
+    """Both scans of the orders, as records and as facts, are dealt out."""
+    found, kept = [], queries._profiles
+    monkeypatch.setattr(queries, "_profiles", lambda s, folder: found.append(kept(s, folder)) or found[-1])
+    registered()[name](spark, FOLDER)
+    plan = found[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(o_orderkey") >= 2
