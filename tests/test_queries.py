@@ -64,7 +64,7 @@ def test_sources_are_extracted_by_many_tasks(spark, name):
     assert len(at) > 4 and max(r["count"] for r in at) * 3 < rows.count()
 
 
-@pytest.mark.parametrize("name", ["exp_dedup"])
+@pytest.mark.parametrize("name", ["exp_dedup", "profile_json"])
 def test_profiles_read_orders_into_many_tasks(spark, name, monkeypatch):
     """Both scans of the orders, as records and as facts, are dealt out."""
     found, kept = [], queries._profiles
