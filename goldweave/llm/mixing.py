@@ -35,7 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.storage import settle
+from ..operators.storage import settle, written
 from .text import let, n_words, packed, unpacked
 
 BUDGET_PERCENT = 150
@@ -204,22 +204,57 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
     they are numbered so that each meets its own. The texts move twice: to meet
     their plan, and to their place in the order.
     """
-    key = ["doc_id", "source", "tag"]
-    plan = plan_mix(docs, **options)
-    left = docs.select(packed(docs, without=()), "doc_id", "source", n_words(F.col("text")).alias("size"), tag_of(docs).alias("tag"))
-    if plan.groupBy(*key).count().filter("count > 1").isEmpty():
-        plan, left = plan.withColumn("_n", F.lit(1)), left.withColumn("_n", F.lit(1))
+    return _in_order(docs, numbered(plan_mix(docs, **options))).drop(MARK)
+
+
+# which row of the plan a copy is of
+MARK = "_plan_row"
+KEY = ["doc_id", "source", "tag"]
+
+
+def numbered(plan: DataFrame) -> DataFrame:
+    """The plan with a number for each row among those that repeat in full, in
+    the order of what is taken of them, the same in every run."""
+    if plan.groupBy(*KEY).count().filter("count > 1").isEmpty():
+        return plan.withColumn("_n", F.lit(1))
+    return plan.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("taken"), "copies")))
+
+
+def _in_order(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """The training order by a numbered plan, with the plan's row in `MARK`."""
+    left = docs.select(packed(docs, without=()), "doc_id", "source", tag_of(docs).alias("tag"))
+    if plan.filter("_n > 1").isEmpty():
+        left = left.withColumn("_n", F.lit(1))
     else:
-        same = Window.partitionBy(*key).orderBy(F.lit(0))
-        plan, left = (x.withColumn("_n", F.row_number().over(same)) for x in (plan, left))
+        left = left.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0))))
     plan = plan.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("tag").alias("_tag"),
-        F.col("_n").alias("_m"), "source_size", "target", F.explode("copies").alias("_copy"))
+        F.col("_n").alias("_m"), "size", "source_size", "target", F.explode("copies").alias("_copy"))
     return (
         left.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
                   & (F.col("tag") == F.col("_tag")) & (F.col("_n") == F.col("_m")))
         .select(*[c for c, n in zip(unpacked(docs), docs.columns) if n not in MIX_COLUMNS], "size", "source_size",
-                "target", F.col("_copy.taken").alias("taken"), F.col("_copy.position").alias("position"))
+                "target", F.col("_copy.taken").alias("taken"), F.col("_copy.position").alias("position"),
+                F.struct(F.col("_tag").alias("tag"), F.col("_m").alias("n")).alias(MARK))
         .repartitionByRange(F.col("position"), F.col("doc_id"))
         .sortWithinPartitions("position", "doc_id")
     )
+
+
+def mix_digests(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, size, source_size, target of every document, with `taken` words
+    and first `position` as the mixed corpus has them: its copies are put in
+    order with their texts, and the words of each are counted there. A document
+    without a copy has taken nothing and has no position."""
+    plan = numbered(plan_mix(docs, **options))
+    order = _in_order(docs, plan)
+    read = F.least(n_words(F.col("text")), F.col("taken"))
+    copies = written(order.select("doc_id", "source", F.col(MARK), read.alias("_read"), "position"), "training-order")
+    got = copies.groupBy(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col(f"{MARK}.tag").alias("_tag"),
+        F.col(f"{MARK}.n").alias("_m"),
+    ).agg(F.sum("_read").alias("_read"), F.min("position").alias("position"))
+    return plan.join(
+        got, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+        & (F.col("tag") == F.col("_tag")) & (F.col("_n") == F.col("_m")), "left",
+    ).select("doc_id", "size", "source_size", "target", F.coalesce("_read", F.lit(0).cast("long")).alias("taken"), "position")

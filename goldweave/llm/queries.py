@@ -77,9 +77,9 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @query
 def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    plan = mixing.plan_mix(table(spark, folder, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken",
-                       F.round(F.get("copies", F.lit(0))["position"], 6).alias("position"))
+    """What the training order itself holds of every document."""
+    mixed = mixing.mix_digests(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
 
 
 @query

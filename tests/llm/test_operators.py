@@ -267,6 +267,19 @@ def test_training_order_holds_every_copy(docs, empty, repeated):
     assert sum(r.taken for r in mixing.training_order(repeated).collect()) == want > 0
 
 
+def test_digests_are_read_off_the_training_order(docs, empty, repeated, monkeypatch):
+    for table in (docs, repeated, empty):
+        plan = mixing.plan_mix(table).collect()
+        row = lambda r, p: (r.doc_id, r["size"], r.source_size, r.target, r.taken, p)
+        want = [row(r, r.copies[0].position if r.copies else None) for r in plan]
+        assert sorted(map(repr, want)) == sorted(repr(row(r, r.position)) for r in mixing.mix_digests(table).collect())
+    # a corpus that lost its longer copies shows in the digests
+    whole = mixing._in_order
+    monkeypatch.setattr(mixing, "_in_order", lambda *a: whole(*a).filter("taken < 100"))
+    short = {r.doc_id: r.taken for r in mixing.mix_digests(docs).collect()}
+    assert sum(short.values()) < sum(r.taken for r in mixing.plan_mix(docs).collect())
+
+
 def test_rules_against_plain_counts(docs, rows, empty, repeated):
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     got = by_id(quality_rules.judge(docs), *columns)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 import corpus_pipeline
 from compare import rows_of
-from goldweave.llm import queries, sql
+from goldweave.llm import mixing, queries, sql
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -125,3 +125,12 @@ def test_pipeline_against_plain_versions(spark):
         sizes[r.source] = sizes.get(r.source, 0) + len(brute.WORD.findall(r.text))
     want = brute.targets(sizes)
     assert all(abs(taken[s] - want[s]) <= 1 for s in want)
+
+
+def test_op8_goes_through_the_training_order(spark, monkeypatch):
+    """The curriculum's order is made for every copy, not planned only."""
+    made, whole = [], mixing._in_order
+    monkeypatch.setattr(mixing, "_in_order", lambda *a: made.append(whole(*a)) or made[-1])
+    got = queries.registered()["op8_source_mixing"](spark, FOLDER).agg(F.sum("taken")).first()[0]
+    rows = made[0].select("taken", "position").collect()
+    assert sum(r.taken for r in rows) == got and rows == sorted(rows, key=lambda r: r.position)
