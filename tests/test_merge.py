@@ -193,3 +193,15 @@ def test_one_exchange_in_the_merge(spark):
     for df in (ledger_in_place(facts), profiles_in_place(facts)):
         assert plan(df).count("Exchange hashpartitioning") == 1
     assert "CartesianProduct" not in plan(profiles_in_place(facts))
+
+
+def test_tasks_of_the_merge_grow_with_the_facts(spark, monkeypatch):
+    """What one task sorts stays the same however many facts there are."""
+    monkeypatch.setattr(skew, "TASK_FACTS", 10)
+    facts = table(spark, [(f"c{i % 50}", "skills", f"s{i}", "resume", "direct", 700) for i in range(400)])
+    split = split_hot(facts)
+    assert split.tasks == 41 and split_hot(facts.limit(30)).tasks is None
+    rows = profiles(facts, split=split)
+    assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
+    assert merged(facts, split=split) == merged(facts, split=skew.Split(facts))
+    assert ledger(facts, split=split).count() == 400
