@@ -205,3 +205,16 @@ def test_tasks_of_the_merge_grow_with_the_facts(spark, monkeypatch):
     assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
     assert merged(facts, split=split) == merged(facts, split=skew.Split(facts))
     assert ledger(facts, split=split).count() == 400
+
+
+def test_facts_of_hot_candidates_are_split_once(spark, monkeypatch):
+    """Both parts read one table of the split, and rows are kept as Parquet."""
+    from goldweave.operators import ledger as led
+    labels, whole = [], skew.written
+    for module in (skew, led):
+        monkeypatch.setattr(module, "written", lambda df, label: labels.append(label) or whole(df, label), raising=False)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_IDS", 2)
+    facts = table(spark, [(f"c{i % 9}", "skills", f"s{i % 20}", "resume", "direct", 700) for i in range(120)]
+                  + [("d", "skills", "Go", "resume", "direct", 700)])
+    rows = ledger(facts, limit=3)
+    assert labels == ["split", "in-order", "ledger"] and rows.count() == 121
