@@ -273,11 +273,12 @@ def document_faults() -> Column:
 
 def validate_documents(table: DataFrame, column: str) -> DataFrame:
     """JSON profiles with the list of their errors. A document that cannot be
-    read as an object has the error of its missing id."""
+    read as an object has the error of its missing id. The rules stand behind a
+    generator: who asks for rows with errors asks the list, not all rules again."""
     parsed = table.withColumns({"_text": F.col(column), "_document": untyped.parse(F.col(column))})
     read = parsed.select("*", *[_part(F.col("_document"), k).alias(f"j_{k}") for k in KEYS])
-    checked = read.withColumn("_faults", document_faults())
-    return _attach(checked).drop("_document", "_text", *[f"j_{k}" for k in KEYS])
+    checked = read.withColumn("_faults", document_faults()).drop("_document", "_text", *[f"j_{k}" for k in KEYS])
+    return _attach(untyped.computed_once(checked))
 
 
 def fault_table(validated: DataFrame, *keys: str) -> DataFrame:

@@ -56,6 +56,13 @@ def test_counts_of_errors_come_from_many_tasks(spark):
     assert "Exchange hashpartitioning(c_custkey" in plan
 
 
+@pytest.mark.parametrize("name", ["validate_default", "validate_counts"])
+def test_rules_are_checked_once_per_document(spark, name):
+    """Asking for documents with errors must not be a second run of the rules."""
+    plan = registered()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("full_name must be a string") == 1 and plan.count("parseJson(document") == 1
+
+
 @pytest.mark.parametrize("name", ["recruiter", "ats", "repos", "order_facts", "customer_facts"])
 def test_sources_are_extracted_by_many_tasks(spark, name):
     """Each file is one row group, read by one task."""
