@@ -7,6 +7,7 @@ from goldweave.functions import (
     checked_priors, clean_text, email_address, mean_milli, phone_e164, prior, prior_of, priority_of, skill_name,
     strip, title_case, year_month,
 )
+from goldweave.functions.text import ASCII_WS_CHARS
 
 
 def check(spark, make, cases):
@@ -56,6 +57,21 @@ def test_text_matches_python(spark):
     check(spark, strip, [(t, t.strip()) for t in texts])
 
 
+def test_ascii_and_other_texts_share_their_white_space(spark):
+    """Every character of ASCII, in texts that are all ASCII and in others."""
+    texts = [a + chr(n) + chr(n) + b for n in range(1, 128) for a, b in (("a", "b"), ("é", "b"), ("", "é"))]
+    check(spark, clean_text, [(t, " ".join(t.split())) for t in texts])
+    mails = [a + chr(n) + "b@c.de" for n in range(1, 128) if chr(n) != "@" for a in "aé"]
+    check(spark, email_address, [(m, None if m[1].isspace() else m.lower()) for m in mails])
+
+
+def test_texts_in_ascii_are_searched_by_table(spark):
+    """Ranges in a class are tried one after the other on every character."""
+    for make in (clean_text, email_address):
+        plan = spark.range(1).select(make(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+        assert f"{ASCII_WS_CHARS}]" in plan
+
+
 def test_confidence(spark):
     row = spark.range(1).select(
         mean_milli(F.lit(8100), F.lit(11)).alias("golden"),

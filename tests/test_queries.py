@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from compare import TABLES, compare
+from goldweave.plans import gather
 from goldweave.workload import oracle, queries, roles
 from goldweave.workload.queries import registered
 
@@ -71,6 +72,12 @@ def test_sources_are_extracted_by_many_tasks(spark, name):
     assert len(at) > 4 and max(r["count"] for r in at) * 3 < rows.count()
 
 
+def test_counting_rows_makes_no_facts(spark):
+    """Who has how many facts is asked without jobs, skills and dates."""
+    plan = gather(roles.sources(spark, FOLDER)).weights._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format" not in plan and "headline" not in plan
+
+
 @pytest.mark.parametrize("name", ["exp_dedup", "profile_json"])
 def test_profiles_read_orders_into_many_tasks(spark, name, monkeypatch):
     """Both scans of the orders, as records and as facts, are dealt out."""
