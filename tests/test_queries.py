@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from compare import TABLES, compare
 from goldweave.plans import gather
+from goldweave.sources.sinks import documents
 from goldweave.workload import oracle, queries, roles
 from goldweave.workload.queries import registered
 
@@ -72,6 +73,15 @@ def test_sources_are_extracted_by_many_tasks(spark, name):
     assert len(at) > 4 and max(r["count"] for r in at) * 3 < rows.count()
 
 
+def test_documents_are_written_once_and_read_in_one_pass(spark):
+    """A document is made once, with its errors or without; all its attributes come from one parse."""
+    lines = documents(queries.validate_profiles(queries._profiles(spark, FOLDER)).drop("_faults"))
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") == 2
+    plan = registered()["profile_json"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_tuple(") == 1 and "get_json_object" not in plan
+
+
 def test_counting_rows_makes_no_facts(spark):
     """Who has how many facts is asked without jobs, skills and dates."""
     plan = gather(roles.sources(spark, FOLDER)).weights._jdf.queryExecution().optimizedPlan().toString()
