@@ -1,13 +1,20 @@
+import json
+import os
 import random
+import subprocess
+import sys
+import textwrap
 
 import pytest
 from model import expected, found
+from pyspark.sql import functions as F
 
 from goldweave.constants import FACT_SCHEMA
 from goldweave.operators import skew
 from goldweave.operators.ledger import ledger, ledger_in_place, unmerged
 from goldweave.operators.profile import profiles, profiles_in_place
 from goldweave.operators.skew import ranked, split_hot
+from goldweave.plans import Sources, consolidated
 
 JOB = ("company", "title", "start", "end", "summary")
 
@@ -218,3 +225,76 @@ def test_facts_of_hot_candidates_are_split_once(spark, monkeypatch):
                   + [("d", "skills", "Go", "resume", "direct", 700)])
     rows = ledger(facts, limit=3)
     assert labels == ["split", "in-order", "ledger"] and rows.count() == 121
+
+
+@pytest.mark.parametrize("ids", [10_000, 2])
+def test_candidates_in_many_parts(spark, monkeypatch, ids):
+    """Parts of a few facts each, ids that are hard to write, equal facts."""
+    monkeypatch.setattr(skew, "MAX_BROADCAST_IDS", ids)
+    monkeypatch.setattr(skew, "TASK_FACTS", 9)
+    odd = {"c0": 'q"\\', "c1": "\n\t", "c2": "\U0001f600", "c3": " ", "hot": "h\u00f6t"}
+    facts = [(odd.get(f[0], f[0]), *f[1:]) for f in random_facts(13, 5, 150)]
+    facts += [("same", "emails", "a@x.io", "resume", "direct", 700)] * 40
+    rows = table(spark, facts)
+    marks = spark.createDataFrame([("ghost", *[None] * 9)] * 30, FACT_SCHEMA)
+    got = merged(rows.unionByName(marks), limit=3)
+    assert got.pop("ghost") == found(profiles(marks, limit=100).first())
+    assert got == by_candidate(facts)
+
+
+def test_parts_follow_the_order_of_the_keys(spark):
+    rows = [(g, x, y) for g in ("a", "b", None) for x in (None, *range(40)) for y in ("p", None)]
+    df = spark.createDataFrame(rows, "g string, x int, y string").repartition(3)
+    keys = ["g", "x", "y"]
+    points = skew.cut_points(df, keys, 8, len(rows))
+    placed = df.withColumn("p", skew.part_of(F.struct(*keys), points, 8)).orderBy(*keys).collect()
+    parts = [r.p for r in placed]
+    assert parts == sorted(parts) and set(parts) == set(range(8))
+    assert max(parts.count(p) for p in set(parts)) < 2 * len(rows) / 8
+    # nothing of the sample is asked of a row: the points are constants
+    assert "from_json" not in plan(df.withColumn("p", skew.part_of(F.struct(*keys), points, 8)))
+    assert df.select(skew.part_of(F.struct(*keys), skew.cut_points(df, keys, 1, 3), 1).alias("p")).distinct().collect() == [(0,)]
+
+
+@pytest.mark.parametrize("limit", [20_000, 3])
+def test_repositories_alone_make_no_profile(spark, limit):
+    """However many there are: they only count beside a profile."""
+    repos = spark.createDataFrame(
+        [(c, i, f"r{i}", "go") for c in ("lone", "u") for i in range(9)],
+        "candidate_id string, repo_pos bigint, name string, language string")
+    hosts = spark.createDataFrame(
+        [("u", 0, "u", "U", "bio")], "candidate_id string, record_ord bigint, login string, name string, bio string")
+    assert [r.candidate_id for r in consolidated(Sources(profiles=hosts, repos=repos), limit).collect()] == ["u"]
+
+
+def test_facts_of_many_hot_candidates_move_once(tmp_path):
+    """Rows that tasks shuffled, from Spark's event log of a run of its own."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {root!r})
+        from pyspark.sql import SparkSession
+        from goldweave.operators import skew
+        from goldweave.operators.profile import profiles
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+            .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{tmp_path}")
+            .config("spark.eventLog.compress", "false").config("spark.sql.shuffle.partitions", "4")
+            # tables as large as on a cluster: the engine broadcasts none by itself
+            .config("spark.sql.autoBroadcastJoinThreshold", "-1").getOrCreate())
+        skew.MAX_BROADCAST_IDS = 10
+        facts = spark.range(20_000).selectExpr(
+            "'c' || id % 100 AS candidate_id", "IF(id % 3 = 0, 'emails', 'skills') AS field", "'v' || id % 70 AS value",
+            "CAST(NULL AS struct<company:string,title:string,start:string,end:string,summary:string>) AS exp",
+            "'resume' AS source", "'direct' AS method", "700 AS confidence_milli", "0 AS source_ord",
+            "id AS record_ord", "0 AS emit_ord")
+        assert profiles(facts, limit=40).selectExpr("sum(size(provenance))").first()[0] > 0
+        spark.stop()
+    """)
+    subprocess.run([sys.executable, "-c", script], check=True, capture_output=True, timeout=300)
+    moved = 0
+    for f in tmp_path.rglob("*"):
+        for line in f.read_text(errors="replace").split("\n") if f.is_file() else ():
+            if line.startswith("{") and (e := json.loads(line))["Event"] == "SparkListenerTaskEnd":
+                moved += e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Records Written"]
+    # the three candidates between two parts move more often
+    assert moved < 1.5 * 20_000
